@@ -14,6 +14,7 @@ import pyarrow as pa
 
 #: Bytes of text that one slice holds at most (a longer text is a slice of its own).
 SLICE_BYTES = 2_000_000
+SLICE_ROWS = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
@@ -72,7 +73,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
     data, offsets = text_buffers(column)
     at, n = 0, len(offsets) - 1
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        to = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1))
         yield Texts(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
         at = to
 
