@@ -24,7 +24,7 @@ from staylens.llm.leaf_blocks import Block, blocks
 TRAIN_PAGES, SEED = 500, 1000
 #: A feature has to occur in so many labelled blocks.
 LEAST_COUNT = 5
-STEPS, RATE, L2 = 150, 0.1, 0.02
+STEPS, RATE, L2 = 400, 0.1, 0.005
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 
@@ -75,23 +75,26 @@ def train(pages: list[tuple[str, set[str]]]) -> Model:
                 counts[f] = counts.get(f, 0) + 1
     index = {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n >= LEAST_COUNT))}
     longest = max(map(len, labels))
-    x = np.zeros((len(rows), longest, len(index)), np.float32)
+    x = np.zeros((sum(map(len, labels)), len(index)), np.float32)
     y = np.zeros((len(rows), longest), np.int64)
     there = np.zeros((len(rows), longest), bool)
+    n = 0
     for p, page in enumerate(names):
         for t, block in enumerate(page):
-            x[p, t, [index[f] for f in block if f in index]] = 1
+            x[n, [index[f] for f in block if f in index]] = 1
             y[p, t], there[p, t] = labels[p][t], True
+            n += 1
     emit, step, start = np.zeros((len(index), 2)), np.zeros((2, 2)), np.zeros(2)
     gold = np.eye(2)[y] * there[..., None]
-    flat = x.reshape(-1, len(index))
+    score = np.zeros((*y.shape, 2))
     pairs = np.einsum("pta,ptb->ab", gold[:, :-1], gold[:, 1:])
     theta = np.zeros(emit.size + 6)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for i in range(STEPS):
         emit, step, start = theta[: emit.size].reshape(-1, 2), theta[emit.size : -2].reshape(2, 2), theta[-2:]
-        unary, pair, first = _marginals((flat @ emit).reshape(*y.shape, 2), step, start, there)
-        g_emit = flat.T @ (gold - unary).reshape(-1, 2)
+        score[there] = x @ emit.astype(np.float32)
+        unary, pair, first = _marginals(score, step, start, there)
+        g_emit = x.T @ (gold - unary)[there].astype(np.float32)
         g_step = pairs - pair
         g_start = gold[:, 0].sum(0) - first
         grad = np.concatenate([g_emit.ravel(), g_step.ravel(), g_start]) / len(rows) - L2 * theta / len(rows)
