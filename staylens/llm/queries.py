@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: query name -> module that defines it (and ORACLE, where SQL can express it).
 MODULES = {
+    "op1_tool_calls": "tool_calls",
     "op9_html_text": "html_crf",
     "op5_substring_dedup": "substring_dedup",
     "op4_near_dup": "near_dup",
