@@ -18,16 +18,15 @@ UNKNOWN, NAMELESS, OTHER = "Không rõ", "Không tên", "Khác"
 def read_hotels(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     """(documents under base with their ``path``, unreadable files: path and content)."""
     raw = (
-        spark.read.schema(HOTEL.add("_corrupt_record", "string"))
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .json(base)
-        .withColumn("path", F.col("_metadata.file_path"))
+        .option("wholetext", True)
+        .text(base)
+        .select("value", F.col("_metadata.file_path").alias("path"))
     )
-    bad = F.col("_corrupt_record").isNotNull()
-    return raw.filter(~bad).drop("_corrupt_record"), raw.filter(bad).select("path", F.col("_corrupt_record").alias("content"))
+    sound = F.try_parse_json("value").isNotNull()
+    good = raw.filter(sound).select(F.from_json("value", HOTEL).alias("h"), "path").select("h.*", "path")
+    return good, raw.filter(~sound).select("path", F.col("value").alias("content"))
 
 
 def province_of(path: Column, base: str) -> Column:
