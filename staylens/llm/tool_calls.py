@@ -5,11 +5,11 @@ results: call_id, turn, content. schemas: name, parameter, type (string, integer
 
 Links: results are reduced to the earliest of each identifier before the shuffled join, so an identifier that many rows
 hold is combined on the map side. Order: ``level`` is 0 for a call that needs none and else one more than the highest
-level it needs; calls of a conversation sorted by (level, turn, call_id) are in topological order. Levels are found in
-rounds over edges (Kahn), one for each level, each ending in a table in the shared folder; nothing is grouped by
-conversation, so a conversation may hold any share of the rows. Calls in or behind a cycle, or behind an unknown call,
-have a null level. Validation names each missing, mistyped and unknown argument. Canonical JSON has sorted keys and no
-white space.
+level it needs; calls of a conversation sorted by (level, turn, call_id) are in topological order. Chains of single needs
+are followed by pointer jumping, calls with several needs are resolved in rounds (Kahn); every round ends in a table in
+the shared folder and nothing is grouped by conversation, so a conversation may hold any share of the rows. Calls in or
+behind a cycle, or behind an unknown call, have a null level. Validation names each missing, mistyped and unknown
+argument. Canonical JSON has sorted keys and no white space.
 
 Nulls: a call with a null or repeated call_id is kept; a null identifier links to nothing and has no level, repeated calls all get the result.
 Null or malformed arguments give the error ``json``; unknown tools the error ``tool``. Results without a call are in
@@ -24,30 +24,70 @@ from pyspark.sql import functions as F
 from staylens.llm.storage import written
 
 
+def chain_heads(known: DataFrame) -> DataFrame:
+    """(call_id, head, steps): where the chain of single needs of each call ends, at a call with no need or several, and
+    how many steps that is. Each round doubles the steps (pointer jumping), so a chain of n calls takes log n rounds.
+    Calls whose chain ends nowhere (unknown calls, cycles) are left out."""
+    many = F.size("needs") != 1
+    state = written(
+        known.select(
+            "call_id",
+            F.when(many, F.col("call_id")).otherwise(F.col("needs")[0]).alias("head"),
+            F.when(many, 0).otherwise(1).cast("long").alias("steps"),
+            many.alias("done"),
+        ),
+        "heads",
+    )
+    rounds = max(1, state.count()).bit_length() + 1
+    for _ in range(rounds):
+        if not state.filter("NOT done").limit(1).count():
+            break
+        ahead = state.select(F.col("call_id").alias("head"), F.col("head").alias("next"), F.col("steps").alias("more"), F.col("done").alias("ends"))
+        moved = state.filter("NOT done").join(ahead, "head").select(
+            "call_id", F.col("next").alias("head"), (F.col("steps") + F.col("more")).alias("steps"), F.col("ends").alias("done")
+        )
+        state = written(state.filter("done").unionByName(moved), "heads")
+    return state.filter("done").select("call_id", "head", "steps")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(call_id, level) of every distinct call that can be ordered."""
-    known = calls.filter("call_id IS NOT NULL").select("call_id", "needs").distinct()
-    edges = written(known.select("call_id", F.explode("needs").alias("need")).distinct(), "needs")
-    wanted = edges.groupBy("call_id").agg(F.count(F.lit(1)).alias("wanted"))
-    done = written(
-        known.select("call_id").distinct().join(wanted, "call_id", "left_anti").select("call_id", F.lit(0).alias("level")), "level"
+    known = written(
+        calls.filter("call_id IS NOT NULL")
+        .select("call_id", F.explode_outer("needs").alias("need"))
+        .groupBy("call_id")
+        .agg(F.array_sort(F.collect_set("need")).alias("needs")),
+        "calls",
+    )
+    heads = chain_heads(known)
+    free = known.filter(F.size("needs") == 0).select(F.col("call_id").alias("head"), F.lit(0).cast("long").alias("level"))
+    joints = known.filter(F.size("needs") > 1)
+    if joints.limit(1).count():
+        free = free.unionByName(_joint_levels(joints, heads, free))
+    return heads.join(free, "head").select("call_id", (F.col("level") + F.col("steps")).alias("level"))
+
+
+def _joint_levels(joints: DataFrame, heads: DataFrame, free: DataFrame) -> DataFrame:
+    """(head, level) of calls with several needs, in rounds over the graph of such calls alone."""
+    wanted = joints.select(F.col("call_id").alias("head"), F.size("needs").alias("wanted"))
+    ends = heads.select(F.col("call_id").alias("need"), F.col("head").alias("at"), "steps")
+    edges = written(
+        joints.select(F.col("call_id").alias("head"), F.explode("needs").alias("need")).join(ends, "need").select("head", "need", "at", "steps"), "needs"
     )
-    level, new = 0, done
-    while new.limit(1).count():
-        # Calls whose last open need was met in this round: all needs are done, one of them on this level.
-        touched = edges.join(new.select(F.col("call_id").alias("need")), "need").select("call_id").distinct()
-        met = (
-            edges.join(touched, "call_id")
-            .join(done.select(F.col("call_id").alias("need")), "need")
-            .groupBy("call_id")
-            .agg(F.count(F.lit(1)).alias("met"))
+    done = written(free, "level")
+    found = done.limit(0)
+    while True:
+        ready = (
+            edges.join(done.select(F.col("head").alias("at"), "level"), "at")
+            .groupBy("head")
+            .agg(F.count(F.lit(1)).alias("met"), F.max(F.col("level") + F.col("steps")).alias("highest"))
         )
-        level += 1
         new = written(
-            met.join(wanted, "call_id").filter("met = wanted").select("call_id", F.lit(level).alias("level")), "level"
+            ready.join(wanted, "head").filter("met = wanted").join(done, "head", "left_anti").select("head", (F.col("highest") + 1).alias("level")), "level"
         )
-        done = done.unionByName(new)
-    return done
+        if not new.limit(1).count():
+            return found
+        done, found = written(done.unionByName(new), "level"), found.unionByName(new)
 
 
 def schema_arrays(schemas: DataFrame) -> DataFrame:
