@@ -44,7 +44,7 @@ def features(b: Block, before: Block | None, after: Block | None) -> list[str]:
     size = "0" if n < 20 else "1" if n < 60 else "2" if n < 150 else "3" if n < 400 else "4"
     link = "0" if linked == 0 else "1" if linked < 0.34 else "2" if linked < 0.8 else "3"
     out = [*b.names, f"tag:{b.tag}", f"size:{size}", f"link:{link}", f"size,link:{size}{link}", "bias"]
-    tags = ",".join(sorted(x[2:] for x in b.names if x.startswith("t:")))
+    tags = ",".join(sorted(x[2:] for x in b.names if x.startswith("t:") and x not in ("t:html", "t:body")))
     marked = any(x.startswith("m:") for x in b.names)
     out.append(f"path:{tags},{marked}")
     if b.text[-1] in ".?!…\"”":
