@@ -63,3 +63,16 @@ def unit_totals(audit: DataFrame, unit: str) -> DataFrame:
         F.sum("review_count").alias("reviews"),
         F.sum("vn_positive").alias("vn_positive"),
     )
+
+
+def review_summary(reviews: Column, most: int = 5, chars: int = 100) -> Column:
+    """The first reviews of an array of variants, one numbered line each, and how many more there are."""
+    text = lambda r: F.trim(
+        F.coalesce(F.try_variant_get(r, "$.content", "string"), F.try_variant_get(r, "$.text", "string"), F.try_variant_get(r, "$", "string"), F.lit(""))
+    )
+    rating = lambda r: F.coalesce(F.concat(F.lit(" ("), F.try_variant_get(r, "$.rating", "string"), F.lit("/5)")), F.lit(""))
+    line = lambda r, i: F.concat(
+        F.lit("["), i + 1, F.lit("] "), F.substring(text(r), 1, chars), F.when(F.length(text(r)) > chars, "...").otherwise(""), rating(r)
+    )
+    more = F.when(F.size(reviews) > most, F.concat(F.lit("\n... (+"), F.size(reviews) - most, F.lit(" more)"))).otherwise("")
+    return F.concat(F.array_join(F.transform(F.slice(reviews, 1, most), line), "\n"), more)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import difflib
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,3 +88,22 @@ def compare_folders(left: DataFrame, right: DataFrame) -> DataFrame:
 def urls_by_folder(links: DataFrame, folder: str, url: str) -> DataFrame:
     """Sorted urls of each folder, one line each. A folder is one output row, as its file is."""
     return links.groupBy(folder).agg(F.array_join(F.array_sort(F.collect_list(url)), "\n").alias("urls"), F.count(F.lit(1)).alias("n"))
+
+
+def json_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(name, diff) of the (name, content) rows that both sides have and that differ: a unified diff of the key-sorted text."""
+    pairs = left.select("name", F.col("content").alias("a")).join(right.select("name", F.col("content").alias("b")), "name")
+
+    def lines(text: str | None) -> list[str]:
+        try:
+            return json.dumps(json.loads(text or "null"), indent=2, sort_keys=True, ensure_ascii=False).splitlines()
+        except ValueError:
+            return (text or "").splitlines()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            diffs = ["\n".join(difflib.unified_diff(lines(x), lines(y), lineterm="")) for x, y in zip(a, b, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(diffs, pa.string())], names=["name", "diff"])
+
+    return pairs.mapInArrow(run, "name string, diff string").filter("diff <> ''")

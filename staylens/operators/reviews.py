@@ -87,3 +87,8 @@ def encode(df: DataFrame, column: str, codes: DataFrame, name: str, unknown: str
 
 def deviation(score: Column, average: Column, digits: int = 1) -> Column:
     return F.bround(score - average, digits)
+
+
+def changed_rows(df: DataFrame, column: str, f) -> DataFrame:
+    """df with f applied to the column, beside ``changed``: whether that made a difference."""
+    return df.withColumn("__new", f(F.col(column))).withColumn("changed", ~F.col("__new").eqNullSafe(F.col(column))).withColumn(column, F.col("__new")).drop("__new")

@@ -213,3 +213,25 @@ def full_pipeline(spark, d):
 )
 def stream_windows(spark, d):
     return SW.hourly_batch(table(spark, d, "events"))
+
+
+@query(
+    "review_summary",
+    """WITH c AS (SELECT conv_id, list(replace(text, chr(10), ' ') ORDER BY turn) AS t FROM conversations GROUP BY 1)
+SELECT conv_id, array_to_string(list_transform(t[:5], lambda x, i: '[' || i || '] ' || substr(trim(x), 1, 100) || CASE WHEN length(trim(x)) > 100 THEN '...' ELSE '' END || ' (' || i || '/5)'), chr(10))
+  || CASE WHEN len(t) > 5 THEN chr(10) || '... (+' || len(t) - 5 || ' more)' ELSE '' END AS summary FROM c""",
+)
+def review_summary(spark, d):
+    turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.replace("text", F.lit("\n"), F.lit(" ")).alias("text")))).alias("t"))
+    rated = F.transform("t", lambda x, i: F.struct(x["text"].alias("content"), (i + 1).cast("string").alias("rating")))
+    parsed = turns.select("conv_id", F.try_variant_get(F.parse_json(F.to_json(rated)), "$", "array<variant>").alias("r"))
+    return parsed.select("conv_id", A.review_summary(F.col("r")).alias("summary"))
+
+
+@query("json_diff")
+def json_diff(spark, d):
+    k, name = F.col("s_suppkey"), F.concat(F.lit("f"), F.col("s_suppkey")).alias("name")
+    s = table(spark, d, "supplier")
+    left = s.select(name, F.concat(F.lit('{"a": 1, "b": '), k, F.lit("}")).alias("content"))
+    right = s.select(name, F.concat(F.lit('{"b":'), k + (k % 3 == 0).cast("int"), F.lit(', "a":1}')).alias("content"))
+    return K.json_diff(left, right)

@@ -307,3 +307,21 @@ def stay_encode(spark, d):
 def segment_words(spark, d):
     x = F.lit("x of the y")
     return docs(spark, d).select("doc_id", (F.length(x) - F.length(F.replace(T.segment(x, ("of the",)), F.lit("_"), F.lit("")))).cast("long").alias("joined"))
+
+
+@query(
+    "vietnamese_simple",
+    rf"""WITH b AS (SELECT doc_id, {STRIPPED.format("coalesce(text, '')")} AS s FROM documents), l AS (SELECT doc_id, s, lower(s) AS l FROM b),
+c AS (SELECT doc_id, length(s) AS chars, length({STRIPPED.format(rf"regexp_replace(regexp_replace(s, '{EMOJI}', '', 'g'), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')")}) AS core, {_hits(lexicons.VIETNAMESE)} AS vi,
+{_letters(lexicons.VIETNAMESE_LETTERS)} AS letters, length(replace(s, ' ', '')) AS dense, regexp_extract_all(l, '[\p{{L}}\p{{N}}_]+') AS t FROM l),
+f AS (SELECT *, len(list_filter(t, lambda w: list_contains({sql_list(dict.fromkeys(lexicons.FOREIGN_TOKENS))}, w))) AS h FROM c)
+SELECT doc_id, chars >= 15 AND NOT (h > 0 AND h > len(t) * 0.2) AND core >= 15 AND (vi >= 2 OR letters >= 6 OR (dense > 0 AND letters > dense * 0.15)) AS is_vietnamese FROM f""",
+)
+def vietnamese_simple(spark, d):
+    return docs(spark, d).select("doc_id", L.is_vietnamese_simple(F.col("text")).alias("is_vietnamese"))
+
+
+@query("repeat_changes", f"SELECT count(*) FILTER ({COLLAPSED} <> x) AS changed, count(*) AS total FROM (SELECT {WORDS} AS x, string_split({WORDS}, ' ') AS w FROM documents)")
+def repeat_changes(spark, d):
+    found = R.changed_rows(docs(spark, d).select(words_only(F.col("text")).alias("text")), "text", T.collapse_words)
+    return found.agg(F.count_if("changed").alias("changed"), F.count(F.lit(1)).alias("total"))
