@@ -11,10 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; only where it is unset (tests) a local folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.gettempdir()}/staylens-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (folder or f"file://{tempfile.gettempdir()}/staylens-checkpoints").rstrip("/")
 
 
 def new_path(spark: SparkSession, what: str) -> str:
@@ -27,11 +24,3 @@ def written(df: DataFrame, what: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def drop(spark: SparkSession, df_or_path) -> None:
-    """Removes the files of a table of written(), when no later step reads it."""
-    for path in [df_or_path] if isinstance(df_or_path, str) else df_or_path.inputFiles()[:1]:
-        folder = path if isinstance(df_or_path, str) else path.rpartition("/")[0]
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
