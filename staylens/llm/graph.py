@@ -9,26 +9,29 @@ from staylens.llm.storage import written
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node in edges (a, b); the component is its least node.
+    """(node, component) of every node in edges (a, b); a component is named by one of its nodes.
 
-    Each round takes the least label among the neighbours and then jumps to the label's own label, so a round halves
-    the distance that is left. Rounds end in a table in the shared folder. A node with many edges is pre-aggregated.
+    Each round points every node to the first of itself and its neighbours in a hashed order, jumps once along these pointers,
+    and contracts the edges to what they point to, so edges inside a component go and the graph shrinks by a factor a round
+    whatever the ids' order. Rounds end in tables in the shared folder; a node with many edges is pre-aggregated.
     """
-    both = written(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(),
-        "edges",
-    )
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("component")), "labels")
+    a, b = F.col("a"), F.col("b")
+    left = written(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b").distinct(), "edges")
+    place = None
     while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
-        )
-        stepped = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new"))
-        up = labels.select(F.col("node").alias("new"), F.col("component").alias("above"))
-        after = written(stepped.join(up, "new").select("node", "old", F.least("new", "above").alias("component")), "labels")
-        changed = after.filter("old <> component").limit(1).count()
-        labels = after.select("node", "component")
-        if not changed:
-            return labels
+        both = left.unionByName(left.select(b.alias("a"), a.alias("b")))
+        ranked = lambda c: F.struct(F.xxhash64(c).alias("rank"), c.alias("node"))
+        near = both.groupBy("a").agg(F.min(ranked(b)).alias("near"))
+        step = written(near.select(a.alias("node"), F.least(ranked(a), "near")["node"].alias("up")), "up")
+        step = written(step.join(step.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", "top"), "top")
+        if place is None:
+            place = step.select("node", F.col("top").alias("component"))
+        else:
+            moved = step.select(F.col("node").alias("component"), "top")
+            place = place.join(moved, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+        place = written(place, "components")
+        ends = lambda c: step.select(F.col("node").alias(c), F.col("top").alias(f"{c}_top"))
+        moved = left.join(ends("a"), "a").join(ends("b"), "b").select(F.least("a_top", "b_top").alias("a"), F.greatest("a_top", "b_top").alias("b"))
+        left = written(moved.filter("a <> b").distinct(), "edges")
+        if not left.limit(1).count():
+            return place

@@ -1,10 +1,11 @@
 """Near-duplicate documents by BagMinHash bands and verified multiset overlap.
 
 Copies of one text are one node. Every node gets a BagMinHash signature of its multiset of five-word shingles; nodes
-that agree in all registers of a band share a bucket. Within a bucket each node is first compared with the bucket's least
-node only, so a bucket of any size gives as many pairs as it has nodes. Nodes that verified links have not joined yet are
+that agree in all registers of a band share a bucket. Within a bucket each node is first compared with LEADERS nodes of it
+only, so a bucket of n nodes gives LEADERS n pairs at the most. Nodes that verified links have not joined yet are
 then compared across their components within the bucket, so no candidate link between components is lost, and none inside
-a component is needed. A link is a weighted Jaccard similarity of THRESHOLD or more, counted over whole texts.
+a component is needed. Pairs whose four-bit sketches of all registers lie 3 standard deviations below the threshold are left
+out (one link in 740 at the threshold itself, fewer above). A link is a weighted Jaccard similarity of THRESHOLD or more, counted over whole texts.
 
 Nulls: a null text counts as an empty one; texts without words are no near-duplicates of others but copies of each other
 if equal. A class is named by its least doc_id (null if it has none). Repeated rows fall into one class; extra columns are
@@ -20,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.bagminhash import band_keys, signatures, similarity, weigh
+from staylens.llm.bagminhash import band_keys, signatures, similarity, sketches, weigh
 from staylens.llm.graph import components
 from staylens.llm.storage import written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, shingles, slices, split_words
 
 K = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 25, 5
+BANDS, ROWS = 40, 8
+#: Nodes of a bucket that all others of it are compared with first.
+LEADERS = 4
 
 
 def text_node(text: Column) -> Column:
@@ -35,28 +38,45 @@ def text_node(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def band_entries(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(bucket, node, n): one row for each band of each distinct text with words; n counts its shingles."""
+def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(node, n, buckets, sketch) of each distinct text with words; n counts its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node")
             for texts in slices(batch.column("text")):
                 hashes, bounds = shingles(split_words(texts, ALNUM_SPLIT, LOWER), K)
-                sets = len(bounds) - 1
                 owner, element, weight = weigh(hashes, bounds)
-                keys = band_keys(signatures(sets, owner, element, weight, bands * rows), bands, rows)
+                registers = signatures(len(bounds) - 1, owner, element, weight, bands * rows)
                 sizes = np.diff(bounds)
                 has = np.flatnonzero(sizes > 0)
-                flat = keys[has].astype(np.uint64).view(np.int64).ravel()
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(has) + 1, dtype=np.int32) * bands), pa.array(flat))
+                keys = band_keys(registers[has], bands, rows).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [nodes.take(pa.array(has + texts.first)), pa.array(sizes[has], pa.int64()), lists], names=["node", "n", "buckets"]
+                    [nodes.take(pa.array(has + texts.first)), pa.array(sizes[has], pa.int64()), _lists(keys), _lists(sketches(registers[has]))],
+                    names=["node", "n", "buckets", "sketch"],
                 )
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = docs.select(text_node(F.col("text")).alias("node"), text.alias("text")).mapInArrow(run, "node binary, n long, buckets array<long>")
-    return found.select(F.explode("buckets").alias("bucket"), "node", "n").distinct()
+    named = docs.select(text_node(F.col("text")).alias("node"), text.alias("text"))
+    return named.mapInArrow(run, "node binary, n long, buckets array<long>, sketch array<long>").distinct()
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+
+
+def may_link(threshold: float, registers: int, a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """Whether (size, sketch) of two sets allow the threshold: sizes exactly, sketches but for 3 standard deviations."""
+    share = threshold + (1 - threshold) / 16
+    least = registers * share - 3 * (registers * share * (1 - share)) ** 0.5
+    size = F.least(a[0], b[0]) >= F.greatest(a[0], b[0]) * threshold
+    differ = F.lit(0)
+    for i in range(registers // 16):  # a register differs if any of its four bits does
+        x = a[1][i].bitwiseXOR(b[1][i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return size & (F.lit(registers) - differ >= least)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -82,43 +102,58 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     return pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double")
 
 
-def could_reach(threshold: float, n: str, other: str) -> Column:
-    """Sizes that allow the threshold at all; exact."""
-    return F.least(n, other) >= F.greatest(n, other) * threshold
+def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the given nodes, from the row of the least doc_id (repeated rows may repeat it)."""
+    rows = docs.select(text_node(F.col("text")).alias("node"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    first = rows.groupBy("node").agg(F.min("doc_id").alias("least")).join(nodes, "node")
+    same = (F.col("r.node") == F.col("f.node")) & F.col("r.doc_id").eqNullSafe(F.col("f.least"))
+    return rows.alias("r").join(first.alias("f"), same).select("r.node", "text")
 
 
-def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(verified links (a, b) that join all near-duplicates, components (node, component) of their nodes)."""
-    entries = written(band_entries(docs), "bands")
-    least = entries.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = written(
-        entries.join(least, "bucket").select("bucket", "node", "n", F.col("first.node").alias("b"), F.col("first.n").alias("n_b")), "shared"
+    registers = bands * rows
+    signs = written(signed(docs, bands, rows), "signatures")
+    entries = signs.select(F.explode("buckets").alias("bucket"), "node")
+    crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
+    crowd = written(entries.join(crowded, "bucket"), "crowd")
+    own = written(signs.join(crowd.select("node").distinct(), "node"), "crowd-signatures")
+    full = crowd.join(own.select("node", "n", "sketch"), "node")
+    leader = lambda seed: F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("rank"), "node", "n", "sketch"))
+    names = [f"leader_{i}" for i in range(LEADERS)]
+    heads = full.groupBy("bucket").agg(*[leader(i).alias(name) for i, name in enumerate(names)])
+    likely = lambda x: (x["node"] != F.col("node")) & may_link(threshold, registers, (F.col("n"), F.col("sketch")), (x["n"], x["sketch"]))
+    star = written(
+        full.join(heads, "bucket")
+        .select("node", F.explode(F.array_distinct(F.transform(F.filter(F.array(*names), likely), lambda x: x["node"]))).alias("b"))
+        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        .distinct(),
+        "star",
     )
-    star = shared.filter(F.col("node") != F.col("b")).filter(could_reach(threshold, "n", "n_b")).select(F.col("node").alias("a"), "b").distinct()
-    involved = shared.select("node").distinct()
-    own = docs.select(text_node(F.col("text")).alias("node"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    texts = written(own.join(involved, "node").dropDuplicates(["node"]), "texts")
+    texts = written(node_texts(docs, own.select("node")), "texts")
     first = written(verified(star, texts, threshold).select("a", "b"), "links")
     joined = components(first)
-    # What is left: nodes of a bucket in different components. The pairs compared above are known not to be links.
-    labelled = shared.select("bucket", "node", "n").join(joined, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("component", "node").alias("component")
-    )
+    # What is left: nodes of a bucket in different components. Pairs compared above are known not to be links.
+    labelled = crowd.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     open_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-    rest = written(labelled.join(open_buckets, "bucket"), "open")
-    other = rest.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
+    rest = written(labelled.join(open_buckets, "bucket").join(own, "node"), "open")
+    other = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "sketch", "component", "buckets")])
+    mine, theirs = (F.col("n"), F.col("sketch")), (F.col("n_b"), F.col("sketch_b"))
+    once = F.array_min(F.array_intersect("buckets", "buckets_b")) == F.col("bucket")  # of the buckets that a pair shares
     across = (
-        rest.withColumnRenamed("node", "a")
-        .join(other, "bucket")
-        .filter(F.col("component") < F.col("component_b"))
-        .filter(could_reach(threshold, "n", "n_b"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-        .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        rest.join(other, "bucket")
+        .filter((F.col("component") < F.col("component_b")) & may_link(threshold, registers, mine, theirs) & once)
+        .select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+        .join(star, ["a", "b"], "left_anti")
     )
     second = written(verified(across, texts, threshold).select("a", "b"), "links")
-    both = first.unionByName(second)
-    return both, components(both)
+    # Links found across components join these, so only they are left to connect.
+    top = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
+    bridges = second.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("a_top", "a").alias("a"), F.coalesce("b_top", "b").alias("b"))
+    over = components(bridges).select(F.col("node").alias("component"), F.col("component").alias("over"))
+    ends = second.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = joined.unionByName(ends.join(joined, "node", "left_anti").select("node", F.col("node").alias("component")))
+    return first.unionByName(second), nodes.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -135,10 +170,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one row for each class: that of the least doc_id."""
     found = classes(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    chosen = found.groupBy("component", "doc_id").agg(F.min("node").alias("node")).select("doc_id", "node").alias("c")
+    chosen = written(found.groupBy("component", "doc_id").agg(F.min(F.struct("node")).alias("at"), F.count(F.lit(1)).alias("n")).select("doc_id", "at.node", "n"), "chosen")
     rows = docs.select(F.struct(*docs.columns).alias("row"), text_node(F.col("text")).alias("node")).alias("d")
     same = (F.col("d.node") == F.col("c.node")) & F.col("d.row.doc_id").eqNullSafe(F.col("c.doc_id"))
-    kept = rows.join(chosen, same).select("d.node", "d.row").dropDuplicates(["node"])
+    kept = rows.join(chosen.alias("c"), same).select("d.node", "d.row")
+    if chosen.filter("n > 1").limit(1).count():  # repeated rows: only then one more shuffle
+        kept = kept.dropDuplicates(["node"])
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

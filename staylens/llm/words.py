@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one slice holds at most (a longer text is a slice of its own).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 SLICE_ROWS = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
