@@ -216,7 +216,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 names = [x.split()[0] for x in SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).filter("length > 0").select("content")
     return files.mapInArrow(decoded, SCHEMA)
 
 

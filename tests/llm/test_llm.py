@@ -250,6 +250,9 @@ def test_archives(spark):
     rows = sorted(((r.page_id or 0), r.record_type, r.refers_to, r.payload_bytes, r.record_ok) for r in warc.read_archives(spark, path).collect())
     assert rows == [(0, "response", None, 0, True), (3, "response", None, 200, True), (5, "revisit", 3, 200, True), (7, "revisit", 3, 200, True), (9, "response", None, 5, True), (9, "response", None, 5, True)]
     assert warc.read_archives(spark, path).filter("problem IS NOT NULL").count() == 0
+    path = new_path(spark, "warc")
+    warc.write_archives(warc.with_targets(spark.createDataFrame([], "page_id long, url string, html string")), path)
+    assert warc.read_archives(spark, path).count() == 0
 
 
 def test_broken_records():
