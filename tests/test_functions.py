@@ -40,6 +40,11 @@ CASES = [
     ("long", lambda x: U.range_bucket(x, compat=True), {51: "1-100"}),
     ("string", U.page_key, {"https://x/vn/a-b.vi.html?x=1": "a_b.json", "https://x/a_c.html": "a_c.json"}),
     ("string", lambda x: U.page_key(x, compat=True), {"https://x/a-b.vi.html": "a_b.vi.json"}),
+    ("string", U.folder_of, {"a\\b\\c.txt": "b", "x/y/z": "y"}),
+    ("string", U.slug_title, {"da-nang_city": "Da Nang City"}),
+    ("string", U.is_range_folder, {"1-100": True, "-": False, "a-1": False, "100": False}),
+    ("string", T.has_repeats, {"ok ok": True, "aaaa": True, "aaa b": False, None: False}),
+    ("string", lambda x: L.is_vietnamese_simple(x, F.lit("Vietnam")), {"đẹp lắm": True, "nice": False, "phòng rất đẹp và sạch": True}),
     (
         "string",
         L.language_rule,
