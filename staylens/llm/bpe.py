@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LONG_WORD = 200
-#: Chunks of text between white space whose tokens a worker remembers; a full memory starts anew.
-MEMORY = 250_000
+#: Chunks of text between white space, and words, whose tokens a worker remembers; a full memory starts anew.
+MEMORY = 300_000
 _NONE = 1 << 60
 
 
@@ -53,7 +53,8 @@ class Tokenizer:
         vocab: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [vocab[a + b] for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in chain(vocab.items(), self.special.items())}
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
@@ -63,59 +64,69 @@ class Tokenizer:
         letters = byte_letters()
         self.inner = [vocab[x] for x in letters]
         self.last = [vocab[x + self.end] for x in letters]
+        #: Tokens of chunks and of words as the merges see them: (ids, ids as text, decoded).
         self.memory: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self.words: dict[str, tuple[tuple[int, ...], str, str]] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Token ids of one word from the ids of its bytes."""
         if len(ids) > LONG_WORD:
             return self._merge_long(ids)
-        find = self.merges.get
-        none = (_NONE, 0)
-        ranks = [find(pair, none) for pair in zip(ids, ids[1:])]
+        find = self.ranks.get
+        ranks = [find(pair, _NONE) for pair in zip(ids, ids[1:])]
         while ranks:
             least = min(ranks)
-            if least[0] == _NONE:
+            if least == _NONE:
                 break
             at = ranks.index(least)
-            ids[at] = least[1]
-            del ids[at + 1]
-            del ranks[at]
+            ids[at] = self.merged[least]
+            del ids[at + 1], ranks[at]
             if at < len(ranks):
-                ranks[at] = find((ids[at], ids[at + 1]), none)
+                ranks[at] = find((ids[at], ids[at + 1]), _NONE)
             if at:
-                ranks[at - 1] = find((ids[at - 1], ids[at]), none)
+                ranks[at - 1] = find((ids[at - 1], ids[at]), _NONE)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(self.merges[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merges]
+        heap = [(self.ranks[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.ranks]
         heapq.heapify(heap)
         alive = [True] * n
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if not alive[i] or j >= n or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], alive[j], after[i] = self.merges[a, b][1], False, after[j]
+            ids[i], alive[j], after[i] = self.merged[rank], False, after[j]
             if after[j] < n:
                 before[after[j]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (p := (ids[x], ids[y])) in self.merges:
-                    heapq.heappush(heap, (self.merges[p][0], x, *p))
+                if x >= 0 and y < n and (p := (ids[x], ids[y])) in self.ranks:
+                    heapq.heappush(heap, (self.ranks[p], x, *p))
         return [x for x, kept in zip(ids, alive, strict=True) if kept]
 
+    def _word(self, word: str) -> tuple[tuple[int, ...], str, str]:
+        raw = word.encode()
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        ids = self.merge(ids)
+        found = (tuple(ids), " ".join(map(str, ids)), self.decode(ids))
+        if len(self.words) >= MEMORY:
+            self.words.clear()
+        if len(raw) <= 64:
+            self.words[word] = found
+        return found
+
     def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str, str]:
-        text = "".join(c.lower() for c in unicodedata.normalize("NFC", chunk)) if not chunk.isascii() else chunk.lower()
-        ids: list[int] = []
-        for word in self.word.findall(text):
-            raw = word.encode()
-            own = [self.inner[b] for b in raw]
-            own[-1] = self.last[raw[-1]]
-            ids += self.merge(own)
+        text = chunk.lower() if chunk.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", chunk))
+        known = self.words.get
+        parts = [known(w) or self._word(w) for w in self.word.findall(text)]
+        found = parts[0] if len(parts) == 1 else (
+            tuple(chain.from_iterable(p[0] for p in parts)), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+        )
         if len(self.memory) >= MEMORY:
             self.memory.clear()
-        found = (tuple(ids), " ".join(map(str, ids)), self.decode(ids))
         if len(chunk) <= 64:
             self.memory[chunk] = found
         return found
