@@ -31,6 +31,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 8
 #: Nodes of a bucket that all others of it are compared with first.
 LEADERS = 4
+#: Pairs of texts whose shingles a task holds at a time.
+PAIRS_AT_ONCE = 500
 
 
 def text_node(text: Column) -> Column:
@@ -83,20 +85,22 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     """Those (a, b) of pairs whose texts (node, text) reach the threshold, with their similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = []
-            for name in ("text_a", "text_b"):
-                sets: list[np.ndarray] = []
-                for part in slices(batch.column(name)):
-                    hashes, bounds = shingles(split_words(part, ALNUM_SPLIT, LOWER), K)
-                    sets += np.split(hashes, bounds[1:-1])
-                held.append(sets)
-            found = np.array([similarity(x, y) for x, y in zip(*held, strict=True)])
-            good = np.flatnonzero(found >= threshold)
-            at = pa.array(good)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").take(at), batch.column("b").take(at), pa.array(found[good], pa.float64())], names=["a", "b", "similarity"]
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, PAIRS_AT_ONCE):
+                batch = whole.slice(start, PAIRS_AT_ONCE)
+                held = []
+                for name in ("text_a", "text_b"):
+                    sets: list[np.ndarray] = []
+                    for part in slices(batch.column(name)):
+                        hashes, bounds = shingles(split_words(part, ALNUM_SPLIT, LOWER), K)
+                        sets += np.split(hashes, bounds[1:-1])
+                    held.append(sets)
+                found = np.array([similarity(x, y) for x, y in zip(*held, strict=True)])
+                good = np.flatnonzero(found >= threshold)
+                at = pa.array(good)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a").take(at), batch.column("b").take(at), pa.array(found[good], pa.float64())], names=["a", "b", "similarity"]
+                )
 
     named = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     return pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double")
