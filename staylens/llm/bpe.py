@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 LONG_WORD = 200
 #: Chunks of text between white space, and words, whose tokens a worker remembers; a full memory starts anew.
-MEMORY = 300_000
+MEMORY = 150_000
 _NONE = 1 << 60
 
 
@@ -145,6 +145,10 @@ class Tokenizer:
                 if found[0]:
                     yield found
 
+    def forget(self) -> None:
+        """Frees what was remembered, as a worker process outlives its task and its stage."""
+        self.memory, self.words = {}, {}
+
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(p[0] for p in self.pieces(text)))
 
@@ -173,6 +177,7 @@ def encode(docs: DataFrame, path: str | None = None, column: str = "text") -> Da
                 part = batch.slice(at, 1000)
                 ids = pa.array([own.encode(t or "") for t in texts[at : at + 1000].to_pylist()], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in rest), ids], names=schema.names)
+        own.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -208,6 +213,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 texts.append(hashlib.sha256(" ".join([p[2] for p in found]).encode()).hexdigest())
             arrays = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=names)
+        own.forget()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
