@@ -177,6 +177,22 @@ def test_repeated_passages(spark):
     assert left[51] == texts[51][60:] and len(left[52]) == 35 and all(left[i] == t for i, t in texts.items() if i not in (51, 52))
 
 
+def test_repeats_behind_partial_copies(spark):
+    r = random.Random(8)
+    words = lambda n: r.choices(WORDS, k=n)
+    texts, whole = {}, []
+    for g in range(20):
+        p, at = words(60), 10 * g
+        texts |= {at: words(20) + p[:45] + words(20), at + 1: words(20) + p[30:] + words(20), at + 2: words(30) + p + words(30)}
+        texts |= {at + 3: words(20) + p[:45] + words(20), at + 4: words(20) + p[15:] + words(9), at + 5: words(40) + p + words(10)}
+        whole.append((at + 5, at + 2, 40, 100))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {(x.doc_id, x.source_id, x.start, x.stop) for x in substring_dedup.passages(docs).collect()}
+    assert found == set(whole)
+    left = {x.doc_id: x.text.split() for x in substring_dedup.cut(docs).collect()}
+    assert all(left[i] == (t if i % 10 != 5 else t[:40] + t[100:]) for i, t in texts.items())
+
+
 def test_bpe_equals_the_library():
     from tokenizers import Tokenizer
 
