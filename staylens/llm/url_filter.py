@@ -1,11 +1,11 @@
 """URL rules and a weighted URL vocabulary.
 
-Terms are found with an Aho-Corasick automaton over the lower-cased host and path; a hit counts only between
-boundaries (no letter or digit beside it). One strict term rejects a URL, as do ``soft_limit`` different soft terms.
+Terms are found with an Aho-Corasick automaton over the whole lower-cased URL behind its ``://`` (all of it where there is
+none), query and fragment included; a hit counts only between boundaries (no letter or digit beside it). One strict term rejects a URL, as do ``soft_limit`` different soft terms.
 Rules (host and path prefix) come first: a rule fits its host and all subdomains if the path starts with the rule's
 path, and the longest rule (labels of the host, then characters of the path) wins.
 
-Nulls and URLs without ``://`` have an empty host and path; no rule fits them and no term is found: allowed.
+Nulls and URLs without ``://`` have an empty host and path, so no rule fits them; terms alone decide, and a null has none.
 Repeated rows get equal results, extra columns are ignored, an empty table gives an empty one.
 """
 
@@ -74,6 +74,12 @@ def parts(url: str | None) -> tuple[str, str]:
     return host.translate(_ASCII_LOWER), tail[:cut]
 
 
+def searched(url: str | None) -> str:
+    """The part of a URL that terms are searched in, lower-cased."""
+    before, found, rest = (url or "").partition("://")
+    return (rest if found else before).lower()
+
+
 class Rules:
     """Rules by host; a look-up walks the host's own suffixes, so its cost does not grow with the rules of other hosts."""
 
@@ -106,7 +112,7 @@ def judge_urls(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_lim
             for url in batch.column("url").to_pylist():
                 host, path = parts(url)
                 rule, action = known.find(host, path)
-                hard, easy = term_hits(f"{host}{path}".lower(), strict, soft)
+                hard, easy = term_hits(searched(url), strict, soft)
                 bad = bool(hard) or len(easy) >= soft_limit
                 rows.append((host, path, rule, action or ("block" if bad else "allow"), len(hard), len(easy)))
             columns = list(zip(*rows, strict=True)) or [()] * 6

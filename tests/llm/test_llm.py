@@ -291,6 +291,15 @@ def test_url_edges(spark):
     assert got[8][1:] == ("example.net/de/8", "block") and got[9][1:] == ("net/de/", "allow")
 
 
+def test_urls_are_searched_as_a_whole(spark):
+    urls = ["https://example.com/search?q=porn+casino", "www.casino-xxx.com/a", "http://x.org/#free-bets", "http://x.org/a?q=freebets", "http://x.org/a?next=http://y.org/XXX", "http://a.net/de/?q=casino"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.verdict, r.strict_hits, r.soft_hits) for r in url_filter.judge_urls(df).collect()}
+    assert got[0] == ("example.com", "/search", "block", 2, 0) and got[1] == ("", "", "block", 2, 0)
+    assert got[2] == ("x.org", "/", "block", 0, 2) and got[3][2:] == ("allow", 0, 0) and got[4][2:] == ("block", 1, 0)
+    assert got[5] == ("a.net", "/de/", "allow", 1, 0)
+
+
 def test_tool_calls(spark):
     calls = spark.createDataFrame(
         [
