@@ -88,6 +88,12 @@ def char_dominance(spark, d):
     return docs(spark, d).select("doc_id", T.dominated_by_char(F.substring("text", 1, 12)).alias("dominated"))
 
 
+@query("char_dominance_whole")
+def char_dominance_whole(spark, d):
+    """Every document judged by its whole text, which the SQL of char_dominance cuts; held by tests."""
+    return docs(spark, d).select("doc_id", T.dominated_by_char(F.col("text")).alias("dominated"))
+
+
 @query(
     "empty_filter",
     on_reviews("SELECT count(*) AS n FROM reviews WHERE NOT ((positive_comment IS NULL OR length(trim(positive_comment)) < 5) AND (negative_comment IS NULL OR length(trim(negative_comment)) < 5))"),

@@ -97,3 +97,18 @@ def test_cleaning_keeps_vietnamese(spark):
     df = spark.createDataFrame(rows, "i int, review_name string, country string, month_year string, score double, positive_comment string, rating string, negative_comment string")
     out = cleaning.clean(df, ("i",), lexicon=("nhân viên",)).collect()
     assert [(r.i, r.stt) for r in out] == [(1, 1)] and "nhân_viên" in out[0].word_segmented
+
+
+def documents_at(path, spark, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_char_dominance_of_whole_texts(spark, tmp_path):
+    from staylens.plans import registry
+
+    texts = ["a short start " + "x" * 400, "-----, and then a text like any other", "ééééééé\U0001f600", "aaaa", "", None, "\U0001f600" * 9 + "ab"]
+    rows = registry.queries()["char_dominance_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    most = lambda t: max(map(t.count, t), default=0)
+    assert {r.doc_id: r.dominated for r in rows} == {i: len(t or "") >= 5 and most(t) > 0.7 * len(t) for i, t in enumerate(texts)}
+    assert [r.dominated for r in sorted(rows)][:2] == [True, False]
