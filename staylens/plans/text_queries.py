@@ -315,6 +315,16 @@ def segment_words(spark, d):
     return docs(spark, d).select("doc_id", (F.length(x) - F.length(F.replace(T.segment(x, ("of the",)), F.lit("_"), F.lit("")))).cast("long").alias("joined"))
 
 
+#: Vietnamese terms of several words, as the abbreviations are written out.
+TERMS = tuple(dict.fromkeys(v for v in lexicons.ABBREVIATIONS.values() if " " in v))
+
+
+@query("segment_words_whole")
+def segment_words_whole(spark, d):
+    """Digest of every document's text, segmented; the SQL of segment_words reads none. Held by tests."""
+    return docs(spark, d).select("doc_id", F.md5(T.segment(F.col("text"), TERMS)).alias("digest"))
+
+
 @query(
     "vietnamese_simple",
     rf"""WITH b AS (SELECT doc_id, {STRIPPED.format("coalesce(text, '')")} AS s FROM documents), l AS (SELECT doc_id, s, lower(s) AS l FROM b),

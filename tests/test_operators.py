@@ -112,3 +112,24 @@ def test_char_dominance_of_whole_texts(spark, tmp_path):
     most = lambda t: max(map(t.count, t), default=0)
     assert {r.doc_id: r.dominated for r in rows} == {i: len(t or "") >= 5 and most(t) > 0.7 * len(t) for i, t in enumerate(texts)}
     assert [r.dominated for r in sorted(rows)][:2] == [True, False]
+
+
+def test_segmentation_of_whole_texts(spark, tmp_path):
+    import hashlib
+    import re
+
+    from staylens.plans import registry
+    from staylens.plans.text_queries import TERMS
+
+    texts = ["Dịch vụ tốt, vị trí đẹp. xdịch vụ", "bữa sáng BỮA SÁNG bữa  sáng", "word " * 3000 + "giá cả", "", None, "no term of the list"]
+    one = "|".join(re.escape(w) for w in sorted(TERMS, key=len, reverse=True))
+
+    def joined(m):
+        hit = m.group()
+        word = hit.lower().replace(" ", "_")
+        return word.upper() if hit.isupper() else word.capitalize() if hit[0].isupper() else word
+
+    want = {i: None if x is None else hashlib.md5(re.sub(rf"(?i)\b(?:{one})\b", joined, x).encode()).hexdigest() for i, x in enumerate(texts)}
+    rows = registry.queries()["segment_words_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    assert {r.doc_id: r.digest for r in rows} == want
+    assert want[2] != hashlib.md5(texts[2].encode()).hexdigest()
