@@ -112,8 +112,8 @@ def normalize_text(spark, d):
     return T.nfc(docs(spark, d).select("doc_id", "text"), "text").select("doc_id", F.md5(T.normalize(F.col("text"))).alias("digest"))
 
 
-#: Abbreviations of one word, which a token by token look-up in SQL can follow.
-ONE_WORD = {k: v for k, v in lexicons.ABBREVIATIONS.items() if k.isalnum()}
+#: Abbreviations of one word among the first 195, which the token by token look-up in SQL was written for.
+ONE_WORD = {k: v for k, v in list(lexicons.ABBREVIATIONS.items())[:195] if k.isalnum()}
 KEYS, VALUES = sql_list(ONE_WORD), sql_list(ONE_WORD.values())
 
 
@@ -133,6 +133,13 @@ def mapping_count(spark, d):
     return docs(spark, d).select("doc_id", T.count_replacements(words_only(F.col("text")), ONE_WORD).alias("n"))
 
 
+@query("text_mapping_whole")
+def text_mapping_whole(spark, d):
+    """Every abbreviation in every document, keys of several words too, with their number; held by tests."""
+    x = F.col("text")
+    return docs(spark, d).select("doc_id", F.md5(T.apply_mapping(x)).alias("digest"), T.count_replacements(x).alias("n"))
+
+
 PHONE = "('0' || ['3','5','6','9'][(o_orderkey % 4 + 1)::INT] || lpad((o_orderkey * 7919 % 100000000)::VARCHAR, 8, '0'))"
 
 

@@ -133,3 +133,27 @@ def test_segmentation_of_whole_texts(spark, tmp_path):
     rows = registry.queries()["segment_words_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
     assert {r.doc_id: r.digest for r in rows} == want
     assert want[2] != hashlib.md5(texts[2].encode()).hexdigest()
+
+
+def test_mapping_with_the_whole_table(spark, tmp_path):
+    import hashlib
+    import re
+
+    from staylens.functions.lexicons import ABBREVIATIONS
+    from staylens.plans import registry
+
+    assert len(ABBREVIATIONS) == 255
+    texts = ["Take care, KHACH SAN 5*a 5* check-in", "double voucher hehe review", "check in check-out wi-fi ô tô xanh sm not worth", "word " * 3000 + "sea view", "", None, "Near Beach sach se sach"]
+    one = "|".join(re.escape(w) for w in sorted(ABBREVIATIONS, key=len, reverse=True))
+
+    def written_out(m):
+        hit, word = m.group(), ABBREVIATIONS[m.group().lower()]
+        return word.upper() if hit.isupper() else word.capitalize() if hit[0].isupper() else word
+
+    want = {}
+    for i, x in enumerate(texts):
+        done, n = (None, 0) if x is None else re.subn(rf"(?i)\b(?:{one})\b", written_out, x)
+        want[i] = (done and hashlib.md5(done.encode()).hexdigest() if x else x if x is None else hashlib.md5(b"").hexdigest(), n)
+    rows = registry.queries()["text_mapping_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    assert {r.doc_id: (r.digest, r.n) for r in rows} == want
+    assert want[1][1] == 4
