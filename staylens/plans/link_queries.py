@@ -207,6 +207,11 @@ def full_pipeline(spark, d):
     return cleaning.example(spark, d)
 
 
+@query("full_pipeline_whole")
+def full_pipeline_whole(spark, d):
+    return cleaning.whole(spark, d)
+
+
 @query(
     "stream_windows",
     "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H') AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",

@@ -157,3 +157,27 @@ def test_mapping_with_the_whole_table(spark, tmp_path):
     rows = registry.queries()["text_mapping_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
     assert {r.doc_id: (r.digest, r.n) for r in rows} == want
     assert want[1][1] == 4
+
+
+def test_whole_cleaning_of_texts(spark, tmp_path):
+    import hashlib
+    import unicodedata
+
+    from staylens.plans import registry
+
+    texts = [
+        "Phòng sạch đẹp \U0001f600\U0001f600, nv rất thân thiện và ks ở gần bãi biển!!!",
+        unicodedata.normalize("NFD", "Được ở gần bãi biển, dịch vụ tốt và giá cả hợp lý"),
+        "Gọi số 0912345678 để đặt phòng, nhân viên rất nhiệt tình và vui vẻ",
+        "\U0001f600", "", None, "the room was very good and clean, near the beach",
+        "ăn sáng rất rất ngon, vị trí tốt được ở gần bãi biển",
+    ]
+    cleaned = {
+        0: ("phòng sạch sẽ đẹp nhân viên rất thân thiện và khách sạn ở gần bãi biển", "phòng sạch_sẽ đẹp nhân_viên rất thân_thiện và khách_sạn ở gần_bãi_biển"),
+        1: ("tốt ở gần bãi biển dịch vụ tốt và giá cả hợp lý", "tốt ở gần_bãi_biển dịch_vụ tốt và giá_cả hợp_lý"),
+        2: ("gọi số để đặt phòng nhân viên rất nhiệt tình và vui vẻ", "gọi số để đặt_phòng nhân_viên rất nhiệt tình và vui_vẻ"),
+        7: ("ăn sáng rất ngon vị trí tốt ở gần bãi biển", "ăn sáng rất ngon vị_trí tốt ở gần_bãi_biển"),
+    }
+    rows = registry.queries()["full_pipeline_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    digest = lambda x: hashlib.md5(x.encode()).hexdigest()
+    assert {r.review_id: (r.digest, r.segmented) for r in rows} == {i: (digest(a), digest(b)) for i, (a, b) in cleaned.items()}
