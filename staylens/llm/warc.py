@@ -33,8 +33,6 @@ LEAST_BYTES = 100
 #: The dictionary is trained on at most so many records of a task, of at most so many bytes each.
 DICT_SAMPLES, DICT_SAMPLE_BYTES, DICT_BYTES = 200, 16_384, 32_768
 LEVEL = 3
-#: Bytes of a record header that the reader accepts.
-HEADER_MOST = 65_536
 ARCHIVE_MOST = 512 * 1024 * 1024
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_ok boolean, problem string"
 
@@ -78,7 +76,7 @@ def _page(value: bytes | None, name: str) -> int | None:
 
 def parse_record(raw: bytes) -> tuple:
     """page_id, payload_bytes, digest, type, refers_to, url of a decoded record; WarcError if it is not sound."""
-    head, found, rest = raw[:HEADER_MOST].partition(b"\r\n\r\n")
+    head, found, rest = raw.partition(b"\r\n\r\n")
     if not found:
         raise WarcError("header does not end")
     first, *lines = head.split(b"\r\n")

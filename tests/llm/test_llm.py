@@ -271,6 +271,14 @@ def test_archives(spark):
     assert warc.read_archives(spark, path).count() == 0
 
 
+def test_long_urls_are_read_back(spark):
+    pages = [(1, "http://x.org/" + "a" * 200_000, "text"), (2, "http://x.org/" + "é" * 70_000, "text")]
+    path = new_path(spark, "warc")
+    warc.write_archives(warc.with_targets(spark.createDataFrame(pages, "page_id long, url string, html string")), path)
+    rows = {r.page_id: (r.url, r.payload_bytes, r.record_ok, r.problem) for r in warc.read_archives(spark, path).collect()}
+    assert rows == {i: (url, 4, True, None) for i, url, _ in pages}
+
+
 def test_broken_records():
     good = warc.record(1, "u", b"payload", __import__("hashlib").sha256(b"payload").hexdigest(), None)
     assert warc.parse_record(good)[:2] == (1, 7)
