@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out labels, and their edge cases."""
 
 import collections
+import hashlib
 import random
 import re
 
@@ -199,18 +200,36 @@ def test_bpe_equals_the_library():
     theirs, ours = Tokenizer.from_file(bpe.default_path()), bpe.Tokenizer(bpe.default_path())
     r = random.Random(3)
     pieces = list("abcABC 's't've 'LL İıßẞΣσςéÉ́ \t\n\x1c\x1d\x85\xa0　​日本한ไ🎉²½Ⅷ_-.,'<|>") + ["<|startoftext|>", "<|endoftext|>"]
-    texts = ["".join(r.choices(pieces, k=r.randint(0, 30))) for _ in range(1500)] + ["a" * 3000, "abcde" * 900, "!" * 700 + "x", ""]
-    texts += [x[0] for x in duckdb.sql(f"SELECT text FROM '{DATA}/documents.parquet'").fetchall()]
-    for t in texts:
-        ids = theirs.encode(t, add_special_tokens=False).ids
-        assert ours.encode(t) == ids
-        assert ours.decode(ids) == theirs.decode(ids, skip_special_tokens=False) == " ".join(p[2] for p in ours.pieces(t))
+    texts = ["".join(r.choices(pieces, k=r.randint(0, 30))) for _ in range(3000)] + ["a" * 3000, "abcde" * 900, "!" * 700 + "x", "", "\n", None, "word " * 100_000]
+    texts += [r.choice("ab-") * 39 + "é" * k for k in range(4)] + [x[0] for x in duckdb.sql(f"SELECT text FROM '{DATA}/documents.parquet'").fetchall()]
+    want = [x.ids for x in theirs.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    encoded = list(ours.encode_column(pa.array(texts)))
+    assert [e.ids[a:b].tolist() for e in encoded for a, b in zip(e.bounds, e.bounds[1:])] == want
+    got = [bytes(x).decode() for e in encoded for x in ours.decode_column(e.ids, e.bounds)]
+    assert got == [theirs.decode(i, skip_special_tokens=False) for i in want]
+    assert ours.encode("Hello World's") == theirs.encode("Hello World's", add_special_tokens=False).ids
+    assert ours.decode([1, 10**6, -1, 2]) == theirs.decode([1, 10**6, 2], skip_special_tokens=False)
+
+
+def test_bpe_digests_equal_the_library(spark):
+    """The whole query against the library."""
+    from tokenizers import Tokenizer
+
+    theirs, sha = Tokenizer.from_file(bpe.default_path()), lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = {}
+    for i, t in duckdb.sql(f"SELECT doc_id, text FROM '{DATA}/documents.parquet'").fetchall():
+        ids = theirs.encode(t or "", add_special_tokens=False).ids
+        want[i] = (len(ids), sha(" ".join(map(str, ids))), sha(theirs.decode(ids, skip_special_tokens=False)))
+    assert {r[0]: tuple(r)[1:] for r in bpe.op10_bpe(spark, DATA).collect()} == want
 
 
 def test_bpe_encode_and_decode_frames(spark):
-    docs = spark.createDataFrame([(1, "Hello World's"), (2, None)], "doc_id long, text string")
-    rows = {x.doc_id: x.decoded for x in bpe.decode(bpe.encode(docs)).collect()}
-    assert rows == {1: "hello</w> world</w> 's</w>", 2: ""}
+    docs = spark.createDataFrame([(1, "Hello World's", "x", "y"), (2, None, None, None)], "doc_id long, text string, token_ids string, decoded string")
+    encoded = bpe.encode(docs)
+    assert encoded.columns == ["doc_id", "decoded", "token_ids"]
+    assert {x.doc_id: x.decoded for x in bpe.decode(encoded).collect()} == {1: "hello</w> world</w> 's</w>", 2: ""}
+    odd = spark.createDataFrame([(1, [encoded.first().token_ids[0], None, 10**6]), (2, None), (3, [])], "doc_id long, token_ids array<int>")
+    assert [x.decoded for x in bpe.decode(odd).orderBy("doc_id").collect()] == ["hello</w>", "", ""]
 
 
 def test_word_hashes_do_not_depend_on_slices():
