@@ -37,7 +37,7 @@ from staylens.llm.words import BLANK_SPLIT, slices, text_buffers
 
 SHORT_WORD, LONG_WORD = 40, 200
 #: Bytes of text that are encoded at a time (a longer text is encoded as a whole).
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 _NONE = 1 << 30
 
 

@@ -6,11 +6,13 @@ of benchmark-word symbols; every run of other words and every end of a document
 through wavelet ranks finds the windows' row ranges, sampled suffix positions locate them, and the words hit are merged
 into spans.
 
-The benchmark goes to the tasks in batches of at most BATCH_BYTES of text, and documents pass once for each batch, so
-what a task holds does not grow with the benchmark. Nothing is shuffled.
+The benchmark goes to the tasks in batches of about BATCH_BYTES of text. Documents pass once for each batch and are written
+to the shared folder in between, so neither a task nor the driver holds more than one batch at a time, however large the
+benchmark is. Nothing is shuffled.
 
 Nulls: a null text has no words; a null item text has no windows; items with a null id count as hits but are not named.
-Repeated rows each get their result, repeated item ids count once, extra columns are kept by cut() and ignored by scan().
+Repeated rows each get their result, repeated item ids count once, extra columns of any name are kept by cut() and ignored
+by scan(). Without items nothing is hit; without documents the result is empty.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.llm.fm_index import FMIndex
+from staylens.llm.storage import written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, Words, slices, split_words
 
 WINDOW = 10
@@ -146,45 +149,51 @@ def _spans_array(rows: list[list[tuple[int, int]]]) -> pa.Array:
     return pa.array([[{"start": a, "stop": b} for a, b in r] for r in rows], kind)
 
 
-def _batches(benchmark: DataFrame, most: int) -> list[list[tuple[object, str | None]]]:
-    """Items in batches whose text is about most bytes at the most; the driver holds one batch at a time."""
+def _batches(benchmark: DataFrame, most: int) -> Iterator[tuple[bool, list[tuple[object, str | None]]]]:
+    """Whether it is the last, and its items, of each of the batches of about most bytes of text; collected one at a time."""
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     n = int(size // most) + 1
     part = F.pmod(F.xxhash64("text"), F.lit(n))
     for k in range(n):
-        yield [(r[0], r[1]) for r in benchmark.select("item_id", "text").filter(part == k).collect()]
+        yield k == n - 1, [(r[0], r[1]) for r in benchmark.select("item_id", "text").filter(part == k).collect()]
+
+
+def _free_name(name: str, taken: list[str]) -> str:
+    while name.lower() in {x.lower() for x in taken}:
+        name += "_"
+    return name
 
 
 def _pass(docs: DataFrame, benchmark: DataFrame, final, schema: str | T.StructType, most: int) -> DataFrame:
     """docs once through each batch of the benchmark; final makes a record batch of a batch, its words, spans and items."""
-    spark = docs.sparkSession
-    state = T.StructType.fromDDL("__spans array<struct<start:long,stop:long>>, __items array<string>")
+    spark, columns = docs.sparkSession, docs.columns
+    s, i = _free_name("spans", columns), _free_name("items", columns)
+    state = T.StructType.fromDDL(f"`{s}` array<struct<start:long,stop:long>>, `{i}` array<string>")
     held = T.StructType([*docs.schema.fields, *state.fields])
-    batches = list(_batches(benchmark, most))
-    for k, items in enumerate(batches):
+    first = True
+    for last, items in _batches(benchmark, most):
         found = spark.sparkContext.broadcast(windows_of(items))
-        last = k == len(batches) - 1
 
-        def run(stream: Iterator[pa.RecordBatch], found=found, first=k == 0, last=last) -> Iterator[pa.RecordBatch]:
+        def run(stream: Iterator[pa.RecordBatch], found=found, first=first, last=last) -> Iterator[pa.RecordBatch]:
             for batch in stream:
                 n_words, spans, items = [], [], []
                 for row, n, own, names in _marked(batch, found.value):
                     if not first:
-                        own = merge(own + [(x["start"], x["stop"]) for x in batch.column("__spans")[row].as_py()])
-                        names = names | set(batch.column("__items")[row].as_py())
+                        own = merge(own + [(x["start"], x["stop"]) for x in batch.column(s)[row].as_py()])
+                        names = names | set(batch.column(i)[row].as_py())
                     n_words.append(n)
                     spans.append(own)
                     items.append(sorted(names))
+                own = pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(columns))], names=columns)
                 if last:
-                    yield final(batch, n_words, spans, items)
+                    yield final(own, n_words, spans, items)
                 else:
-                    names = [n for n in batch.schema.names if not n.startswith("__")]
-                    columns = [batch.column(n) for n in names]
-                    yield pa.RecordBatch.from_arrays(
-                        [*columns, _spans_array(spans), pa.array(items, pa.list_(pa.string()))], names=[*names, "__spans", "__items"]
-                    )
+                    yield pa.RecordBatch.from_arrays([*own.columns, _spans_array(spans), pa.array(items, pa.list_(pa.string()))], names=held.names)
 
         docs = docs.mapInArrow(run, schema if last else held)
+        if not last:
+            docs, first = written(docs, "decontaminated"), False
+            found.destroy()
     return docs
 
 
@@ -224,10 +233,8 @@ def _cut(batch: pa.RecordBatch, n_words: list, spans: list, items: list) -> pa.R
                         left.append(raw[at : words.starts[words.bounds[i] + a] - base])
                         at = words.ends[words.bounds[i] + b - 1] - base
                     texts[part.first + i] = b"".join([*left, raw[at:]]).decode()
-    names = [n for n in batch.schema.names if not n.startswith("__")]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(texts, column.type) if n == "text" else batch.column(n) for n in names], names=names
-    )
+    names = batch.schema.names
+    return pa.RecordBatch.from_arrays([pa.array(texts, column.type) if n == "text" else c for n, c in zip(names, batch.columns, strict=True)], names=names)
 
 
 def cut(docs: DataFrame, benchmark: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -236,8 +243,10 @@ def cut(docs: DataFrame, benchmark: DataFrame, batch_bytes: int = BATCH_BYTES) -
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
-    """Contract query: every document against the whole benchmark."""
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Contract query: every document against the whole benchmark; the named items and the merged spans as text."""
+    found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat(x["start"], F.lit("-"), x["stop"])), ",")
+    return found.withColumns({"item_ids": F.array_join("item_ids", ","), "spans": spans})
 
 
 ORACLE = """
@@ -251,9 +260,12 @@ ks AS (SELECT DISTINCT k FROM win),
 occ AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
         FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
 hit AS (SELECT doc_id, occ.i, occ.k, win.item_id FROM occ JOIN win ON win.g = occ.g AND win.k = occ.k),
-n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM hit)) GROUP BY doc_id),
+pos AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM hit))),
+island AS (SELECT doc_id, min(p) - 1 AS a, max(p) AS b FROM (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS g FROM pos) GROUP BY doc_id, g),
+n AS (SELECT doc_id, sum(b - a) AS n_hit, string_agg(a || '-' || b, ',' ORDER BY a) AS spans FROM island GROUP BY doc_id),
 it AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
-  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(array_to_string(ids, ','), '') AS item_ids, coalesce(spans, '') AS spans
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id
 """

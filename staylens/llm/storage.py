@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset (tests) a local folder."""
+    """spark.checkpoint.dir; a local folder only where it is unset and all runs on this machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or f"file://{tempfile.gettempdir()}/staylens-checkpoints").rstrip("/")
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"file://{tempfile.gettempdir()}/staylens-checkpoints"
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, what: str) -> str:
@@ -22,5 +27,13 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """df as a table in the shared folder: its lineage ends there and lost executors do not matter."""
     path = new_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
 
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of written() that nothing reads any more; what was derived from them has to be written by then."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
