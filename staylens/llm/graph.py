@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.skew import spread_join
 from staylens.llm.storage import written
 
 
@@ -23,15 +24,15 @@ def components(edges: DataFrame) -> DataFrame:
         ranked = lambda c: F.struct(F.xxhash64(c).alias("rank"), c.alias("node"))
         near = both.groupBy("a").agg(F.min(ranked(b)).alias("near"))
         step = written(near.select(a.alias("node"), F.least(ranked(a), "near")["node"].alias("up")), "up")
-        step = written(step.join(step.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", "top"), "top")
+        step = written(spread_join(step, step.select(F.col("node").alias("up"), F.col("up").alias("top")), "up", "node").select("node", "top"), "top")
         if place is None:
             place = step.select("node", F.col("top").alias("component"))
         else:
             moved = step.select(F.col("node").alias("component"), "top")
-            place = place.join(moved, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-        place = written(place, "components")
+            place = spread_join(place, moved, "component", "node", "left").select("node", F.coalesce("top", "component").alias("component"))
+        place = written(place.repartition("node"), "components")  # evenly, however many nodes a hub has
         ends = lambda c: step.select(F.col("node").alias(c), F.col("top").alias(f"{c}_top"))
-        moved = left.join(ends("a"), "a").join(ends("b"), "b").select(F.least("a_top", "b_top").alias("a"), F.greatest("a_top", "b_top").alias("b"))
+        moved = spread_join(spread_join(left, ends("a"), "a", "b"), ends("b"), "b", "a").select(F.least("a_top", "b_top").alias("a"), F.greatest("a_top", "b_top").alias("b"))
         left = written(moved.filter("a <> b").distinct(), "edges")
         if not left.limit(1).count():
             return place

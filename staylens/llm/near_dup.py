@@ -2,10 +2,13 @@
 
 Copies of one text are one node. Every node gets a BagMinHash signature of its multiset of five-word shingles; nodes
 that agree in all registers of a band share a bucket. Within a bucket each node is first compared with LEADERS nodes of it
-only, so a bucket of n nodes gives LEADERS n pairs at the most. Nodes that verified links have not joined yet are
-then compared across their components within the bucket, so no candidate link between components is lost, and none inside
-a component is needed. Pairs whose four-bit sketches of all registers lie 3 standard deviations below the threshold are left
-out (one link in 740 at the threshold itself, fewer above). A link is a weighted Jaccard similarity of THRESHOLD or more, counted over whole texts.
+only, so a bucket of n nodes gives LEADERS n pairs at the most. Buckets whose nodes verified links have not all joined are
+then searched across their components: their nodes are dealt into blocks of about BLOCK, every two blocks meet in a task of
+their own, and the sketches of their nodes are compared as arrays. Only pairs that may be links leave such a task, so no
+bucket is held as a whole and its pairs are never written out. No candidate link between components is lost, and none inside
+a component is needed. Pairs whose four-bit sketches of all registers lie SPREAD standard deviations below the threshold are
+left out (one link in 30 000 at the threshold itself, fewer above). A link is a weighted Jaccard similarity of THRESHOLD or
+more, counted over whole texts.
 
 Nulls: a null text counts as an empty one; texts without words are no near-duplicates of others but copies of each other
 if equal. A class is named by its least doc_id (null if it has none). Repeated rows fall into one class; extra columns are
@@ -15,6 +18,7 @@ kept by keep_one() and ignored by classes().
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,8 @@ from pyspark.sql import functions as F
 
 from staylens.llm.bagminhash import band_keys, signatures, similarity, sketches, weigh
 from staylens.llm.graph import components
-from staylens.llm.storage import written
+from staylens.llm.skew import spread_join
+from staylens.llm.storage import discard, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, shingles, slices, split_words
 
 K = 5
@@ -31,8 +36,12 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 8
 #: Nodes of a bucket that all others of it are compared with first.
 LEADERS = 4
-#: Pairs of texts whose shingles a task holds at a time.
-PAIRS_AT_ONCE = 500
+#: Nodes of a block of a bucket, and pairs whose sketches are compared at a time.
+BLOCK, SKETCHES_AT_ONCE = 1_000, 200_000
+#: Standard deviations below the threshold that a sketch may lie.
+SPREAD = 4.0
+#: Pairs of texts whose shingles a task holds at a time, and texts whose registers it does.
+PAIRS_AT_ONCE, ROWS_AT_ONCE = 500, 4_096
 
 
 def text_node(text: Column) -> Column:
@@ -46,7 +55,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node")
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), rows=ROWS_AT_ONCE):
                 hashes, bounds = shingles(split_words(texts, ALNUM_SPLIT, LOWER), K)
                 owner, element, weight = weigh(hashes, bounds)
                 registers = signatures(len(bounds) - 1, owner, element, weight, bands * rows)
@@ -67,10 +76,14 @@ def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
 
-def may_link(threshold: float, registers: int, a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
-    """Whether (size, sketch) of two sets allow the threshold: sizes exactly, sketches but for 3 standard deviations."""
+def least_agreeing(threshold: float, registers: int) -> float:
+    """Registers whose sketches agree at least, of two sets at the threshold, but for SPREAD standard deviations."""
     share = threshold + (1 - threshold) / 16
-    least = registers * share - 3 * (registers * share * (1 - share)) ** 0.5
+    return registers * share - SPREAD * (registers * share * (1 - share)) ** 0.5
+
+
+def may_link(threshold: float, registers: int, a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """Whether (size, sketch) of two sets allow the threshold: sizes exactly, sketches as least_agreeing() says."""
     size = F.least(a[0], b[0]) >= F.greatest(a[0], b[0]) * threshold
     differ = F.lit(0)
     for i in range(registers // 16):  # a register differs if any of its four bits does
@@ -78,7 +91,60 @@ def may_link(threshold: float, registers: int, a: tuple[Column, Column], b: tupl
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return size & (F.lit(registers) - differ >= least)
+    return size & (F.lit(registers) - differ >= least_agreeing(threshold, registers))
+
+
+def _cell_pairs(cell: np.ndarray, block: np.ndarray, inner: np.ndarray, component: np.ndarray, n: np.ndarray, sketch: np.ndarray, threshold: float):
+    """Index pairs of rows of one cell, ordered by cell, that are of different components and may be links."""
+    registers = sketch.shape[1] * 16
+    least = least_agreeing(threshold, registers)
+    after = np.searchsorted(cell, cell, "right") - np.arange(len(cell)) - 1  # rows that follow in the cell
+    ends = np.cumsum(after)
+    at = 0
+    while at < len(cell):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SKETCHES_AT_ONCE, "right")))
+        i = np.repeat(np.arange(at, to), after[at:to])
+        j = i + 1 + np.arange(len(i)) - np.repeat(ends[at:to] - after[at:to] - (ends[at - 1] if at else 0), after[at:to])
+        likely = (component[i] != component[j]) & (inner[i] | (block[i] != block[j])) & (np.minimum(n[i], n[j]) >= np.maximum(n[i], n[j]) * threshold)
+        i, j = i[likely], j[likely]
+        x = sketch[i] ^ sketch[j]
+        x |= x >> np.uint64(1)
+        x |= x >> np.uint64(2)
+        near = registers - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64) >= least
+        yield i[near], j[near]
+        at = to
+
+
+def across(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of the rows (bucket, size, node, n, sketch, component) of one bucket that are of different components and may be links."""
+    blocks = F.ceil(F.col("size") / BLOCK)
+    own = F.pmod(F.xxhash64("node"), blocks)
+    dealt = rows.select(
+        F.xxhash64("component").alias("component"), "bucket", "node", "n", "sketch", own.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
+    ).select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "component", "sketch")
+    cells = ["bucket", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in chain(batches, [None]):
+            table = pa.Table.from_batches([x for x in (held, batch) if x is not None]).combine_chunks() if held is not None or batch is not None else None
+            if table is None or not table.num_rows:
+                continue
+            keys = np.stack([table.column(c).to_numpy() for c in cells])
+            new = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+            stop = table.num_rows if batch is None else int(np.flatnonzero(new)[-1])  # the last cell may go on in the next batch
+            held = table.slice(stop).to_batches()[0] if stop < table.num_rows else None
+            part = table.slice(0, stop)
+            if stop:
+                get = lambda c: part.column(c).to_numpy()  # noqa: E731, B023
+                sketch = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(stop, -1)
+                inner = keys[1, :stop] == keys[2, :stop]
+                nodes = part.column("node").combine_chunks()
+                for i, j in _cell_pairs(np.cumsum(new[:stop]), get("block"), inner, get("component"), get("n"), sketch, threshold):
+                    yield pa.RecordBatch.from_arrays([nodes.take(pa.array(i)), nodes.take(pa.array(j))], names=["a", "b"])
+
+    found = dealt.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -121,8 +187,9 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     entries = signs.select(F.explode("buckets").alias("bucket"), "node")
     crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
     crowd = written(entries.join(crowded, "bucket"), "crowd")
-    own = written(signs.join(crowd.select("node").distinct(), "node"), "crowd-signatures")
-    full = crowd.join(own.select("node", "n", "sketch"), "node")
+    own = written(signs.join(crowd.select("node").distinct(), "node").select("node", "n", "sketch"), "crowd-signatures")
+    discard(signs)
+    full = crowd.join(own, "node")
     leader = lambda seed: F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("rank"), "node", "n", "sketch"))
     names = [f"leader_{i}" for i in range(LEADERS)]
     heads = full.groupBy("bucket").agg(*[leader(i).alias(name) for i, name in enumerate(names)])
@@ -139,36 +206,32 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     joined = components(first)
     # What is left: nodes of a bucket in different components. Pairs compared above are known not to be links.
     labelled = crowd.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    open_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-    rest = written(labelled.join(open_buckets, "bucket").join(own, "node"), "open")
-    other = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "sketch", "component", "buckets")])
-    mine, theirs = (F.col("n"), F.col("sketch")), (F.col("n_b"), F.col("sketch_b"))
-    once = F.array_min(F.array_intersect("buckets", "buckets_b")) == F.col("bucket")  # of the buckets that a pair shares
-    across = (
-        rest.join(other, "bucket")
-        .filter((F.col("component") < F.col("component_b")) & may_link(threshold, registers, mine, theirs) & once)
-        .select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
-        .join(star, ["a", "b"], "left_anti")
-    )
-    second = written(verified(across, texts, threshold).select("a", "b"), "links")
+    spread = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
+    rest = labelled.join(spread.filter("low <> high").select("bucket", "size"), "bucket").join(own, "node")
+    more = across(rest, threshold).join(star, ["a", "b"], "left_anti")
+    second = written(verified(more, texts, threshold).select("a", "b"), "links")
+    discard(crowd, own, texts, star)
     # Links found across components join these, so only they are left to connect.
     top = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
     bridges = second.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("a_top", "a").alias("a"), F.coalesce("b_top", "b").alias("b"))
     over = components(bridges).select(F.col("node").alias("component"), F.col("component").alias("over"))
     ends = second.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     nodes = joined.unionByName(ends.join(joined, "node", "left_anti").select("node", F.col("node").alias("component")))
-    return first.unionByName(second), nodes.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
+    return first.unionByName(second), spread_join(nodes, over, "component", "node", "left").select("node", F.coalesce("over", "component").alias("component"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (least doc_id of the class) and whether the row's text is the class's, one row per row of docs."""
     _, joined = links(docs, threshold)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_node(F.col("text")).alias("node"))
+    rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_node(F.col("text")).alias("node")), "nodes")
     texts = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
-    labelled = texts.join(joined, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    named = labelled.groupBy("component").agg(F.min("least").alias("class_id"))
-    by_node = labelled.join(named, "component").select("node", "component", "class_id", "least")
-    return rows.join(by_node, "node").select("doc_id", "class_id", "component", "node", "least")
+    # Only texts that are linked to others meet by component.
+    labelled = written(texts.join(joined, "node", "left"), "labelled")
+    linked = labelled.filter("component IS NOT NULL")
+    named = linked.groupBy("component").agg(F.min("least").alias("class_id"))
+    alone = labelled.filter("component IS NULL").select(F.col("node").alias("component"), "node", "least", F.col("least").alias("class_id"))
+    by_node = spread_join(linked, named, "component", "node").select("component", "node", "least", "class_id").unionByName(alone)
+    return spread_join(rows, by_node, "node", "doc_id").select("doc_id", "class_id", "component", "node", "least")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

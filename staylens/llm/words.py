@@ -68,12 +68,12 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
-    """A text column in slices of bounded bytes."""
+def slices(column: pa.Array, most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[Texts]:
+    """A text column in slices of bounded bytes and rows."""
     data, offsets = text_buffers(column)
     at, n = 0, len(offsets) - 1
     while at < n:
-        to = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1))
+        to = max(at + 1, min(at + rows, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1))
         yield Texts(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
         at = to
 
