@@ -4,11 +4,12 @@ Copies of one text are one node. Every node gets a BagMinHash signature of its m
 that agree in all registers of a band share a bucket. Within a bucket each node is first compared with LEADERS nodes of it
 only, so a bucket of n nodes gives LEADERS n pairs at the most. Buckets whose nodes verified links have not all joined are
 then searched across their components: their nodes are dealt into blocks of about BLOCK, every two blocks meet in a task of
-their own, and the sketches of their nodes are compared as arrays. Only pairs that may be links leave such a task, so no
-bucket is held as a whole and its pairs are never written out. No candidate link between components is lost, and none inside
-a component is needed. Pairs whose four-bit sketches of all registers lie SPREAD standard deviations below the threshold are
-left out (one link in 30 000 at the threshold itself, fewer above). A link is a weighted Jaccard similarity of THRESHOLD or
-more, counted over whole texts.
+their own, and their nodes are compared as arrays: first sketches, then counts of shingles by CELLS hashed cells, whose
+common part is no less than that of the shingles themselves, so this bound loses no link. Only pairs that may be links leave
+such a task; no bucket is held as a whole and its pairs are never written out. No candidate link between components is lost,
+and none inside a component is needed. Pairs whose four-bit sketches of all registers lie SPREAD standard deviations below
+the threshold are left out (one link in 30 000 at the threshold itself, fewer above). A link is a weighted Jaccard similarity
+of THRESHOLD or more, counted over whole texts.
 
 Nulls: a null text counts as an empty one; texts without words are no near-duplicates of others but copies of each other
 if equal. A class is named by its least doc_id (null if it has none). Repeated rows fall into one class; extra columns are
@@ -36,8 +37,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 8
 #: Nodes of a bucket that all others of it are compared with first.
 LEADERS = 4
-#: Nodes of a block of a bucket, and pairs whose sketches are compared at a time.
-BLOCK, SKETCHES_AT_ONCE = 1_000, 200_000
+#: Nodes of a block of a bucket, pairs whose sketches are compared at a time, and pairs whose cells are.
+BLOCK, SKETCHES_AT_ONCE, CELLS_AT_ONCE = 1_000, 200_000, 20_000
+#: Cells that a text's shingles are counted by, in two bytes each.
+CELLS = 512
 #: Standard deviations below the threshold that a sketch may lie.
 SPREAD = 4.0
 #: Pairs of texts whose shingles a task holds at a time, and texts whose registers it does.
@@ -94,7 +97,30 @@ def may_link(threshold: float, registers: int, a: tuple[Column, Column], b: tupl
     return size & (F.lit(registers) - differ >= least_agreeing(threshold, registers))
 
 
-def _cell_pairs(cell: np.ndarray, block: np.ndarray, inner: np.ndarray, component: np.ndarray, n: np.ndarray, sketch: np.ndarray, threshold: float):
+def shingle_cells(texts: DataFrame) -> DataFrame:
+    """(node, cells) of texts (node, text): how many shingles fall in each cell; 65535 stands for as many or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column("text"), rows=ROWS_AT_ONCE):
+                hashes, bounds = shingles(split_words(part, ALNUM_SPLIT, LOWER), K)
+                n = len(bounds) - 1
+                place = np.repeat(np.arange(n), np.diff(bounds)) * CELLS + (hashes % np.uint64(CELLS)).astype(np.int64)
+                counts = np.minimum(np.bincount(place, minlength=n * CELLS), 65535).astype("<u2").reshape(n, CELLS)
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(part.first, n), pa.array([x.tobytes() for x in counts], pa.binary())], names=["node", "cells"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, cells binary")
+
+
+def cells_allow(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the cells of two sets of n_a and n_b shingles allow the threshold; never false of a link."""
+    common = np.minimum(a, b)
+    full = (common == 65535).any(axis=1)  # more than two bytes can tell
+    most = common.sum(axis=1, dtype=np.int64)
+    return full | (most >= threshold * (n_a + n_b - most) - 1e-6)
+
+
+def _cell_pairs(cell: np.ndarray, block: np.ndarray, inner: np.ndarray, component: np.ndarray, n: np.ndarray, sketch: np.ndarray, counts: np.ndarray, threshold: float):
     """Index pairs of rows of one cell, ordered by cell, that are of different components and may be links."""
     registers = sketch.shape[1] * 16
     least = least_agreeing(threshold, registers)
@@ -111,18 +137,22 @@ def _cell_pairs(cell: np.ndarray, block: np.ndarray, inner: np.ndarray, componen
         x |= x >> np.uint64(1)
         x |= x >> np.uint64(2)
         near = registers - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64) >= least
-        yield i[near], j[near]
+        i, j = i[near], j[near]
+        for k in range(0, len(i), CELLS_AT_ONCE):
+            p, q = i[k : k + CELLS_AT_ONCE], j[k : k + CELLS_AT_ONCE]
+            good = cells_allow(counts[p], counts[q], n[p], n[q], threshold)
+            yield p[good], q[good]
         at = to
 
 
 def across(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of the rows (bucket, size, node, n, sketch, component) of one bucket that are of different components and may be links."""
+    """(a, b) of the rows (bucket, size, node, n, sketch, cells, component) of one bucket that are of different components and may be links."""
     blocks = F.ceil(F.col("size") / BLOCK)
     own = F.pmod(F.xxhash64("node"), blocks)
     dealt = rows.select(
-        F.xxhash64("component").alias("component"), "bucket", "node", "n", "sketch", own.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
-    ).select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "component", "sketch")
-    cells = ["bucket", "low", "high"]
+        F.xxhash64("component").alias("component"), "bucket", "node", "n", "sketch", "cells", own.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
+    ).select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "component", "sketch", "cells")
+    keys_of = ["bucket", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -130,7 +160,7 @@ def across(rows: DataFrame, threshold: float) -> DataFrame:
             table = pa.Table.from_batches([x for x in (held, batch) if x is not None]).combine_chunks() if held is not None or batch is not None else None
             if table is None or not table.num_rows:
                 continue
-            keys = np.stack([table.column(c).to_numpy() for c in cells])
+            keys = np.stack([table.column(c).to_numpy() for c in keys_of])
             new = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
             stop = table.num_rows if batch is None else int(np.flatnonzero(new)[-1])  # the last cell may go on in the next batch
             held = table.slice(stop).to_batches()[0] if stop < table.num_rows else None
@@ -140,10 +170,11 @@ def across(rows: DataFrame, threshold: float) -> DataFrame:
                 sketch = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(stop, -1)
                 inner = keys[1, :stop] == keys[2, :stop]
                 nodes = part.column("node").combine_chunks()
-                for i, j in _cell_pairs(np.cumsum(new[:stop]), get("block"), inner, get("component"), get("n"), sketch, threshold):
+                counts = np.frombuffer(b"".join(part.column("cells").to_pylist()), "<u2").reshape(stop, CELLS)
+                for i, j in _cell_pairs(np.cumsum(new[:stop]), get("block"), inner, get("component"), get("n"), sketch, counts, threshold):
                     yield pa.RecordBatch.from_arrays([nodes.take(pa.array(i)), nodes.take(pa.array(j))], names=["a", "b"])
 
-    found = dealt.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, "a binary, b binary")
+    found = dealt.repartition(*keys_of).sortWithinPartitions(*keys_of).mapInArrow(run, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -207,7 +238,9 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     # What is left: nodes of a bucket in different components. Pairs compared above are known not to be links.
     labelled = crowd.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     spread = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-    rest = labelled.join(spread.filter("low <> high").select("bucket", "size"), "bucket").join(own, "node")
+    rest = written(labelled.join(spread.filter("low <> high").select("bucket", "size"), "bucket"), "open")
+    counts = shingle_cells(texts.dropDuplicates(["node"]).join(rest.select("node").distinct(), "node"))
+    rest = rest.join(own.join(counts, "node"), "node")
     more = across(rest, threshold).join(star, ["a", "b"], "left_anti")
     second = written(verified(more, texts, threshold).select("a", "b"), "links")
     discard(crowd, own, texts, star)

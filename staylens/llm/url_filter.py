@@ -1,9 +1,9 @@
 """URL rules and a weighted URL vocabulary.
 
 Terms are found with an Aho-Corasick automaton over the whole lower-cased URL behind its ``://`` (all of it where there is
-none), query and fragment included; a hit counts only between boundaries (no letter or digit beside it). One strict term rejects a URL, as do ``soft_limit`` different soft terms.
-Rules (host and path prefix) come first: a rule fits its host and all subdomains if the path starts with the rule's
-path, and the longest rule (labels of the host, then characters of the path) wins.
+none), query and fragment included; a hit counts only between boundaries (no letter or digit beside it). One strict term
+rejects a URL, as do ``soft_limit`` different soft terms. Rules (host and path prefix) come first: a rule fits its host and
+all subdomains if the path starts with the rule's path, and the longest rule (characters of host and path together) wins.
 
 Nulls and URLs without ``://`` have an empty host and path, so no rule fits them; terms alone decide, and a null has none.
 Repeated rows get equal results, extra columns are ignored, an empty table gives an empty one.
@@ -133,14 +133,15 @@ def _terms(words: tuple[str, ...]) -> str:
 
 
 ORACLE = f"""
-WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r,
+        CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE coalesce(url, '') END AS searched FROM pages),
 h AS (SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS raw FROM u),
 p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(substr(r, length(raw) + 1), '^[^?#]*') AS path FROM h),
 k(action, rh, rp) AS (VALUES {", ".join(str(r) for r in RULES)}),
 m AS (SELECT page_id, rh || rp AS rule, action, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC) AS n
       FROM p JOIN k ON (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp)),
-t AS (SELECT page_id, regexp_extract_all(lower(host || path), '[\\pL\\pN]+') AS w FROM p),
+t AS (SELECT page_id, regexp_extract_all(lower(searched), '[\\pL\\pN]+') AS w FROM u),
 c AS (SELECT page_id, len(list_intersect(w, {_terms(STRICT)}))::INT AS strict_hits, len(list_intersect(w, {_terms(SOFT)}))::INT AS soft_hits FROM t)
 SELECT p.page_id, p.host, p.path, m.rule,
   coalesce(m.action, CASE WHEN strict_hits > 0 OR soft_hits >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,

@@ -1,14 +1,21 @@
 """WARC archives as Zstandard frames: writer and reader.
 
 An archive starts with a skippable frame that holds the dictionary, then has one frame per record, so a record can be
-decoded alone. Spark writes the archives as text whose lines are frames; the line separator is an empty skippable
-frame, which every Zstandard decoder steps over. A file thus is a plain ``.warc.zst`` in whatever store Spark writes to.
+decoded alone. A task collects frames until they reach ``archive_bytes`` and hands them to Spark's text writer as one row,
+a file each, so archives are bounded (a larger record is an archive of its own) and plain ``.warc.zst`` in whatever store
+Spark writes to. The line end that Spark adds is an empty skippable frame, which every Zstandard decoder steps over.
 
 Of records with equal payloads of at least ``least`` bytes those with the smallest page_id are responses and the
-others revisits of it, without payload; smaller ones are all responses.
+others revisits of it, without payload; smaller ones are all responses. Every record has an identifier of its own, the
+date of the writing, and its page_id in X-Page-ID.
+
+The reader walks along the block headers of a frame to its end, decodes that frame alone and checks the record: version,
+mandatory fields, lengths and digest. What is not sound gives a row with its problem; the rest of an archive is lost only
+where no frame follows.
 
 Nulls: a null html is an empty payload, a null url an empty target; a null page_id is kept, and never a revisit's
-target unless the group has no other. Repeated rows give repeated records. Extra columns are ignored.
+target unless the group has no other. Repeated rows give repeated records. Extra columns are ignored. An empty table gives
+archives without records or no archive, and no row.
 """
 
 from __future__ import annotations
@@ -16,14 +23,18 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import time
+import uuid
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm.storage import new_path
+from staylens.llm.skew import spread_join
+from staylens.llm.storage import new_path, written
 
 DICT_MAGIC = b"\x5d\x2a\x4d\x18"
 #: An empty skippable frame; all its bytes are ASCII, so Spark's text writer takes it as a line separator.
@@ -33,7 +44,11 @@ LEAST_BYTES = 100
 #: The dictionary is trained on at most so many records of a task, of at most so many bytes each.
 DICT_SAMPLES, DICT_SAMPLE_BYTES, DICT_BYTES = 200, 16_384, 32_768
 LEVEL = 3
-ARCHIVE_MOST = 512 * 1024 * 1024
+#: Compressed bytes after which an archive ends.
+ARCHIVE_BYTES = 16_000_000
+#: Rows that are read back at a time.
+ROWS_AT_ONCE = 10_000
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_ok boolean, problem string"
 
 
@@ -41,23 +56,28 @@ class WarcError(ValueError):
     """An archive or record that breaks the format."""
 
 
-def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) -> bytes:
-    """One WARC/1.1 record; a revisit if refers_to is given."""
-    kind = "response" if refers_to is None else "revisit"
+def _one_line(text: str | None) -> str:
+    return re.sub(r"[\r\n]+", " ", text or "")
+
+
+def record(page_id, url: str | None, payload: bytes, digest: str, refers_to=None, refers_url: str | None = None, date: str = "1970-01-01T00:00:00Z", name: str = "") -> bytes:
+    """One WARC/1.1 record; a revisit if refers_to is given. ``name`` tells apart the records of one page."""
     block = payload if refers_to is None else b""
-    target = re.sub(r"[\r\n]+", " ", url or "")
+    number = uuid.UUID(bytes=hashlib.sha256(f"{page_id} {digest} {date} {name}".encode()).digest()[:16], version=4)
     lines = [
         "WARC/1.1",
-        f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        f"WARC-Target-URI: {target}",
-        "Content-Type: text/html; charset=utf-8",
+        f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
+        f"WARC-Record-ID: <urn:uuid:{number}>",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {_one_line(url)}",
         f"WARC-Payload-Digest: sha256:{digest}",
+        "Content-Type: text/html; charset=utf-8",
+        f"X-Page-ID: {'' if page_id is None else page_id}",
         f"X-Payload-Length: {len(payload)}",
-        f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
-        lines.insert(3, f"WARC-Refers-To: <urn:page:{refers_to}>")
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To-Target-URI: {_one_line(refers_url)}", f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page-ID: {refers_to}"]
+    lines.append(f"Content-Length: {len(block)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -68,10 +88,18 @@ def _number(value: bytes, name: str) -> int:
 
 
 def _page(value: bytes | None, name: str) -> int | None:
-    found = re.fullmatch(rb"<urn:page:(-?\d*)>", value or b"")
-    if not found:
+    if value is None or not re.fullmatch(rb"(-?\d+)?", value):
         raise WarcError(f"{name} is malformed")
-    return int(found[1]) if found[1] else None
+    return int(value) if value else None
+
+
+#: What the named fields, without which a record is not one, have to look like.
+MANDATORY = {
+    b"warc-type": rb"\S+",
+    b"warc-record-id": rb"<[a-z][a-z0-9+.-]*:[^<>\s]+>",
+    b"warc-date": rb"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?Z",
+    b"content-length": rb"\d+",
+}
 
 
 def parse_record(raw: bytes) -> tuple:
@@ -88,6 +116,9 @@ def parse_record(raw: bytes) -> tuple:
         if not colon or name.strip() != name or name.lower() in fields:
             raise WarcError("header line is malformed or repeated")
         fields[name.lower()] = value.strip()
+    for name, pattern in MANDATORY.items():
+        if not re.fullmatch(pattern, fields.get(name, b"")):
+            raise WarcError(f"{name.decode()} is absent or malformed")
     block = raw[len(head) + 4 :]
     length = _number(fields.get(b"content-length", b""), "Content-Length")
     if len(block) != length + 4 or block[length:] != b"\r\n\r\n":
@@ -105,11 +136,13 @@ def parse_record(raw: bytes) -> tuple:
     elif kind == "revisit":
         if length:
             raise WarcError("revisit has a payload")
-        refers = _page(fields.get(b"warc-refers-to"), "WARC-Refers-To")
+        if fields.get(b"warc-profile", b"").decode() != REVISIT_PROFILE:
+            raise WarcError("revisit has no known profile")
+        refers = _page(fields.get(b"x-refers-to-page-id"), "X-Refers-To-Page-ID")
     else:
         raise WarcError("record type is unknown")
     url = fields.get(b"warc-target-uri", b"").decode("utf-8", "replace")
-    return _page(fields.get(b"warc-record-id"), "WARC-Record-ID"), full, digest, kind, refers, url
+    return _page(fields.get(b"x-page-id"), "X-Page-ID"), full, digest, kind, refers, url
 
 
 def dictionary_frame(samples: list[bytes]) -> tuple[bytes, zstandard.ZstdCompressionDict | None]:
@@ -122,28 +155,51 @@ def dictionary_frame(samples: list[bytes]) -> tuple[bytes, zstandard.ZstdCompres
     return DICT_MAGIC + struct.pack("<I", len(content)) + content, found
 
 
-def frames(archive: bytes) -> Iterator[bytes]:
-    """Decoded records of one archive, a frame at a time."""
-    if archive[:4] != DICT_MAGIC or len(archive) < 8:
+def frame_end(view: memoryview, at: int) -> int:
+    """Where the frame that starts at ``at`` ends, by its block headers."""
+    head = bytes(view[at : at + 18])
+    try:
+        to = at + zstandard.frame_header_size(head)
+        checked = zstandard.get_frame_parameters(head).has_checksum
+    except zstandard.ZstdError as e:
+        raise WarcError(f"frame at {at}: {e}") from e
+    last = False
+    while not last:
+        if to + 3 > len(view):
+            raise WarcError(f"frame at {at} is cut off")
+        block = int.from_bytes(view[to : to + 3], "little")
+        last, kind, size = bool(block & 1), block >> 1 & 3, block >> 3
+        if kind == 3:
+            raise WarcError(f"frame at {at} has a reserved block")
+        to += 3 + (1 if kind == 1 else size)
+    to += 4 * checked
+    if to > len(view):
+        raise WarcError(f"frame at {at} is cut off")
+    return to
+
+
+def frames(archive: bytes) -> Iterator[bytes | WarcError]:
+    """Decoded records of one archive, a frame at a time, or why one cannot be decoded; WarcError where no frame follows."""
+    view = memoryview(archive)
+    if bytes(view[:4]) != DICT_MAGIC or len(view) < 8:
         raise WarcError("archive does not start with a dictionary frame")
-    size = struct.unpack("<I", archive[4:8])[0]
-    if 8 + size > len(archive):
+    size = struct.unpack("<I", view[4:8])[0]
+    if 8 + size > len(view):
         raise WarcError("dictionary frame is cut off")
-    trained = zstandard.ZstdCompressionDict(archive[8 : 8 + size]) if size else None
+    trained = zstandard.ZstdCompressionDict(bytes(view[8 : 8 + size])) if size else None
     decoder = zstandard.ZstdDecompressor(dict_data=trained) if trained else zstandard.ZstdDecompressor()
-    view, at = memoryview(archive), 8 + size
+    at = 8 + size
     while at < len(view):
         magic = bytes(view[at : at + 4])
         if magic == FRAME_MAGIC:
+            to = frame_end(view, at)
             one = decoder.decompressobj()
             try:
-                out = one.decompress(view[at:])
+                out = one.decompress(view[at:to])
+                yield out if one.eof else WarcError(f"frame at {at} does not end")
             except zstandard.ZstdError as e:
-                raise WarcError(f"frame at {at}: {e}") from e
-            if not one.eof:
-                raise WarcError(f"frame at {at} is cut off")
-            at = len(view) - len(one.unused_data)
-            yield out
+                yield WarcError(f"frame at {at}: {e}")
+            at = to
         elif len(magic) == 4 and 0x184D2A50 <= struct.unpack("<I", magic)[0] <= 0x184D2A5F and at + 8 <= len(view):
             at += 8 + struct.unpack("<I", view[at + 4 : at + 8])[0]
         else:
@@ -151,68 +207,84 @@ def frames(archive: bytes) -> Iterator[bytes]:
 
 
 def with_targets(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """page_id, url, html, digest and refers_to of each page.
+    """page_id, url, html, digest, refers_to and refers_url of each page.
 
-    The groups are found by a pre-aggregated count per digest, so a payload that a third of the pages share meets in no task.
+    Groups are found by a pre-aggregated count per digest, without the payloads; the rows of a payload that many pages share
+    are dealt to several tasks.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.sha2(html, 256).alias("digest")
     )
+    known = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
     groups = (
         rows.filter(F.octet_length("html") >= least)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(known).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select("digest", "first")
+        .select("digest", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url"), "n")
     )
-    return rows.join(groups, "digest", "left").select(
-        "page_id", "url", "html", "digest", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("refers_to")
+    groups = written(groups, "equal-payloads")
+    again = F.col("page_id") != F.col("first")
+    return spread_join(rows, groups.drop("n"), "digest", "page_id", "left", counted=groups.select("digest", "n")).select(
+        "page_id", "url", "html", "digest", F.when(again, F.col("first")).alias("refers_to"), F.when(again, F.col("first_url")).alias("refers_url")
     )
 
 
-def write_archives(rows: DataFrame, path: str) -> None:
-    """Rows of with_targets() as archives under path, one for each task."""
+def write_archives(rows: DataFrame, path: str, date: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Rows of with_targets() as archives under path, dated as given or now."""
+    date = date or time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = None
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         for batch in batches:
-            records = (
-                record(i, u, h.encode(), d, r) for i, u, h, d, r in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            )
-            out: list[bytes] = []
-            if packer is None:
-                held = [next(records, None) for _ in range(DICT_SAMPLES)]
-                held = [x for x in held if x is not None]
-                lead, trained = dictionary_frame([x[:DICT_SAMPLE_BYTES] for x in held])
-                packer = zstandard.ZstdCompressor(LEVEL, dict_data=trained) if trained else zstandard.ZstdCompressor(LEVEL)
-                out = [lead, *map(packer.compress, held)]
-            out += map(packer.compress, records)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-
-    framed = rows.mapInArrow(encoded, "frame binary")
-    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR.decode("latin-1")).text(path)
+            for i, u, h, d, r, w, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield record(i, u, h.encode(), d, r, w, date, str(name))
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stream = records(batches)
+        held = [x for _, x in zip(range(DICT_SAMPLES), stream)]
+        lead, trained = dictionary_frame([x[:DICT_SAMPLE_BYTES] for x in held])
+        packer = zstandard.ZstdCompressor(LEVEL, dict_data=trained) if trained else zstandard.ZstdCompressor(LEVEL)
+        out, size = [], 0
+        for raw in chain(held, stream):
+            out.append(packer.compress(raw))
+            size += len(out[-1])
+            if size >= archive_bytes:
+                yield pa.RecordBatch.from_arrays([pa.array([b"".join([lead, *out])], pa.binary())], names=["archive"])
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join([lead, *out])], pa.binary())], names=["archive"])
+
+    framed = rows.withColumn("name", F.monotonically_increasing_id()).mapInArrow(encoded, "archive binary")
+    one = framed.select(F.col("archive").cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
+    one.option("lineSep", SEPARATOR.decode("latin-1")).text(path)
+
+
+def _checked(archive: bytes) -> Iterator[tuple]:
+    try:
+        for raw in frames(archive):
+            try:
+                if isinstance(raw, WarcError):
+                    raise raw
+                yield (*parse_record(raw), True, None)
+            except WarcError as e:
+                yield (None,) * 6 + (False, str(e))
+    except WarcError as e:
+        yield (None,) * 6 + (False, str(e))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives under path; an unsound record or archive gives a row with its problem."""
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()]
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive in batch.column("content"):
-                rows = []
-                try:
-                    for raw in frames(archive.as_py()):
-                        try:
-                            rows.append((*parse_record(raw), True, None))
-                        except WarcError as e:
-                            rows.append((None,) * 6 + (False, str(e)))
-                except WarcError as e:
-                    rows.append((None,) * 6 + (False, str(e)))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()]
-                columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-                names = [x.split()[0] for x in SCHEMA.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                rows = _checked(archive.as_buffer())
+                while part := list(islice(rows, ROWS_AT_ONCE)):
+                    columns = zip(*part, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).filter("length > 0").select("content")
     return files.mapInArrow(decoded, SCHEMA)

@@ -140,6 +140,57 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.doc_id for r in near_dup.keep_one(docs).collect()} == {find(i) for i in range(len(texts))}
 
 
+def test_cells_lose_no_link():
+    r = np.random.default_rng(4)
+    for n in (3, 60, 900):
+        base = r.integers(0, 2**63, n, dtype=np.uint64)
+        sets = [np.concatenate([base[r.random(n) < p], r.integers(0, 2**63, n // 8, dtype=np.uint64), np.repeat(base[:1], r.integers(0, 400))]) for p in r.random(40)]
+        cells = np.stack([np.bincount((x % np.uint64(near_dup.CELLS)).astype(np.int64), minlength=near_dup.CELLS) for x in sets])
+        i, j = (x.ravel() for x in np.meshgrid(range(40), range(40)))
+        sizes = np.array([len(x) for x in sets])
+        true = np.array([similarity(sets[a], sets[b]) for a, b in zip(i, j, strict=True)])
+        for threshold in (0.3, 0.8):
+            assert near_dup.cells_allow(cells[i], cells[j], sizes[i], sizes[j], threshold)[true >= threshold].all()
+
+
+def test_crowded_buckets_are_searched_whole(spark, monkeypatch):
+    """Every pair of different components that brute force allows, from blocks far smaller than the bucket."""
+    monkeypatch.setattr(near_dup, "BLOCK", 7)
+    r = random.Random(8)
+    base = [r.choice(WORDS) for _ in range(120)]
+    texts = {}
+    for i in range(60):
+        words = list(base)
+        for at in r.sample(range(120), r.randint(0, 6)):
+            words[at] = r.choice(WORDS)
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    signs = near_dup.signed(docs).drop("buckets")
+    nodes = docs.select("doc_id", near_dup.text_node(F.col("text")).alias("node"), "text")
+    rows = signs.join(nodes, "node").join(near_dup.shingle_cells(nodes.select("node", "text").distinct()), "node")
+    rows = rows.select(F.explode(F.expr("array(5L, 9L)")).alias("bucket"), F.lit(60).cast("long").alias("size"), "node", "n", "sketch", "cells", (F.col("doc_id") % 3).cast("string").cast("binary").alias("component"))
+    ids = {bytes(x.node): x.doc_id for x in nodes.collect()}
+    got = {tuple(sorted((ids[bytes(x.a)], ids[bytes(x.b)]))) for x in near_dup.across(rows, 0.8).collect()}
+
+    def grams(text):
+        words = plain_words(text)
+        return collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+    bags = {i: grams(t) for i, t in texts.items()}
+    links = {(i, j) for i in texts for j in texts if i < j and i % 3 != j % 3 and texts[i] != texts[j] and sum((bags[i] & bags[j]).values()) >= 0.8 * sum((bags[i] | bags[j]).values())}
+    assert len(links) > 20 and links <= got and all(i % 3 != j % 3 for i, j in got) and len(got) < 60 * 59 / 2
+
+
+def test_heavy_keys_join_whole(spark):
+    from staylens.llm.skew import spread_join
+
+    rows = spark.range(3000).select(F.col("id").alias("x"), F.when(F.col("id") % 3 != 0, F.col("id") % 700).when(F.col("id") % 9 != 0, F.lit(-1)).alias("k"))
+    side = spark.range(-1, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        plain = rows.join(side, "k", how).select("x", "k", "v")
+        assert sorted(map(str, spread_join(rows, side, "k", "x", how, least=100).select("x", "k", "v").collect())) == sorted(map(str, plain.collect()))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(100, i) for i in range(101, 160)]
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
@@ -299,16 +350,66 @@ def test_long_urls_are_read_back(spark):
 
 
 def test_broken_records():
-    good = warc.record(1, "u", b"payload", __import__("hashlib").sha256(b"payload").hexdigest(), None)
-    assert warc.parse_record(good)[:2] == (1, 7)
-    for bad in (good[:-1], good.replace(b"payload", b"Payload"), good.replace(b"WARC/1.1", b"WARC/9"), good.replace(b"Content-Length: 7", b"Content-Length: x"), b"nothing"):
+    sha = hashlib.sha256(b"payload").hexdigest()
+    good, again = warc.record(1, "u", b"payload", sha), warc.record(2, "v", b"payload", sha, 1, "u")
+    assert warc.parse_record(good) == (1, 7, sha, "response", None, "u") and warc.parse_record(again) == (2, 7, sha, "revisit", 1, "v")
+    bad = [good[:-1], good.replace(b"payload", b"Payload"), good.replace(b"WARC/1.1", b"WARC/9"), good.replace(b"Content-Length: 7", b"Content-Length: x"), b"nothing"]
+    bad += [good.replace(b"WARC-Date: 1970", b"WARC-Date: x"), re.sub(rb"WARC-Date: [^\r]*\r\n", b"", good), re.sub(rb"WARC-Record-ID: [^\r]*\r\n", b"", good)]
+    bad += [re.sub(rb"WARC-Profile: [^\r]*\r\n", b"", again), again.replace(b"revisit/identical", b"revisit/other"), good.replace(b"X-Page-ID: 1", b"X-Page-ID: one")]
+    for raw in bad:
         with pytest.raises(warc.WarcError):
-            warc.parse_record(bad)
+            warc.parse_record(raw)
     for archive in (b"", b"junk", warc.DICT_MAGIC + b"\xff\0\0\0", warc.dictionary_frame([])[0] + b"junk!"):
         with pytest.raises(warc.WarcError):
             list(warc.frames(archive))
 
 
+def test_frames_end_where_their_blocks_do():
+    import zstandard
+
+    r = random.Random(1)
+    records = [b"", b"x" * 500_000, r.randbytes(300_000), b"short", b" ".join(r.choices([b"one", b"two", b"three"], k=90_000))]
+    lead, _ = warc.dictionary_frame([])
+    for packer in (zstandard.ZstdCompressor(3), zstandard.ZstdCompressor(1, write_checksum=True), zstandard.ZstdCompressor(3, write_content_size=False)):
+        packed = [packer.compress(x) for x in records]
+        assert list(warc.frames(lead + warc.SEPARATOR.join(packed))) == records
+        whole = lead + b"".join(packed)
+        for cut in (len(whole) - 1, len(lead) + len(packed[0]) + 3, len(whole) - len(packed[-1]) + 7):
+            with pytest.raises(warc.WarcError):
+                list(warc.frames(whole[:cut]))
+    broken = bytearray(b"".join([lead, *map(zstandard.ZstdCompressor(3, write_checksum=True).compress, records)]))
+    broken[-2] ^= 1  # a checksum: the other records are read
+    found = list(warc.frames(bytes(broken)))
+    assert found[:-1] == records[:-1] and isinstance(found[-1], warc.WarcError)
+
+
+def test_a_long_archive_is_read_in_linear_time():
+    import time
+
+    import zstandard
+
+    r = random.Random(2)
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    payloads = [r.randbytes(5_000) for _ in range(10_000)]
+    archive = b"".join([warc.dictionary_frame([])[0], *(zstandard.ZstdCompressor(1).compress(warc.record(i, "u", p, sha(p))) for i, p in enumerate(payloads))])
+    began = time.time()
+    assert len(archive) > 50_000_000 and [warc.parse_record(x)[:2] for x in warc.frames(archive)] == [(i, 5_000) for i in range(10_000)]
+    assert time.time() - began < 10
+
+
+def test_archives_are_bounded(spark, tmp_path):
+    pages = spark.range(3000).selectExpr("id AS page_id", "concat('http://x.org/', id) AS url", "repeat(concat('text ', cast(id % 2000 AS string), ' and more '), 40) AS html").repartition(2)
+    rows = warc.with_targets(pages)
+    warc.write_archives(rows, f"file://{tmp_path}/w", date="2024-05-01T00:00:00Z", archive_bytes=20_000)
+    files = [x for x in (tmp_path / "w").iterdir() if x.name.startswith("part-")]
+    assert len(files) > 3 and max(x.stat().st_size for x in files) < 60_000 and all(x.read_bytes()[:4] == warc.DICT_MAGIC for x in files)
+    raw = [x for f in files for x in warc.frames(f.read_bytes())]
+    ids = [re.search(rb"WARC-Record-ID: (\S+)", x)[1] for x in raw]
+    assert len(raw) == len(set(ids)) == 3000 and all(b"WARC-Date: 2024-05-01T00:00:00Z" in x for x in raw)
+    got = {r.page_id: (r.record_type, r.refers_to, r.problem) for r in warc.read_archives(spark, f"file://{tmp_path}/w").collect()}
+    assert got == {i: ("revisit", i - 2000, None) if i >= 2000 else ("response", None, None) for i in range(3000)}
+
+
 def test_url_edges(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.COM/en/7x?q", "http://free-bets.example.org/x", "http://freebets.example.org/", "http://x.org/casino", "http://b.example.net/de/81", "http://notexample.net/de/8"]
     df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
