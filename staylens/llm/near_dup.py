@@ -38,7 +38,7 @@ BANDS, ROWS = 40, 8
 #: Nodes of a bucket that all others of it are compared with first.
 LEADERS = 4
 #: Nodes of a block of a bucket, pairs whose sketches are compared at a time, and pairs whose cells are.
-BLOCK, SKETCHES_AT_ONCE, CELLS_AT_ONCE = 1_000, 200_000, 20_000
+BLOCK, SKETCHES_AT_ONCE, CELLS_AT_ONCE = 500, 200_000, 20_000
 #: Cells that a text's shingles are counted by, in two bytes each.
 CELLS = 512
 #: Standard deviations below the threshold that a sketch may lie.
