@@ -33,7 +33,12 @@ def written(df: DataFrame, what: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Removes tables of written() that nothing reads any more; what was derived from them has to be written by then."""
+    """Removes tables of written() that nothing reads any more; what was derived from them has to be written by then.
+
+    A collection of the driver's garbage lets Spark remove the shuffle files of the finished steps as well.
+    """
     for table in tables:
         path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.written_path)
         path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    for table in tables[:1]:
+        table.sparkSession._jvm.System.gc()
