@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.dates import first_of_month
 from staylens.functions.text import is_empty, nights, strip
+from staylens.storage import new_path
 
 
 def score_filter(df: DataFrame, least: float = 5, column: str = "score") -> DataFrame:
@@ -52,13 +53,16 @@ def near_duplicates(
 
 def number_rows(df: DataFrame, *order: str, name: str = "stt") -> DataFrame:
     """1..n in the order of columns that make it total, without one task for all rows: rows are ranged, counted by
-    partition, and numbered within it from where the partitions before end."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    within = ranged.withColumn("__at", F.row_number().over(Win.partitionBy("__part").orderBy(*order)))
-    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Win.orderBy("__part").rowsBetween(Win.unboundedPreceding, -1)), F.lit(0)))
-    joined = within.join(before.select("__part", "__before"), "__part")
-    return joined.withColumn(name, F.col("__at") + F.col("__before")).drop("__part", "__at", "__before")
+    range, and numbered within it from where the ranges before end. The ranged rows are written once with the number of their
+    range, so counts and numbers agree however tasks are repeated or merged."""
+    part, at, before = "range_of_rows", "place_in_range", "rows_before"
+    path = new_path(df.sparkSession, "ranged")
+    df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
+    within = ranged.withColumn(at, F.row_number().over(Win.partitionBy(part).orderBy(*order)))
+    sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n"))  # one row for each range
+    ends = sizes.select(part, F.coalesce(F.sum("n").over(Win.orderBy(part).rowsBetween(Win.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    return within.join(F.broadcast(ends), part).withColumn(name, F.col(at) + F.col(before)).drop(part, at, before)
 
 
 def label_codes(df: DataFrame, column: str, unknown: str = "Unknown") -> DataFrame:

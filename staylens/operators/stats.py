@@ -184,8 +184,8 @@ def hex_bins(df: DataFrame, x: str, y: str, x_max: float, y_max: float, grid: in
 
 
 def fixed_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows in the order of a hash of the key: the same rows on any cluster."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """n rows in the order of a digest of the key and the seed: the same rows on any cluster."""
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}"))), key).limit(n)
 
 
 def with_total(df: DataFrame, key: str, total: str, **aggregates: Column) -> DataFrame:

@@ -100,7 +100,7 @@ def text_length_p97(spark, d):
     return S.one_row(reviews(spark, d).filter("score IS NOT NULL"), n=F.count(F.lit(1)), p97=F.percentile("text_length", F.lit(0.97)))
 
 
-@query("fixed_sample_10000")
+@query("fixed_sample_10000", on_reviews("SELECT review_id, text_length, score FROM reviews ORDER BY md5(review_id || '-42'), review_id LIMIT 10000"))
 def fixed_sample_10000(spark, d):
     return S.fixed_sample(reviews(spark, d).select("review_id", "text_length", "score"), "review_id", 10_000)
 

@@ -144,12 +144,6 @@ def html_title(spark, d):
     return table(spark, d, "pages").select("page_id", H.page_title(F.col("html")).alias("title"))
 
 
-@query("html_hotel")
-def html_hotel(spark, d):
-    found = H.extract_hotels(table(spark, d, "pages").select("page_id", "html"))
-    return found.select("page_id", "hotel.name", "hotel.address", F.size("hotel.reviews").alias("n_reviews"))
-
-
 @query("property_count", "SELECT o_orderkey, o_orderkey % 5000 AS n FROM orders")
 def property_count(spark, d):
     text = F.concat(F.lit("Hotels: "), F.format_number(F.col("o_orderkey") % 5000, 0), F.lit(" properties found"))
@@ -202,13 +196,8 @@ def folder_compare(spark, d):
     return K.compare_folders(left, right)
 
 
-@query("full_pipeline", cleaning.ORACLE)
+@query("full_pipeline")
 def full_pipeline(spark, d):
-    return cleaning.example(spark, d)
-
-
-@query("full_pipeline_whole")
-def full_pipeline_whole(spark, d):
     return cleaning.whole(spark, d)
 
 
@@ -233,7 +222,11 @@ def review_summary(spark, d):
     return parsed.select("conv_id", A.review_summary(F.col("r")).alias("summary"))
 
 
-@query("json_diff")
+@query(
+    "json_diff",
+    """SELECT 'f' || s_suppkey AS name, '--- ' || chr(10) || '+++ ' || chr(10) || '@@ -1,4 +1,4 @@' || chr(10) || ' {' || chr(10) || '   "a": 1,' || chr(10)
+  || '-  "b": ' || s_suppkey || chr(10) || '+  "b": ' || s_suppkey + 1 || chr(10) || ' }' AS diff FROM supplier WHERE s_suppkey % 3 = 0""",
+)
 def json_diff(spark, d):
     k, name = F.col("s_suppkey"), F.concat(F.lit("f"), F.col("s_suppkey")).alias("name")
     s = table(spark, d, "supplier")

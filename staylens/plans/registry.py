@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from staylens.plans import chart_queries, link_queries, text_queries
+from staylens.plans import chart_queries, link_queries, source_queries, text_queries
 
-MODULES = [chart_queries, text_queries, link_queries]
+MODULES = [chart_queries, text_queries, link_queries, source_queries]
 
 
 def queries() -> dict:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from staylens.functions import dates as D
@@ -82,15 +84,10 @@ def word_collapse(spark, d):
 
 @query(
     "char_dominance",
-    "SELECT doc_id, length(t) >= 5 AND coalesce(list_max(list_transform(list_distinct(string_split(t, '')), lambda c: length(t) - length(replace(t, c, '')))), 0) > 0.7 * length(t) AS dominated FROM (SELECT doc_id, substr(text, 1, 12) AS t FROM documents)",
+    """WITH c AS (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, '')) AS x FROM documents) WHERE x <> '' GROUP BY doc_id, x), m AS (SELECT doc_id, max(n) AS n FROM c GROUP BY doc_id)
+SELECT doc_id, coalesce(length(text) >= 5 AND m.n > 0.7 * length(text), false) AS dominated FROM documents LEFT JOIN m USING (doc_id)""",
 )
 def char_dominance(spark, d):
-    return docs(spark, d).select("doc_id", T.dominated_by_char(F.substring("text", 1, 12)).alias("dominated"))
-
-
-@query("char_dominance_whole")
-def char_dominance_whole(spark, d):
-    """Every document judged by its whole text, which the SQL of char_dominance cuts; held by tests."""
     return docs(spark, d).select("doc_id", T.dominated_by_char(F.col("text")).alias("dominated"))
 
 
@@ -112,34 +109,48 @@ def normalize_text(spark, d):
     return T.nfc(docs(spark, d).select("doc_id", "text"), "text").select("doc_id", F.md5(T.normalize(F.col("text"))).alias("digest"))
 
 
-#: Abbreviations of one word among the first 195, which the token by token look-up in SQL was written for.
-ONE_WORD = {k: v for k, v in list(lexicons.ABBREVIATIONS.items())[:195] if k.isalnum()}
-KEYS, VALUES = sql_list(ONE_WORD), sql_list(ONE_WORD.values())
+#: A mark on both sides of each run of word characters, twice, so that two keys that meet at a boundary find one each.
+MARKED = r"regexp_replace({0}, '([\p{{L}}\p{{N}}_]+)', chr(1) || chr(1) || '\1' || chr(1) || chr(1), 'g')"
 
 
-@query(
-    "text_mapping",
-    f"""WITH k AS (SELECT map_from_entries(list_zip({KEYS}, {VALUES})) AS m),
-w AS (SELECT doc_id, list_transform(string_split({WORDS}, ' '), lambda t: struct_pack(t := t, v := m[lower(t)])) AS w FROM documents, k)
-SELECT doc_id, md5(array_to_string(list_transform(w, lambda x: CASE WHEN x.v IS NULL THEN x.t WHEN upper(x.t) = x.t AND lower(x.t) <> x.t THEN upper(x.v)
-  WHEN upper(x.t[1]) = x.t[1] AND lower(x.t[1]) <> x.t[1] THEN upper(x.v[1]) || lower(x.v[2:]) ELSE x.v END), ' ')) AS digest FROM w""",
-)
-def text_mapping(spark, d):
-    return docs(spark, d).select("doc_id", F.md5(T.apply_mapping(words_only(F.col("text")), ONE_WORD)).alias("digest"))
+def marked(key: str) -> str:
+    """A key as MARKED text has it, one mark at either end, as a pattern."""
+    parts = re.findall(r"\w+|[^\w]+", key)
+    inner = "".join(f"\x01\x01{p}\x01\x01" if re.match(r"\w", p) else re.sub(r"([^\w ])", r"\\\1", p) for p in parts)
+    inner = inner.removeprefix("\x01") if re.match(r"\w", parts[0]) else "\x01" + inner
+    return inner.removesuffix("\x01") if re.match(r"\w", parts[-1]) else inner + "\x01"
 
 
-@query("mapping_count", f"SELECT doc_id, len(list_filter(string_split({WORDS}, ' '), lambda t: list_contains({KEYS}, lower(t))))::BIGINT AS n FROM documents")
-def mapping_count(spark, d):
-    return docs(spark, d).select("doc_id", T.count_replacements(words_only(F.col("text")), ONE_WORD).alias("n"))
+def found_keys(keys, text: str = "text") -> str:
+    """SQL of (doc_id, gaps, hits): a text split at the keys, longest first, and the keys found."""
+    pattern = quoted("(?i)(?:" + "|".join(marked(k) for k in sorted(keys, key=len, reverse=True)) + ")")
+    return f"(SELECT doc_id, string_split_regex(x, {pattern}) AS gaps, regexp_extract_all(x, {pattern}) AS hits FROM (SELECT doc_id, {MARKED.format(text)} AS x FROM documents))"
+
+
+WRITTEN_OUT = """CASE WHEN upper(h) = h AND lower(h) <> h THEN upper(v) WHEN upper(h[1]) = h[1] AND lower(h[1]) <> h[1] THEN upper(v[1]) || lower(v[2:]) ELSE v END"""
+
 
+def mapped(mapping: dict[str, str], text: str = "text") -> str:
+    """SQL of (doc_id, mapped, n) with the keys of a mapping written out, whatever their number of words."""
+    entries = {k.lower(): v for k, v in mapping.items()}
+    return f"""(WITH k AS (SELECT map_from_entries(list_zip({sql_list(entries)}, {sql_list(entries.values())})) AS m),
+f AS (SELECT doc_id, gaps, list_transform(hits, lambda h: replace(h, chr(1), '')) AS hits FROM {found_keys(mapping, text)}),
+v AS (SELECT doc_id, gaps, list_transform(hits, lambda h: struct_pack(h := h, v := coalesce(m[lower(h)], h))) AS hits FROM f, k)
+SELECT doc_id, len(hits)::BIGINT AS n, replace(array_to_string(list_transform(list_zip(gaps, hits), lambda p: p[1] || CASE WHEN p[2] IS NULL THEN '' ELSE
+  {WRITTEN_OUT.replace("h[1]", "p[2].h[1]").replace("(h)", "(p[2].h)").replace("= h ", "= p[2].h ").replace("<> h ", "<> p[2].h ").replace("(v", "(p[2].v").replace("ELSE v", "ELSE p[2].v")} END), ''), chr(1), '') AS mapped FROM v)"""
 
-@query("text_mapping_whole")
-def text_mapping_whole(spark, d):
-    """Every abbreviation in every document, keys of several words too, with their number; held by tests."""
+
+@query("text_mapping", f"SELECT doc_id, md5(mapped) AS digest, n FROM {mapped(lexicons.ABBREVIATIONS)}")
+def text_mapping(spark, d):
     x = F.col("text")
     return docs(spark, d).select("doc_id", F.md5(T.apply_mapping(x)).alias("digest"), T.count_replacements(x).alias("n"))
 
 
+@query("mapping_count", f"SELECT doc_id, len(hits)::BIGINT AS n FROM {found_keys(lexicons.ABBREVIATIONS)}")
+def mapping_count(spark, d):
+    return docs(spark, d).select("doc_id", T.count_replacements(F.col("text")).alias("n"))
+
+
 PHONE = "('0' || ['3','5','6','9'][(o_orderkey % 4 + 1)::INT] || lpad((o_orderkey * 7919 % 100000000)::VARCHAR, 8, '0'))"
 
 
@@ -316,20 +327,15 @@ def stay_encode(spark, d):
     return R.stay_codes(df, "stay")
 
 
-@query("segment_words", f"SELECT doc_id, (length({WORDS}) - length(replace(lower({WORDS}), 'of the', 'ofthe')))::BIGINT AS joined FROM (SELECT doc_id, 'x of the y' AS text FROM documents)")
-def segment_words(spark, d):
-    x = F.lit("x of the y")
-    return docs(spark, d).select("doc_id", (F.length(x) - F.length(F.replace(T.segment(x, ("of the",)), F.lit("_"), F.lit("")))).cast("long").alias("joined"))
-
-
-#: Vietnamese terms of several words, as the abbreviations are written out.
-TERMS = tuple(dict.fromkeys(v for v in lexicons.ABBREVIATIONS.values() if " " in v))
+#: Terms of several words: those that abbreviations are written out as, and some that the tables' languages have.
+TERMS = tuple(dict.fromkeys([v for v in lexicons.ABBREVIATIONS.values() if " " in v] + ["of the", "in the", "khách sạn", "de la", "in der", "für die"]))
 
 
-@query("segment_words_whole")
-def segment_words_whole(spark, d):
-    """Digest of every document's text, segmented; the SQL of segment_words reads none. Held by tests."""
-    return docs(spark, d).select("doc_id", F.md5(T.segment(F.col("text"), TERMS)).alias("digest"))
+@query("segment_words", f"SELECT doc_id, md5(mapped) AS digest, n FROM {mapped({t: t.replace(' ', '_') for t in TERMS})}")
+def segment_words(spark, d):
+    x = F.col("text")
+    joined = T.count_replacements(x, dict.fromkeys(TERMS, ""))
+    return docs(spark, d).select("doc_id", F.md5(T.segment(x, TERMS)).alias("digest"), joined.alias("n"))
 
 
 @query(

@@ -15,11 +15,11 @@ from staylens.schema import HOTEL, canonical
 UNKNOWN, NAMELESS, OTHER = "Không rõ", "Không tên", "Khác"
 
 
-def read_hotels(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    """(documents under base with their ``path``, unreadable files: path and content)."""
+def read_hotels(spark: SparkSession, base: str, names: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """(documents of the named files under base with their ``path``, unreadable files: path and content)."""
     raw = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", names)
         .option("wholetext", True)
         .text(base)
         .select("value", F.col("_metadata.file_path").alias("path"))
@@ -98,14 +98,3 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
     parts = F.split("value", r"\|")
     lines = spark.read.text(path).filter(~F.startswith(F.ltrim("value"), F.lit("#")) & (F.size(parts) == 3))
     return lines.select(*[F.trim(parts[i]).alias(n) for i, n in enumerate(("url", "name", "folder"))])
-
-
-def read_sheet(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """A spreadsheet as text columns. It is read on the driver, as such files are small, and needs openpyxl; export large ones."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:
-        raise ImportError("spreadsheets need openpyxl; export the sheet as CSV and use read_reviews_csv") from e
-    import pandas as pd
-
-    return spark.createDataFrame(pd.read_excel(path, sheet_name=sheet, dtype=str))

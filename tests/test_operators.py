@@ -108,7 +108,7 @@ def test_char_dominance_of_whole_texts(spark, tmp_path):
     from staylens.plans import registry
 
     texts = ["a short start " + "x" * 400, "-----, and then a text like any other", "ééééééé\U0001f600", "aaaa", "", None, "\U0001f600" * 9 + "ab"]
-    rows = registry.queries()["char_dominance_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    rows = registry.queries()["char_dominance"](spark, documents_at(tmp_path, spark, texts)).collect()
     most = lambda t: max(map(t.count, t), default=0)
     assert {r.doc_id: r.dominated for r in rows} == {i: len(t or "") >= 5 and most(t) > 0.7 * len(t) for i, t in enumerate(texts)}
     assert [r.dominated for r in sorted(rows)][:2] == [True, False]
@@ -130,7 +130,7 @@ def test_segmentation_of_whole_texts(spark, tmp_path):
         return word.upper() if hit.isupper() else word.capitalize() if hit[0].isupper() else word
 
     want = {i: None if x is None else hashlib.md5(re.sub(rf"(?i)\b(?:{one})\b", joined, x).encode()).hexdigest() for i, x in enumerate(texts)}
-    rows = registry.queries()["segment_words_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    rows = registry.queries()["segment_words"](spark, documents_at(tmp_path, spark, texts)).collect()
     assert {r.doc_id: r.digest for r in rows} == want
     assert want[2] != hashlib.md5(texts[2].encode()).hexdigest()
 
@@ -154,7 +154,7 @@ def test_mapping_with_the_whole_table(spark, tmp_path):
     for i, x in enumerate(texts):
         done, n = (None, 0) if x is None else re.subn(rf"(?i)\b(?:{one})\b", written_out, x)
         want[i] = (done and hashlib.md5(done.encode()).hexdigest() if x else x if x is None else hashlib.md5(b"").hexdigest(), n)
-    rows = registry.queries()["text_mapping_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    rows = registry.queries()["text_mapping"](spark, documents_at(tmp_path, spark, texts)).collect()
     assert {r.doc_id: (r.digest, r.n) for r in rows} == want
     assert want[1][1] == 4
 
@@ -178,6 +178,29 @@ def test_whole_cleaning_of_texts(spark, tmp_path):
         2: ("gọi số để đặt phòng nhân viên rất nhiệt tình và vui vẻ", "gọi số để đặt_phòng nhân_viên rất nhiệt tình và vui_vẻ"),
         7: ("ăn sáng rất ngon vị trí tốt ở gần bãi biển", "ăn sáng rất ngon vị_trí tốt ở gần_bãi_biển"),
     }
-    rows = registry.queries()["full_pipeline_whole"](spark, documents_at(tmp_path, spark, texts)).collect()
+    rows = registry.queries()["full_pipeline"](spark, documents_at(tmp_path, spark, texts)).collect()
     digest = lambda x: hashlib.md5(x.encode()).hexdigest()
     assert {r.review_id: (r.digest, r.segmented) for r in rows} == {i: (digest(a), digest(b)) for i, (a, b) in cleaned.items()}
+
+
+def test_sheets_are_read_without_other_libraries(spark, tmp_path):
+    import zipfile
+
+    from staylens.sources import sheets
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    link = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    rows = [
+        '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="inlineStr"><is><t>n</t></is></c><c r="C1" t="s"><v>1</v></c></row>',
+        '<row r="2"><c r="A2" t="s"><v>2</v></c><c r="C2" t="b"><v>1</v></c><c r="AA2"><v>9</v></c></row>',
+        '<row r="3"><c r="B3"><v>4.5</v></c></row>',
+    ]
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook {main} {link}><sheets><sheet name="One" r:id="r1"/><sheet name="Hai" r:id="r2"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+        book.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>tên</t></si><si><r><t>o</t></r><r><t>k</t></r></si><si><t>Huế</t></si></sst>")
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet {main}><sheetData>{"".join(rows)}</sheetData></worksheet>')
+        book.writestr("xl/worksheets/sheet2.xml", f"<worksheet {main}><sheetData/></worksheet>")
+    df = sheets.read_sheet(spark, str(tmp_path / "a.xlsx"))
+    assert df.columns == ["tên", "n", "ok"] and [tuple(r) for r in df.collect()] == [("Huế", None, "True"), (None, "4.5", None)]
+    assert sheets.read_sheet(spark, str(tmp_path / "a.xlsx"), "Hai").columns == []
