@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -16,7 +17,6 @@ BLOCK = frozenset(
 #: Tags whose start ends an open one of the given kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 KEEPS_P = BLOCK - {"button", "label", "option", "caption", "legend", "td", "th", "tr", "tbody", "thead", "tfoot", "title", "head", "body", "html"}
-MOST_DEPTH = 512
 _TAG_REST = re.compile(r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
 _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 _MARKS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -31,9 +31,13 @@ class Block(NamedTuple):
 
 
 class _Open(NamedTuple):
+    """An open element; block_tag and block_names are of the nearest block element, itself included."""
+
     tag: str
     names: frozenset[str]
     in_link: bool
+    block_tag: str
+    block_names: frozenset[str]
 
 
 def _marks(rest: str) -> set[str]:
@@ -45,31 +49,33 @@ def _marks(rest: str) -> set[str]:
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks of a page in order; white space of each is one space, character references are decoded."""
+    """Leaf blocks of a page in order; white space of each is one space, character references are decoded. Elements may be nested
+    to any depth."""
     out: list[Block] = []
-    stack = [_Open("", frozenset(), False)]
+    stack = [_Open("", frozenset(), False, "", frozenset())]
+    open_tags: Counter[str] = Counter()
     parts: list[tuple[str, bool]] = []
-    held: list[_Open] = []
+    held: list[frozenset[str]] = []
 
     def end_block() -> None:
         if parts:
             text = " ".join("".join(t for t, _ in parts).split())
             if text:
-                top = held[0]
                 links = sum(len(t.strip()) for t, linked in parts if linked)
-                tag = next((o.tag for o in reversed(stack_at) if o.tag in BLOCK), "")
-                out.append(Block(text, tag, top.names, links))
+                out.append(Block(text, stack[-1].block_tag, held[0], links))
             parts.clear()
             held.clear()
 
-    stack_at: list[_Open] = stack
+    def close(to: int) -> None:
+        while len(stack) > to:
+            open_tags[stack.pop().tag] -= 1
+
     pos, n = 0, len(page)
 
     def add(text: str) -> None:
         if text:
             if not held:
-                block_top = next((o for o in reversed(stack) if o.tag in BLOCK or not o.tag), stack[0])
-                held.append(block_top)
+                held.append(stack[-1].block_names)
             parts.append((html.unescape(text), stack[-1].in_link))
 
     while pos < n:
@@ -106,29 +112,27 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCK:
             end_block()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if open_tags[tag]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
         if tag in RAW:
-            close = re.compile(rf"</{tag}\b", re.I).search(page, pos)
-            if not close:
+            ending = re.compile(rf"</{tag}\b", re.I).search(page, pos)
+            if not ending:
                 break
-            end = page.find(">", close.end())
+            end = page.find(">", ending.end())
             pos = n if end < 0 else end + 1
             continue
         if tag in VOID or attributes.endswith("/"):
             continue
-        if tag in KEEPS_P and any(o.tag == "p" for o in stack[-8:]):
-            i = max(i for i, o in enumerate(stack) if o.tag == "p")
-            del stack[i:]
+        if tag in KEEPS_P and open_tags["p"] and (i := next((i for i in range(len(stack) - 1, max(0, len(stack) - 9), -1) if stack[i].tag == "p"), 0)):
+            close(i)
         for other in CLOSES.get(tag, ()):
             if stack[-1].tag == other:
-                stack.pop()
-        if len(stack) < MOST_DEPTH:
-            own = {f"t:{tag}"} | _marks(attributes) if tag in BLOCK or "=" in attributes else set()
-            top = stack[-1]
-            stack.append(_Open(tag, top.names | own if own else top.names, top.in_link or tag == "a"))
+                close(len(stack) - 1)
+        own = {f"t:{tag}"} | _marks(attributes) if tag in BLOCK or "=" in attributes else set()
+        top = stack[-1]
+        names = top.names if own <= top.names else top.names | own
+        stack.append(_Open(tag, names, top.in_link or tag == "a", *((tag, names) if tag in BLOCK else (top.block_tag, top.block_names))))
+        open_tags[tag] += 1
     end_block()
     return out

@@ -4,14 +4,17 @@ The classifier is a logistic model over the presence of hashed words. Confirmed
 other texts unlabelled U. With prior p the risk is p R_P(+) + max(0, R_U(-) - p R_P(-)); where the bracket turns
 negative its gradient is reversed, so the model cannot gain by memorising positives. Training is plain numpy on the
 driver over a bounded sample: at most ``max_positive`` positive and ``max_unlabelled`` unlabelled rows, the first by a
-hash of doc_id, whatever the table's size. The prior is the share of label 1 among all labels of the training folds.
+hash of doc_id, whatever the table's size (both are parameters, see Settings). The prior is the share of label 1 among all
+labels of the training folds, held between ``least_prior`` and ``most_prior``.
 
 Features: of 2**bits hashed words those that at least ``min_docs`` sample texts hold and that a positive text holds more
-often than chance allows (``max_features`` at most, a model parameter). Scores read whole texts.
+often than chance allows (``max_features`` at most, a model parameter). They are counted and chosen as a table; the driver gets
+the chosen words and their places in each sample row, never a text. Scores read whole texts.
 
 Nulls: a null text scores like an empty one; rows with a null doc_id are scored as held out and never trained on; labels
-of absent documents, null labels and labels other than 0 or 1 are ignored, of repeated labels the largest counts.
-Without any positive label every score is the prior.
+of absent documents, null labels and labels other than 0 or 1 are ignored, of repeated labels the largest counts, of rows that
+share a doc_id one is trained on. Without any positive label, or any document, every score is the prior. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.storage import discard, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, slices, split_words
 
 FOLDS = 5
@@ -41,6 +45,8 @@ class Settings(NamedTuple):
     batch: int = 512
     rate: float = 0.05
     l2: float = 1e-5
+    least_prior: float = 1e-4
+    most_prior: float = 0.9
 
 
 class Model(NamedTuple):
@@ -66,43 +72,15 @@ def presence(column: pa.Array, bits: int) -> Iterator[tuple[int, np.ndarray, np.
         yield texts.first, (pair >> np.uint64(bits)).astype(np.int64), (pair & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def _rows(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    found = [(first + row, word) for first, row, word in presence(pa.array(texts, pa.string()), bits)]
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([r for r, _ in found]), np.concatenate([w for _, w in found])
-
-
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(positive: list[str | None], unlabelled: list[str | None], prior: float, s: Settings = Settings()) -> Model:
-    """The non-negative PU classifier of a sample."""
-    prior = min(max(prior, 1e-4), 0.9)
-    if not positive or not unlabelled:
+def fit(features: np.ndarray, x_p: np.ndarray, x_u: np.ndarray, prior: float, s: Settings = Settings()) -> Model:
+    """The non-negative PU classifier of rows of positive and of unlabelled texts, a column for each of the sorted features."""
+    prior = min(max(prior, s.least_prior), s.most_prior)
+    if not len(x_p) or not len(x_u):
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(prior / (1 - prior))), s.bits)
-    rows_p, words_p = _rows(positive, s.bits)
-    rows_u, words_u = _rows(unlabelled, s.bits)
-    ids, counts_p = np.unique(words_p, return_counts=True)
-    ids_u, counts_u = np.unique(words_u, return_counts=True)
-    at = np.minimum(np.searchsorted(ids_u, ids), max(0, len(ids_u) - 1))
-    in_u = np.where(ids_u[at] == ids, counts_u[at], 0) if len(ids_u) else np.zeros(len(ids), np.int64)
-    share_p, share_u = counts_p / len(positive), (in_u + 0.5) / (len(unlabelled) + 1)
-    spread = np.sqrt(share_u * (1 - np.minimum(share_u, 0.999)) / len(positive))
-    z = (share_p - share_u) / np.maximum(spread, 1e-9)
-    fit_for = np.flatnonzero((counts_p >= s.min_docs) & (z > 4) & (share_p > 2 * share_u))
-    features = np.sort(ids[fit_for[np.argsort(-z[fit_for], kind="stable")[: s.max_features]]])
-
-    def dense(rows: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
-        x = np.zeros((n, len(features)), np.float32)
-        if len(features):
-            place = np.minimum(np.searchsorted(features, words), len(features) - 1)
-            known = features[place] == words
-            x[rows[known], place[known]] = 1
-        return x
-
-    x_p, x_u = dense(rows_p, words_p, len(positive)), dense(rows_u, words_u, len(unlabelled))
     rng = np.random.default_rng(SEED)
     w, b = np.zeros(len(features)), float(np.log(prior / (1 - prior)))
     m, v, step = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0
@@ -126,8 +104,8 @@ def fit(positive: list[str | None], unlabelled: list[str | None], prior: float,
     return Model(features, w, b, s.bits)
 
 
-def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    """Fits on the rows of the training folds; what reaches the driver is bounded by s."""
+def _sample(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[DataFrame, float]:
+    """(doc_id, positive, text) of the sample, a row for each doc_id of either kind, and the prior."""
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -135,15 +113,54 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     )
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     by = F.xxhash64("doc_id", F.lit(SEED))
-    positives = known.filter("toxic = 1").select("doc_id").orderBy(by, "doc_id").limit(s.max_positive)
-    text = docs.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pos = [r[0] for r in text.join(F.broadcast(positives), "doc_id").select("text").toLocalIterator()]
-    # Unlabelled: a hash threshold keeps about max_unlabelled rows of any table without sorting texts.
+    text = docs.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    there = text.select("doc_id").distinct()
+    positives = known.filter("toxic = 1").select("doc_id").join(there, "doc_id", "left_semi").orderBy(by, "doc_id").limit(s.max_positive)
+    # Unlabelled are of all texts, as the class prior is; a hash threshold spares sorting most of their ids.
     total = text.agg(F.count(F.lit(1))).first()[0]
     share = min(1.0, s.max_unlabelled / max(1, total))
-    ids = text.select("doc_id").filter(F.pmod(by, F.lit(1_000_000)) < int(share * 1_200_000) + 1).orderBy(by, "doc_id").limit(s.max_unlabelled)
-    unl = text.join(F.broadcast(ids), "doc_id").select("text")  # of all texts, as the class prior is
-    return fit(pos, [r[0] for r in unl.toLocalIterator()], toxic / n if n else 0.1, s)
+    unlabelled = there.filter(F.pmod(by, F.lit(1_000_000)) < int(share * 1_200_000) + 1).orderBy(by, "doc_id").limit(s.max_unlabelled)
+    ids = positives.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
+    rows = text.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
+    return written(rows, "sample"), toxic / n if n else 0.1
+
+
+def _words(sample: DataFrame, bits: int) -> DataFrame:
+    """(doc_id, positive, word) of each distinct hashed word of the sample's texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "positive"]
+        for batch in batches:
+            for first, row, word in presence(batch.column("text"), bits):
+                take = pa.array(row + first)
+                yield pa.RecordBatch.from_arrays([*(batch.column(n).take(take) for n in names), pa.array(word)], names=[*names, "word"])
+
+    return sample.select("doc_id", "positive", "text").mapInArrow(run, "doc_id long, positive boolean, word long")
+
+
+def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
+    """Fits on the rows of the training folds; what reaches the driver is bounded by s."""
+    sample, prior = _sample(docs, labels, s)
+    ids = [(r[0], r[1]) for r in sample.select("doc_id", "positive").orderBy("doc_id").collect()]
+    place = {True: {}, False: {}}
+    for doc_id, positive in ids:
+        place[positive][doc_id] = len(place[positive])
+    n_p, n_u = len(place[True]), len(place[False])
+    words = written(_words(sample, s.bits), "words")
+    counts = words.groupBy("word").agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")).filter(F.col("p") >= s.min_docs)
+    share_p, share_u = F.col("p") / max(1, n_p), (F.col("u") + 0.5) / (n_u + 1)
+    spread = F.greatest(F.sqrt(share_u * (1 - F.least(share_u, F.lit(0.999))) / max(1, n_p)), F.lit(1e-9))
+    z = (share_p - share_u) / spread
+    chosen = counts.filter((z > 4) & (share_p > share_u * 2)).orderBy(F.desc(z), "word").limit(s.max_features).select("word")
+    features = np.array(sorted(r[0] for r in chosen.collect()), np.int64)
+    column = {w: i for i, w in enumerate(features.tolist())}
+    x = {True: np.zeros((n_p, len(features)), np.float32), False: np.zeros((n_u, len(features)), np.float32)}
+    if column:
+        own = words.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in column], "word long")), "word")
+        for r in own.groupBy("doc_id", "positive").agg(F.collect_list("word").alias("words")).collect():
+            x[r["positive"]][place[r["positive"]][r["doc_id"]], [column[w] for w in r["words"]]] = 1
+    discard(sample, words)
+    return fit(features, x[True], x[False], prior, s)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

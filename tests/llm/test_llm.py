@@ -66,7 +66,7 @@ def test_odd_and_empty_documents(spark, op):
         "cut_bench": lambda d: decontaminate.cut(d, bench),
         "digests": bpe.digests,
         "encode": bpe.encode,
-        "score": lambda d: toxicity.score(d, toxicity.fit([], [], 0.1)),
+        "score": lambda d: toxicity.score(d, toxicity.fit(np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros((0, 0)), 0.1)),
     }[op]
     docs = frame(spark, ODD)
     n = run(docs).count()
@@ -303,6 +303,29 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([r.predicted for r in rows if r.toxic == 0]) < 0.02 and ((s >= 0) & (s <= 1)).all()
 
 
+def test_toxicity_edges(spark):
+    """Empty tables, no positive label, repeated and null ids, odd labels: every row gets a score, the prior where nothing is learnt."""
+    docs = frame(spark, [*ODD, "vile slur " * 30])
+    labels = spark.createDataFrame([(7, 1, 0), (7, 0, 1), (3, 2, None), (None, 1, 1), (900, 1, 1)], "doc_id long, toxic int, quality int")
+    for d, l in ((docs, labels), (docs, labels.limit(0)), (docs.limit(0), labels), (docs.limit(0), labels.limit(0))):
+        rows = toxicity.score(docs, toxicity.train(d, l)).collect()
+        assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+        assert all(r.held_out for r in rows if r.doc_id is None)
+        if l is not labels:
+            assert len({round(r.score, 9) for r in rows}) == 1
+    assert toxicity.score(docs.limit(0), toxicity.train(docs, labels)).count() == 0
+
+
+def test_repeated_ids_are_trained_on_once(spark):
+    rows = [(i, "awful vile words here", None) for i in range(60)] + [(1000 + i, f"plain text number {i % 7} about things", None) for i in range(300)]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string, positive string")
+    labels = spark.createDataFrame([(i, 1) for i in range(60)] + [(1000 + i, 0) for i in range(300)], "doc_id long, toxic int")
+    model, once = toxicity.train(docs, labels), toxicity.train(docs.distinct(), labels)
+    assert len(model.features) and (model.features == once.features).all() and np.allclose(model.weights, once.weights)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert all(got[i] == (i < 60) for i in got)
+
+
 def test_pages_are_extracted():
     model, wrong, n = html_crf.default_model(), 0, 0
     for seed in range(9000, 9080):
@@ -313,6 +336,26 @@ def test_pages_are_extracted():
     assert wrong / n < 0.01
 
 
+def test_handmade_pages():
+    """Blocks of pages that were labelled independently of the training pages."""
+    from handmade_pages import PAGES
+
+    model, right, marked, main = html_crf.default_model(), 0, 0, 0
+    for page, texts in PAGES:
+        assert set(texts) <= {b.text for b in blocks(page)}
+        found = collections.Counter(html_crf.main_text(model, page).split("\n"))
+        right += sum((found & collections.Counter(texts)).values())
+        marked, main = marked + sum(found.values()), main + len(texts)
+    print(f"precision {right / marked:.3f}, recall {right / main:.3f} of {main} blocks")
+    assert right / marked > 0.85 and right / main > 0.85
+
+
+def test_deep_pages():
+    page = "<div class=content>" * 50_000 + "<p>One sentence here, deep down.</p>" + "</b></div>" * 50_000 + "<article><p>" + "<em>" * 50_000 + "Two." + "</i></em>" * 20_000
+    found = blocks(page)
+    assert [b.text for b in found] == ["One sentence here, deep down.", "Two."] and "t:article" in found[1].names and "m:content" not in found[1].names
+
+
 def test_viterbi_finds_the_best_path():
     m, rng = html_crf.default_model(), np.random.default_rng(0)
     names = [list(rng.choice(sorted(m.index), 5, replace=False)) for _ in range(7)]
