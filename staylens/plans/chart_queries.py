@@ -8,6 +8,7 @@ from staylens.functions import text as T
 from staylens.operators import reviews as R
 from staylens.operators import stats as S
 from staylens.plans.adapter import OTHER, on_average, on_reviews, reviews, table, with_average
+from staylens.sources.spread import spread
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -146,7 +147,7 @@ def funnel_shares(spark, d):
 
 @query("word_freq_top300", f"SELECT term, count(*) AS n FROM (SELECT unnest({TOKENS}) AS term FROM documents) GROUP BY 1 ORDER BY n DESC, term LIMIT 300")
 def word_freq_top300(spark, d):
-    return S.word_frequency(table(spark, d, "documents"), "text", 300)
+    return S.word_frequency(spread(table(spark, d, "documents").select("text")), "text", 300)
 
 
 SCORED = "CASE WHEN n_chars % 10 + 1 >= 9 THEN 'high' WHEN n_chars % 10 + 1 <= 7 THEN 'low' END"
@@ -154,7 +155,7 @@ SCORED = "CASE WHEN n_chars % 10 + 1 >= 9 THEN 'high' WHEN n_chars % 10 + 1 <= 7
 
 def _labelled(spark, d, high: int, low: int):
     score = F.col("n_chars") % 10 + 1
-    docs = table(spark, d, "documents").withColumn("label", F.when(score >= high, "high").when(score <= low, "low"))
+    docs = spread(table(spark, d, "documents").select("n_chars", "text")).withColumn("label", F.when(score >= high, "high").when(score <= low, "low"))
     return docs.filter("label IS NOT NULL")
 
 

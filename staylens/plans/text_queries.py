@@ -13,6 +13,7 @@ from staylens.functions import money as M
 from staylens.functions import text as T
 from staylens.operators import reviews as R
 from staylens.plans.adapter import on_reviews, reviews, table
+from staylens.sources.spread import spread
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -48,7 +49,7 @@ def words_only(c):
 
 
 def docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
 
 
 @query("score_filter_funnel", on_reviews("SELECT count(*) AS total, count(*) FILTER (score >= 5) AS kept, count(*) FILTER (score < 5) AS low, count(*) FILTER (score IS NULL) AS unscored FROM reviews"))
