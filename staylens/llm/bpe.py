@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylens.llm.storage import table
 from staylens.llm.words import BLANK_SPLIT, slices, text_buffers
 
 SHORT_WORD, LONG_WORD = 40, 200
@@ -316,4 +317,4 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:
     """Contract query: every whole document encoded and decoded again."""
-    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return digests(table(spark, sf_dir, "documents"))

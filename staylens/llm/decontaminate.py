@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.llm.fm_index import FMIndex
-from staylens.llm.storage import written
+from staylens.llm.storage import table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, Words, slices, split_words
 
 WINDOW = 10
@@ -244,7 +244,7 @@ def cut(docs: DataFrame, benchmark: DataFrame, batch_bytes: int = BATCH_BYTES) -
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
     """Contract query: every document against the whole benchmark; the named items and the merged spans as text."""
-    found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = scan(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     spans = F.array_join(F.transform("spans", lambda x: F.concat(x["start"], F.lit("-"), x["stop"])), ",")
     return found.withColumns({"item_ids": F.array_join("item_ids", ","), "spans": spans})
 

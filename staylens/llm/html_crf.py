@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm.labelled_pages import labelled_page
 from staylens.llm.leaf_blocks import Block, blocks
+from staylens.llm.storage import table
 
 TRAIN_PAGES, SEED = 500, 1000
 #: A feature has to occur in so many labelled blocks.
@@ -175,4 +176,4 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
 
 def op9_html_text(spark, sf_dir: str) -> DataFrame:
     """Contract query: the main text of every page."""
-    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return extract(table(spark, sf_dir, "pages"))

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.storage import written
+from staylens.llm.storage import table, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -189,7 +189,7 @@ def filter_documents(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float =
 
 def op7_line_quality(spark, sf_dir: str) -> DataFrame:
     """Contract query: the figures and the verdict of every document."""
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return judge(table(spark, sf_dir, "documents"))
 
 
 ORACLE = f"""

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from staylens.llm.bagminhash import band_keys, signatures, similarity, sketches, weigh
 from staylens.llm.graph import components
 from staylens.llm.skew import spread_join
-from staylens.llm.storage import discard, written
+from staylens.llm.storage import discard, table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, shingles, slices, split_words
 
 K = 5
@@ -281,5 +281,5 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def op4_near_dup(spark, sf_dir: str) -> DataFrame:
     """One row per document: its class, named by the class's least doc_id, and whether it is the one to keep."""
-    found = classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))

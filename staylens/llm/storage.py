@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a local folder only where it is unset and all runs on this machine, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        master = spark.conf.get("spark.master", "")
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = f"file://{tempfile.gettempdir()}/staylens-checkpoints"
-    return folder.rstrip("/")
+from staylens.sources.spread import spread
+from staylens.storage import new_path
 
 
-def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables, dealt to all cores where it is one small file."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def written(df: DataFrame, what: str) -> DataFrame:

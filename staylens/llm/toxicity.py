@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.storage import discard, written
+from staylens.llm.storage import discard, table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, slices, split_words
 
 FOLDS = 5
@@ -189,5 +189,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
     """Contract query: every document scored by a model of the training folds' labels."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm.skew import spread_join
-from staylens.llm.storage import new_path, written
+from staylens.llm.storage import new_path, table, written
 
 DICT_MAGIC = b"\x5d\x2a\x4d\x18"
 #: An empty skippable frame; all its bytes are ASCII, so Spark's text writer takes it as a line separator.
@@ -293,7 +293,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def op2_warc(spark, sf_dir: str) -> DataFrame:
     """Contract query: every page written as a record, then read back."""
     path = new_path(spark, "warc")
-    write_archives(with_targets(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
+    write_archives(with_targets(table(spark, sf_dir, "pages")), path)
     return read_archives(spark, path).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_ok", "problem"
     )
