@@ -48,6 +48,7 @@ def duck():
 def test_query_equals_sql(spark, duck, name):
     want = duck.sql(queries.oracle_sql()[name])
     df = queries.queries()[name](spark, DATA)
+    assert sorted(df.columns) == sorted(want.columns)
     got = sorted(str(tuple(r)) for r in df.select(*want.columns).collect())
     assert got == sorted(map(str, want.fetchall()))
 
@@ -570,6 +571,95 @@ def test_base_figures_and_depleted_documents(spark):
     assert set(left) == {i for i in range(61) if kept[i]} and all(common not in t for t in left.values())
 
 
+def _runs(words, n=50):
+    return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+
+
+def _components(bags):
+    """Classes of texts by brute force: a weighted Jaccard similarity of 0.8 or more of five-word shingles, joined."""
+    up = {i: i for i in bags}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(bags)
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            a, b = bags[i], bags[j]
+            if a and b and min(sum(a.values()), sum(b.values())) >= 0.8 * max(sum(a.values()), sum(b.values())):
+                if sum((a & b).values()) >= 0.8 * sum((a | b).values()) - 1e-9:
+                    x, y = top(i), top(j)
+                    up[max(x, y)] = min(x, y)
+    return {i: top(i) for i in ids}
+
+
+def _bag(text):
+    words = plain_words(text)
+    return collections.Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else collections.Counter()
+
+
+def test_near_dup_query_equals_brute_force(spark):
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{DATA}/documents.parquet'").fetchall())
+    want = _components({i: _bag(t) for i, t in texts.items()})
+    first = {}
+    for i in sorted(texts):  # texts without words are copies of each other if equal
+        if not plain_words(texts[i]):
+            want[i] = first.setdefault(texts[i] or "", i)
+    got = near_dup.op4_near_dup(spark, DATA).collect()
+    assert {r.doc_id: r.class_id for r in got} == want and all(r.kept == (r.doc_id == r.class_id) for r in got)
+
+
+def test_repeated_passage_query_against_brute_force(spark):
+    """Every word in a run of 50 that an earlier document has lies in a passage found, and every passage found is one."""
+    words = {i: plain_words(t) for i, t in duckdb.sql(f"SELECT doc_id, text FROM '{DATA}/documents.parquet'").fetchall()}
+    got = substring_dedup.op5_substring_dedup(spark, DATA).collect()
+    seen, missed, found = set(), 0, collections.defaultdict(set)
+    for r in got:
+        assert r.source_id < r.doc_id and r.stop - r.start >= 50 and r.matched >= 0.8 * max(r.stop - r.start, r.source_stop - r.source_start)
+        both = collections.Counter(words[r.doc_id][r.start : r.stop]) & collections.Counter(words[r.source_id][r.source_start : r.source_stop])
+        assert sum(both.values()) >= r.matched
+        found[r.doc_id] |= set(range(r.start, r.stop))
+    total = 0
+    for i in sorted(words):
+        own = _runs(words[i])
+        covered = {k + d for k, run in enumerate(own) if run in seen for d in range(50)}
+        missed, total = missed + len(covered - found[i]), total + len(covered)
+        seen |= set(own)
+    assert total > 500 and not missed
+
+
+def test_pipeline_against_brute_force(spark, duck):
+    """Each stage on what the stage before has kept, against plain Python or SQL."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    columns, kept = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, DATA), "stage")
+        kept.append(docs)
+        assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == columns
+    quality, near, passages, bench, tokens = ({r.doc_id: r for r in x.collect()} for x in kept)
+    verdicts = dict(duck.sql(f"SELECT doc_id, kept FROM ({line_quality.ORACLE})").fetchall())
+    assert set(quality) == {i for i, ok in verdicts.items() if ok}
+    classes = _components({i: _bag(r.text) for i, r in quality.items()})
+    assert set(near) == set(classes.values()) and all(near[i].text == quality[i].text for i in near)
+    seen = set()
+    for i in sorted(near):
+        assert not seen & set(_runs(plain_words(passages[i].text))), i
+        seen |= set(_runs(plain_words(near[i].text)))
+    windows = {w for (t,) in duck.sql("SELECT text FROM benchmark").fetchall() for w in (_runs(plain_words(t), 10) or [tuple(plain_words(t))]) if w}
+    assert set(bench) == set(passages)
+    for r in bench.values():
+        own = plain_words(r.text)
+        assert not any(w in windows for n in {len(x) for x in windows} for w in _runs(own, n))
+    theirs = Tokenizer.from_file(bpe.default_path())
+    assert {i: list(r.token_ids) for i, r in tokens.items()} == {i: theirs.encode(r.text or "", add_special_tokens=False).ids for i, r in bench.items()}
+
+
 def test_pipeline_runs_its_stages(spark):
     import corpus_pipeline
 
