@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.sources.spread import spread
-from staylens.storage import new_path
+from staylens.storage import new_path, written
+
+__all__ = ["discard", "new_path", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,15 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage ends there and lost executors do not matter."""
-    path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
-    table.written_path = path
-    return table
-
-
 def discard(*tables: DataFrame) -> None:
     """Removes tables of written() that nothing reads any more; what was derived from them has to be written by then.
 
