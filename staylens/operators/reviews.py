@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.dates import first_of_month
 from staylens.functions.text import is_empty, nights, strip
-from staylens.storage import new_path
+from staylens.storage import written
 
 
 def score_filter(df: DataFrame, least: float = 5, column: str = "score") -> DataFrame:
@@ -53,12 +53,10 @@ def near_duplicates(
 
 def number_rows(df: DataFrame, *order: str, name: str = "stt") -> DataFrame:
     """1..n in the order of columns that make it total, without one task for all rows: rows are ranged, counted by
-    range, and numbered within it from where the ranges before end. The ranged rows are written once with the number of their
-    range, so counts and numbers agree however tasks are repeated or merged."""
+    range, and numbered within it from where the ranges before end. The rows are written before they are ranged, as Spark
+    samples what it ranges, and then with the number of their range, so counts and numbers agree however tasks are repeated."""
     part, at, before = "range_of_rows", "place_in_range", "rows_before"
-    path = new_path(df.sparkSession, "ranged")
-    df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()).write.parquet(path)
-    ranged = df.sparkSession.read.parquet(path)
+    ranged = written(written(df, "rows").repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranged")
     within = ranged.withColumn(at, F.row_number().over(Win.partitionBy(part).orderBy(*order)))
     sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n"))  # one row for each range
     ends = sizes.select(part, F.coalesce(F.sum("n").over(Win.orderBy(part).rowsBetween(Win.unboundedPreceding, -1)), F.lit(0)).alias(before))

@@ -8,6 +8,7 @@ from staylens.functions import urls as U
 from staylens.operators import audit as A
 from staylens.operators import links as K
 from staylens.plans import cleaning
+from staylens.plans import text_queries as TQ
 from staylens.plans.adapter import on_reviews, reviews, table
 from staylens.sources import html as H
 from staylens.streaming import windows as SW
@@ -196,7 +197,32 @@ def folder_compare(spark, d):
     return K.compare_folders(left, right)
 
 
-@query("full_pipeline")
+def _collapsed(source: str) -> str:
+    """SQL of (doc_id, t) of a table's texts with words that are said again written once; only blanks may stand between them."""
+    return f"""(SELECT doc_id, array_to_string(list_transform(list_filter(list_zip(g, w, range(1, len(g) + 1)), lambda p: p[3] = 1 OR p[2] IS NULL
+  OR NOT (regexp_full_match(p[1], '\\s+') AND lower(p[2]) = lower(w[p[3] - 1]))), lambda p: p[1] || coalesce(p[2], '')), '') AS t
+FROM (SELECT doc_id, string_split_regex(t, '[\\p{{L}}\\p{{N}}_]+') AS g, regexp_extract_all(t, '[\\p{{L}}\\p{{N}}_]+') AS w FROM {source}))"""
+
+
+def _on(source: str, query: str) -> str:
+    """SQL of a query of documents over the texts of another table."""
+    return f"(WITH documents AS (SELECT doc_id, t AS text FROM {source}) SELECT * FROM {query})"
+
+
+LEXICON = {w: w.replace(" ", "_") for w in TQ.lexicons.ABBREVIATIONS.values() if " " in w}
+WHOLE = rf"""WITH one AS (SELECT doc_id, {TQ.NO_EMOJI} AS t FROM documents), two AS (SELECT * FROM {_collapsed("one")}),
+three AS (SELECT doc_id, {TQ.STRIPPED.format("array_to_string(list_filter(c, lambda x, i: i = 1 OR x <> c[i - 1] OR x = chr(10)), '')")} AS t FROM (SELECT doc_id, string_split(t, '') AS c FROM two)),
+four AS (SELECT doc_id, t FROM three WHERE length(t) >= 5 AND regexp_matches(t, '[\p{{L}}\p{{N}}]')),
+five AS (SELECT doc_id, regexp_replace({TQ.NORMAL}, '^\s*-\s*', '') AS t FROM (SELECT doc_id, t AS text FROM four)),
+flags AS (SELECT doc_id, rule BETWEEN 17 AND 22 AS is_vietnamese FROM {_on("five", f"({TQ.CASCADE})")}),
+six AS (SELECT doc_id, mapped AS t FROM {_on("five", TQ.mapped(TQ.lexicons.ABBREVIATIONS))}), seven AS (SELECT * FROM {_collapsed("six")}),
+eight AS (SELECT doc_id, trim(regexp_replace(t, '\s+', ' ', 'g')) AS t FROM seven), nine AS (SELECT doc_id, t FROM eight WHERE t <> ''),
+ten AS (SELECT doc_id, t FROM (SELECT doc_id, t, lag(t) OVER (PARTITION BY doc_id % 1000 ORDER BY doc_id) AS before FROM nine) WHERE t IS DISTINCT FROM before),
+kept AS (SELECT doc_id, t FROM ten JOIN flags USING (doc_id) WHERE is_vietnamese)
+SELECT doc_id AS review_id, md5(t) AS digest, md5(mapped) AS segmented FROM kept JOIN (SELECT doc_id, mapped FROM {_on("kept", TQ.mapped(LEXICON))}) USING (doc_id)"""
+
+
+@query("full_pipeline", WHOLE)
 def full_pipeline(spark, d):
     return cleaning.whole(spark, d)
 
