@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from staylens.llm.storage import table
 from staylens.llm.words import BLANK_SPLIT, slices, text_buffers
-from staylens.llm.workers import lean
+from staylens.llm.workers import map_batches
 
 SHORT_WORD, LONG_WORD = 40, 200
 #: Bytes of text that are encoded at a time (a longer text is encoded as a whole).
@@ -274,7 +274,7 @@ def encode(docs: DataFrame, path: str | None = None, column: str = "text") -> Da
                 ids = pa.ListArray.from_arrays(pa.array(e.bounds.astype(np.int32)), pa.array(e.ids))
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in rest), ids], names=schema.names)
 
-    return docs.mapInArrow(lean(run), schema)
+    return docs.transform(map_batches, run, schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -292,7 +292,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             texts = pa.array([bytes(x).decode() for x in own.decode_column(ids, bounds)], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), texts], names=schema.names)
 
-    return encoded.mapInArrow(lean(run), schema)
+    return encoded.transform(map_batches, run, schema)
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -313,7 +313,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(e.first, len(ids)), *arrays], names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, schema)
 
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:

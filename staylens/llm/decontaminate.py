@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from staylens.llm.fm_index import FMIndex
 from staylens.llm.storage import table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, Words, slices, split_words
-from staylens.llm.workers import lean
+from staylens.llm.workers import map_batches
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -191,7 +191,7 @@ def _pass(docs: DataFrame, benchmark: DataFrame, final, schema: str | T.StructTy
                 else:
                     yield pa.RecordBatch.from_arrays([*own.columns, _spans_array(spans), pa.array(items, pa.list_(pa.string()))], names=held.names)
 
-        docs = docs.mapInArrow(lean(run), schema if last else held)
+        docs = docs.transform(map_batches, run, schema if last else held)
         if not last:
             docs, first = written(docs, "decontaminated"), False
             found.destroy()

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from staylens.llm.labelled_pages import labelled_page
 from staylens.llm.leaf_blocks import Block, blocks
 from staylens.llm.storage import table
-from staylens.llm.workers import lean
+from staylens.llm.workers import map_batches
 
 TRAIN_PAGES, SEED = 500, 1000
 #: A feature has to occur in so many labelled blocks.
@@ -172,7 +172,7 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
                 arrays = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), *arrays], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(lean(run), SCHEMA)
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).transform(map_batches, run, SCHEMA)
 
 
 def op9_html_text(spark, sf_dir: str) -> DataFrame:

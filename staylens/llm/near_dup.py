@@ -31,7 +31,7 @@ from staylens.llm.graph import components
 from staylens.llm.skew import spread_join
 from staylens.llm.storage import discard, table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, shingles, slices, split_words
-from staylens.llm.workers import lean
+from staylens.llm.workers import map_batches
 
 K = 5
 THRESHOLD = 0.8
@@ -73,7 +73,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
     text = F.coalesce(F.col("text"), F.lit(""))
     named = docs.select(text_node(F.col("text")).alias("node"), text.alias("text"))
-    return named.mapInArrow(lean(run), "node binary, n long, buckets array<long>, sketch array<long>").distinct()
+    return named.transform(map_batches, run, "node binary, n long, buckets array<long>, sketch array<long>").distinct()
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
@@ -110,7 +110,7 @@ def shingle_cells(texts: DataFrame) -> DataFrame:
                 counts = np.minimum(np.bincount(place, minlength=n * CELLS), 65535).astype("<u2").reshape(n, CELLS)
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(part.first, n), pa.array([x.tobytes() for x in counts], pa.binary())], names=["node", "cells"])
 
-    return texts.select("node", "text").mapInArrow(lean(run), "node binary, cells binary")
+    return texts.select("node", "text").transform(map_batches, run, "node binary, cells binary")
 
 
 def cells_allow(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, threshold: float) -> np.ndarray:
@@ -175,7 +175,7 @@ def across(rows: DataFrame, threshold: float) -> DataFrame:
                 for i, j in _cell_pairs(np.cumsum(new[:stop]), get("block"), inner, get("component"), get("n"), sketch, counts, threshold):
                     yield pa.RecordBatch.from_arrays([nodes.take(pa.array(i)), nodes.take(pa.array(j))], names=["a", "b"])
 
-    found = dealt.repartition(*keys_of).sortWithinPartitions(*keys_of).mapInArrow(lean(run), "a binary, b binary")
+    found = dealt.repartition(*keys_of).sortWithinPartitions(*keys_of).transform(map_batches, run, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -201,7 +201,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
                 )
 
     named = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    return pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(lean(run), "a binary, b binary, similarity double")
+    return pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "text_a", "text_b").transform(map_batches, run, "a binary, b binary, similarity double")
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:

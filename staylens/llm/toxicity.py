@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm.storage import discard, table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, slices, split_words
-from staylens.llm.workers import lean
+from staylens.llm.workers import map_batches
 
 FOLDS = 5
 SEED = 17
@@ -136,7 +136,7 @@ def _words(sample: DataFrame, bits: int) -> DataFrame:
                 take = pa.array(row + first)
                 yield pa.RecordBatch.from_arrays([*(batch.column(n).take(take) for n in names), pa.array(word)], names=[*names, "word"])
 
-    return sample.select("doc_id", "positive", "text").mapInArrow(lean(run), "doc_id long, positive boolean, word long")
+    return sample.select("doc_id", "positive", "text").transform(map_batches, run, "doc_id long, positive boolean, word long")
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")
-    ).mapInArrow(lean(run), RESULT)
+    ).transform(map_batches, run, RESULT)
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.workers import lean
+from staylens.llm.workers import map_batches
 
 STRICT = ("casino", "porn", "xxx", "viagra", "escort", "sexcam", "slots", "hentai", "malware", "phishing")
 SOFT = (
@@ -122,7 +122,7 @@ def judge_urls(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_lim
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), *arrays], names=NAMES)
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).mapInArrow(lean(judged), SCHEMA)
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).transform(map_batches, judged, SCHEMA)
 
 
 def op8_url_filter(spark, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm.skew import spread_join
 from staylens.llm.storage import new_path, table, written
-from staylens.llm.workers import lean
+from staylens.llm.workers import map_batches
 
 DICT_MAGIC = b"\x5d\x2a\x4d\x18"
 #: An empty skippable frame; all its bytes are ASCII, so Spark's text writer takes it as a line separator.
@@ -256,7 +256,7 @@ def write_archives(rows: DataFrame, path: str, date: str | None = None, archive_
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join([lead, *out])], pa.binary())], names=["archive"])
 
-    framed = rows.withColumn("name", F.monotonically_increasing_id()).mapInArrow(lean(encoded), "archive binary")
+    framed = rows.withColumn("name", F.monotonically_increasing_id()).transform(map_batches, encoded, "archive binary")
     one = framed.select(F.col("archive").cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
     one.option("lineSep", SEPARATOR.decode("latin-1")).text(path)
 
@@ -288,7 +288,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).filter("length > 0").select("content")
-    return files.mapInArrow(lean(decoded), SCHEMA)
+    return files.transform(map_batches, decoded, SCHEMA)
 
 
 def op2_warc(spark, sf_dir: str) -> DataFrame:

@@ -1,14 +1,20 @@
-"""What Python workers hold between tasks."""
+"""Arrow batches through Python workers: their size, and what workers hold between tasks."""
 
 from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+#: Bytes of a batch that an executor hands to a worker at most, but for a longer single row.
+BATCH_BYTES = 8_000_000
+_KEY, _UNITS = "spark.sql.execution.arrow.maxBytesPerBatch", {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -33,3 +39,12 @@ def lean(run: Run) -> Run:
             _give_back()
 
     return wrapped
+
+
+def map_batches(df: DataFrame, run: Run, schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow() in batches of bounded bytes, which the session's setting asks for unless it is smaller, by lean workers."""
+    conf = df.sparkSession.conf
+    digits, unit = re.fullmatch(r"(-?\d+)([bkmg]?)b?", conf.get(_KEY, "-1").lower()).groups()
+    if not 0 < int(digits) * _UNITS.get(unit, 1) <= BATCH_BYTES:
+        conf.set(_KEY, str(BATCH_BYTES))
+    return df.mapInArrow(lean(run), schema)
