@@ -44,7 +44,7 @@ def lean(run: Run) -> Run:
 def map_batches(df: DataFrame, run: Run, schema: str | T.StructType) -> DataFrame:
     """df.mapInArrow() in batches of bounded bytes, which the session's setting asks for unless it is smaller, by lean workers."""
     conf = df.sparkSession.conf
-    digits, unit = re.fullmatch(r"(-?\d+)([bkmg]?)b?", conf.get(_KEY, "-1").lower()).groups()
+    digits, unit = re.fullmatch(r"(-?\d+)([bkmg]?)b?", conf.get(_KEY).lower()).groups()
     if not 0 < int(digits) * _UNITS.get(unit, 1) <= BATCH_BYTES:
         conf.set(_KEY, str(BATCH_BYTES))
     return df.mapInArrow(lean(run), schema)
