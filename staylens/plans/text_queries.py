@@ -48,8 +48,8 @@ def words_only(c):
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\p{L}\p{N}_]+", " "))
 
 
-def docs(spark, d):
-    return spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
+def docs(spark, d, *more: str):
+    return spread(table(spark, d, "documents").select("doc_id", "text", *more))
 
 
 @query("score_filter_funnel", on_reviews("SELECT count(*) AS total, count(*) FILTER (score >= 5) AS kept, count(*) FILTER (score < 5) AS low, count(*) FILTER (score IS NULL) AS unscored FROM reviews"))
@@ -64,7 +64,7 @@ def emoji_strip(spark, d):
 
 @query("emoji_count", f"SELECT lang, count(*) FILTER (regexp_matches(text, '{EMOJI}')) AS n FROM documents GROUP BY 1")
 def emoji_count(spark, d):
-    return docs(spark, d).groupBy("lang").agg(F.count_if(T.contains_emoji(F.col("text"))).alias("n"))
+    return docs(spark, d, "lang").groupBy("lang").agg(F.count_if(T.contains_emoji(F.col("text"))).alias("n"))
 
 
 @query(
