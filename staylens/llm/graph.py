@@ -44,4 +44,4 @@ def components(edges: DataFrame) -> DataFrame:
         left = written(moved.filter("a <> b").distinct().coalesce(files(n)), "edges")
         n = left.count()
         if not n:
-            return place
+            return written(place.repartition("node"), "components")  # evenly, however many nodes a hub has
