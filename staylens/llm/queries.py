@@ -16,6 +16,7 @@ MODULES = {
     "op6_decontamination": "decontaminate",
     "op7_line_quality": "line_quality",
     "op8_url_filter": "url_filter",
+    "op11_collocations": "collocations",
     "op12_language_id": "language_id",
     "op13_periodic_runs": "periodic_runs",
 }
