@@ -5,11 +5,14 @@ from __future__ import annotations
 import difflib
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.storage import written
+
 
 def union_distinct(*sets: DataFrame) -> DataFrame:
     """(province, url) of all sets, trimmed and lower-cased, once each."""
@@ -107,3 +110,48 @@ def json_diff(left: DataFrame, right: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(diffs, pa.string())], names=["name", "diff"])
 
     return pairs.mapInArrow(run, "name string, diff string").filter("diff <> ''")
+
+
+def _is_container(v: Column) -> Column:
+    """Whether a variant is an object or an array that has anything in it."""
+    kind = F.schema_of_variant(v)
+    return F.coalesce((kind.startswith("OBJECT<") & (kind != "OBJECT<>")) | (kind.startswith("ARRAY<") & (F.to_json(v) != "[]")), F.lit(False))
+
+
+def json_leaves(documents: DataFrame) -> DataFrame:
+    """(name, path, value) of every leaf of (name, content) rows: a scalar, null or empty container as a variant, and its path.
+
+    Containers are exploded level by level, all documents at once, so the rounds are as many as the deepest document has
+    levels. Paths read like ``$.rooms[0].price``; keys of other than letters, digits and underscores are quoted. Malformed
+    documents and nulls have no leaves.
+    """
+    spark, found = documents.sparkSession, []
+    level = documents.select("name", F.lit("$").alias("path"), F.try_parse_json("content").alias("value")).filter("value IS NOT NULL")
+    while True:
+        level = written(level.withColumn("is_container", _is_container(F.col("value"))), "json-level")
+        found.append(level.filter("NOT is_container").select("name", "path", "value"))
+        inner = level.filter("is_container").select("name", "path", F.col("value").alias("container"))
+        if inner.isEmpty():
+            break
+        parts = inner.lateralJoin(spark.tvf.variant_explode(F.col("container").outer()))
+        plain = F.col("key").rlike("^[A-Za-z0-9_]+$")
+        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), "pos", F.lit("]"))).when(plain, F.concat(F.lit("."), "key")).otherwise(F.concat(F.lit('."'), "key", F.lit('"')))
+        level = parts.select("name", F.concat("path", step).alias("path"), "value")
+    return reduce(DataFrame.unionByName, found)
+
+
+def json_changes(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(name, path, change, before, after) of the leaves in which (name, content) rows of both sides differ.
+
+    change is added, removed or changed; before and after are JSON text. Numbers are compared by value, so 1 and 1.0 are equal,
+    and the order of keys and the white space do not matter. Names that one side lacks, or has malformed, are left out
+    (compare_folders tells those); a name has to be unique on each side.
+    """
+    shared = left.filter(F.try_parse_json("content").isNotNull()).select("name").join(right.filter(F.try_parse_json("content").isNotNull()).select("name"), "name", "left_semi").distinct()
+    leaf = lambda df, text, number: json_leaves(df.join(shared, "name", "left_semi")).select(
+        "name", "path", F.to_json("value").alias(text), F.when(F.schema_of_variant("value").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get("value", "$", "double")).alias(number)
+    )
+    both = leaf(left, "before", "a").join(leaf(right, "after", "b"), ["name", "path"], "full_outer")
+    change = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
+    same = F.col("before").eqNullSafe(F.col("after")) | F.coalesce(F.col("a") == F.col("b"), F.lit(False))
+    return both.filter(~same).select("name", "path", change.alias("change"), "before", "after")

@@ -41,14 +41,27 @@ def near_duplicates(
 
     Rows of a user are ordered by month and ``order`` (columns that make the order total); each is compared with the row
     before it (after it, if keep is "last"), whether that row stays or not. Rows without a month go, null users never match.
+
+    One user may have any share of the rows: tasks get ranges of (user, month, order), not users, and the last row of a range
+    (the first, if keep is "last") is carried over to the next one, a row for each range.
     """
+    part, first = "range_of_rows", keep == "first"
+    keys = [F.col(user).alias("user"), F.col("__month").alias("month"), *[F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]]
+    said = F.lower(strip(F.col(text))).alias("said")
     dated = df.withColumn("__month", first_of_month(F.col(month))).filter("__month IS NOT NULL")
-    w = Win.partitionBy(user).orderBy("__month", *order)
-    near = F.lag if keep == "first" else F.lead
-    said = F.lower(strip(F.col(text)))
-    gap = F.abs(F.datediff("__month", near("__month").over(w)))
-    same = F.col(user).isNotNull() & (said == near(said).over(w)) & (gap <= days)
-    return dated.withColumn("__same", F.coalesce(same, F.lit(False))).filter(~F.col("__same")).drop("__month", "__same")
+    ranged = written(dated.repartitionByRange(user, "__month", *order).withColumn(part, F.spark_partition_id()), "ranged")
+    row = F.struct(*keys, said)
+    edges = ranged.groupBy(part).agg((F.max if first else F.min)(row).alias("edge"))  # one row for each range that has rows
+    near, by_part = F.lag if first else F.lead, Win.orderBy(part)
+    carried = edges.select(part, near("edge").over(by_part).alias("carried"))
+    within = Win.partitionBy(part).orderBy(user, "__month", *order)
+    beside = ranged.withColumn("beside", near(F.struct(F.col(user).alias("user"), F.col("__month").alias("month"), said)).over(within))
+    beside = beside.join(F.broadcast(carried), part).withColumn(
+        "beside", F.coalesce("beside", F.struct(F.col("carried.user"), F.col("carried.month"), F.col("carried.said")))
+    )
+    gap = F.abs(F.datediff("__month", F.col("beside.month")))
+    same = (F.col(user) == F.col("beside.user")) & (F.lower(strip(F.col(text))) == F.col("beside.said")) & (gap <= days)
+    return beside.withColumn("__same", F.coalesce(same, F.lit(False))).filter(~F.col("__same")).drop("__month", "__same", part, "beside", "carried")
 
 
 def number_rows(df: DataFrame, *order: str, name: str = "stt") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
+from staylens.functions.binding import let
 from staylens.functions.dates import first_of_month
 from staylens.functions.text import word_tokens
 
@@ -142,11 +143,10 @@ def word_frequency(df: DataFrame, text: str, k: int, by: str | None = None, stop
 
 
 def bigram_frequency(df: DataFrame, text: str, k: int, by: str | None = None) -> DataFrame:
-    tokens = word_tokens(F.col(text))
-    pairs = F.transform(
-        F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))), lambda t, i: F.concat_ws(" ", t, F.get(tokens, i + 1))
-    )
-    return _top_terms(df, F.explode(pairs), k, by)
+    def pairs(tokens: Column) -> Column:
+        return F.transform(F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))), lambda t, i: F.concat_ws(" ", t, F.get(tokens, i + 1)))
+
+    return _top_terms(df, F.explode(let(word_tokens(F.col(text)), pairs)), k, by)
 
 
 def _top_terms(df: DataFrame, exploded: Column, k: int, by: str | None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.functions.lexicons import VIETNAMESE
+
 OTHER = "OTHER"
 
 
@@ -78,3 +80,64 @@ def on_reviews(sql: str) -> str:
 
 def on_average(sql: str) -> str:
     return on_reviews(f", averaged AS ({AVERAGE_SQL}) {sql}")
+
+
+#: Texts of guests in many languages, one for each way in which the language rules decide, and Vietnamese ones with amounts, phones,
+#: emoji, repeats and abbreviations. Words in braces are replaced by words of the row.
+SAID = (
+    "Tốt {0}",
+    "!!!!! ... !!!!! ... !!!!! ok",
+    "schöne Zimmer, großes Haus und ruhige Straße {0}",
+    "příjemný hostitel, čisté a útulné místo u řeky {0}",
+    "și gazde în oraș, îngrijit și liniștit, țin minte {0}",
+    "très propre, chambre calme, accueil et personnel parfait",
+    "ottima posizione, bella struttura, camera e colazione",
+    "quarto limpo, cama boa, vista da cidade, muito bom",
+    "فندق جميل و نظيف في مدينة رائع",
+    "gan bien rong rinh lam, 酒店很好，房间干净，早餐不错，服务好，位置方便，推荐给大家，下次再来",
+    "gan bien rong rinh lam, 호텔 위치가 좋은 편이고 직원 분들이 친절 하고 객실 깨끗 조식 추천 방",
+    "gan bien rong rinh lam, ホテル の 部屋 は 清潔 で スタッフ も 親切 朝食 と 場所 が 良い",
+    "โรงแรม ห้อง สะอาด พนักงาน อาหารเช้า ดี บริการ แนะนำ",
+    "hotel bagus, kamar bersih, staf ramah, lokasi nyaman",
+    "everything was wonderful, friendly owners, great breakfast and a lovely garden {0}",
+    "the room had a nice view of it {0}",
+    "{0} được, {1} ở đường lớn, {2} tuyệt vời, {3} ổn",
+    "chủ nhà thân thiện, cho mượn xe đạp, gần chợ",
+    "cả nhà nghỉ tại chỗ cũng ổn, phải trả phí bữa, giá rẻ",
+    "và hoặc vì thì mà là có không rất tốt sạch sẽ tiện nghi phòng xa hợp lý tuyệt vời kém tệ ngon",
+    "bạn bè ngồi học bài cạnh tòa nhà một lần rồi về quê ngoại chụp hình",
+    "bạn bè ngồi học bài cạnh tòa nhà trong khu resort kia xong xuôi",
+    "xin chao cac ban minh o day hai dem roi ve nha",
+    "nv rất rất nhiệt tình 😀😀, ks sạch sẽ, {0} và {1} ở gần trung tâm!!!",
+    "giá 500k một đêm",
+    "0912345678",
+    "đặt qua số 0987 654 321 được giảm giá, {0} và {1} rất tốt, ăn sáng ngon",
+    "{0} {0} và {1} đẹp, được ở lại lần nữa, cx ko xa trung tâm, dc {2}",
+    "",
+)
+
+
+def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A comment of every order (doc_id, text, guest, month, country): a text of SAID with Vietnamese words, all chosen by keys."""
+    k = F.col("o_orderkey")
+    word = lambda i: F.element_at(F.array(*map(F.lit, VIETNAMESE)), (F.pmod(k * (3 + 2 * i) + i, F.lit(len(VIETNAMESE))) + 1).cast("int"))
+    text = F.element_at(F.array(*map(F.lit, SAID)), (F.pmod(k * 7 + F.floor(k / 32), F.lit(len(SAID))) + 1).cast("int"))
+    for i in range(4):
+        text = F.replace(text, F.lit(f"{{{i}}}"), word(i))
+    return table(spark, sf_dir, "orders").select(
+        (k + 1_000_000_000).alias("doc_id"),
+        text.alias("text"),
+        F.concat(F.lit("guest "), F.col("o_custkey") % 500).alias("guest"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.when(k % 3 == 0, "Vietnam").when(k % 3 == 1, "Germany").alias("country"),
+    )
+
+
+def comments_sql() -> str:
+    """SQL of comments()."""
+    listed = lambda words: "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+    text = f"{listed(SAID)}[((o_orderkey * 7 + o_orderkey // 32) % {len(SAID)} + 1)::INT]"
+    for i in range(4):
+        text = f"replace({text}, '{{{i}}}', {listed(VIETNAMESE)}[((o_orderkey * {3 + 2 * i} + {i}) % {len(VIETNAMESE)} + 1)::INT])"
+    return f"""SELECT o_orderkey + 1000000000 AS doc_id, {text} AS text, 'guest ' || o_custkey % 500 AS guest, strftime(o_orderdate, '%Y-%m') AS month,
+CASE o_orderkey % 3 WHEN 0 THEN 'Vietnam' WHEN 1 THEN 'Germany' END AS country FROM orders"""

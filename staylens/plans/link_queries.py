@@ -9,7 +9,7 @@ from staylens.operators import audit as A
 from staylens.operators import links as K
 from staylens.plans import cleaning
 from staylens.plans import text_queries as TQ
-from staylens.plans.adapter import on_reviews, reviews, table
+from staylens.plans.adapter import comments_sql, on_reviews, reviews, table
 from staylens.sources import html as H
 from staylens.streaming import windows as SW
 
@@ -209,17 +209,24 @@ def _on(source: str, query: str) -> str:
     return f"(WITH documents AS (SELECT doc_id, t AS text FROM {source}) SELECT * FROM {query})"
 
 
-LEXICON = {w: w.replace(" ", "_") for w in TQ.lexicons.ABBREVIATIONS.values() if " " in w}
-WHOLE = rf"""WITH one AS (SELECT doc_id, {TQ.NO_EMOJI} AS t FROM documents), two AS (SELECT * FROM {_collapsed("one")}),
+LEXICON = {w: w.replace(" ", "_") for w in cleaning.LEXICON}
+_GAP = "abs(strptime(month || '-01', '%Y-%m-%d')::DATE - strptime(m || '-01', '%Y-%m-%d')::DATE) <= 30"
+STEPS_SQL = rf"""WITH said AS (SELECT *, doc_id % 29 / 2.0 + 3 AS score FROM (
+  SELECT doc_id, text, 'guest ' || doc_id % 1000 AS guest, '2024-01' AS month, NULL::VARCHAR AS country FROM documents UNION ALL ({comments_sql()}))),
+scored AS (SELECT * FROM said WHERE score >= 5), one AS (SELECT doc_id, {TQ.NO_EMOJI} AS t FROM scored), two AS (SELECT * FROM {_collapsed("one")}),
 three AS (SELECT doc_id, {TQ.STRIPPED.format("array_to_string(list_filter(c, lambda x, i: i = 1 OR x <> c[i - 1] OR x = chr(10)), '')")} AS t FROM (SELECT doc_id, string_split(t, '') AS c FROM two)),
 four AS (SELECT doc_id, t FROM three WHERE length(t) >= 5 AND regexp_matches(t, '[\p{{L}}\p{{N}}]')),
 five AS (SELECT doc_id, regexp_replace({TQ.NORMAL}, '^\s*-\s*', '') AS t FROM (SELECT doc_id, t AS text FROM four)),
-flags AS (SELECT doc_id, rule BETWEEN 17 AND 22 AS is_vietnamese FROM {_on("five", f"({TQ.CASCADE})")}),
+placed AS (SELECT doc_id, t AS text, country FROM five JOIN (SELECT doc_id, country FROM said) USING (doc_id)),
+flags AS (SELECT doc_id, rule BETWEEN 17 AND 22 AS is_vietnamese FROM ({TQ.cascade("placed", "contains(lower(country), 'vietnam')")})),
 six AS (SELECT doc_id, mapped AS t FROM {_on("five", TQ.mapped(TQ.lexicons.ABBREVIATIONS))}), seven AS (SELECT * FROM {_collapsed("six")}),
 eight AS (SELECT doc_id, trim(regexp_replace(t, '\s+', ' ', 'g')) AS t FROM seven), nine AS (SELECT doc_id, t FROM eight WHERE t <> ''),
-ten AS (SELECT doc_id, t FROM (SELECT doc_id, t, lag(t) OVER (PARTITION BY doc_id % 1000 ORDER BY doc_id) AS before FROM nine) WHERE t IS DISTINCT FROM before),
-kept AS (SELECT doc_id, t FROM ten JOIN flags USING (doc_id) WHERE is_vietnamese)
-SELECT doc_id AS review_id, md5(t) AS digest, md5(mapped) AS segmented FROM kept JOIN (SELECT doc_id, mapped FROM {_on("kept", TQ.mapped(LEXICON))}) USING (doc_id)"""
+ten AS (SELECT doc_id, t, guest, month FROM (SELECT doc_id, t, guest, month, lag(t) OVER w AS before, lag(month) OVER w AS m FROM nine JOIN (SELECT doc_id, guest, month FROM said) USING (doc_id)
+  WINDOW w AS (PARTITION BY guest ORDER BY month, doc_id)) WHERE NOT coalesce(t = before AND {_GAP}, false)),
+kept AS (SELECT doc_id, t, guest, month FROM ten JOIN flags USING (doc_id) WHERE is_vietnamese)"""
+WHOLE = f"""{STEPS_SQL}
+SELECT doc_id AS review_id, md5(t) AS digest, md5(mapped) AS segmented, row_number() OVER (ORDER BY guest, month, doc_id) AS stt
+FROM kept JOIN (SELECT doc_id, mapped FROM {_on("kept", TQ.mapped(LEXICON))}) USING (doc_id)"""
 
 
 @query("full_pipeline", WHOLE)
@@ -227,6 +234,14 @@ def full_pipeline(spark, d):
     return cleaning.whole(spark, d)
 
 
+_COUNTED = zip(cleaning.STEPS, ("said", "scored", "four", "nine", "ten", "kept"), strict=True)
+
+
+@query("cleaning_funnel", STEPS_SQL + " UNION ALL ".join(f" SELECT {i} AS place, '{step}' AS step, count(*) AS n FROM {source}" for i, (step, source) in enumerate(_COUNTED)))
+def cleaning_funnel(spark, d):
+    return cleaning.funnel(spark, d)
+
+
 @query(
     "stream_windows",
     "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H') AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
@@ -248,6 +263,44 @@ def review_summary(spark, d):
     return parsed.select("conv_id", A.review_summary(F.col("r")).alias("summary"))
 
 
+ORDER_DOCUMENT = """json_object('key', o_orderkey, 'priority', {0}, 'lines', {1}, 'note', json_object('status', o_orderstatus, 'a b', {2}))"""
+LINES_SQL = "SELECT l_orderkey, list(json_object('n', l_linenumber, 'part', l_partkey{0}) ORDER BY l_linenumber, l_partkey{0}) AS lines FROM lineitem{1} GROUP BY 1"
+
+
+def _order_documents_sql(part: str, where: str, priority: str, note: str) -> str:
+    document = ORDER_DOCUMENT.format(priority, "coalesce(lines, [])", note)
+    return f"SELECT o_orderkey AS name, {document} AS doc FROM orders LEFT JOIN ({LINES_SQL.format(part, where)}) ON l_orderkey = o_orderkey"
+
+
+def order_documents(spark, d, part, where: str, priority, note):
+    """An order as JSON: its lines, and a note."""
+    lines = table(spark, d, "lineitem").filter(where).select("l_orderkey", F.struct(F.col("l_linenumber").alias("n"), part.alias("part")).alias("line"))
+    listed = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    note = F.struct(F.col("o_orderstatus").alias("status"), note.alias("a b"))
+    document = F.struct(F.col("o_orderkey").alias("key"), priority.alias("priority"), F.coalesce("lines", F.expr("array()")).alias("lines"), note.alias("note"))
+    joined = table(spark, d, "orders").join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return joined.select(F.col("o_orderkey").cast("string").alias("name"), F.to_json(document, {"ignoreNullFields": "false"}).alias("content"))
+
+
+_LEAVES = "SELECT name, fullkey AS path, atom, type, value FROM {0}, json_tree({0}.doc) WHERE type NOT IN ('OBJECT', 'ARRAY') OR value IN ('[]', '{{}}')"
+
+
+@query(
+    "json_changes",
+    f"""WITH a AS ({_order_documents_sql("", "", "o_orderpriority", "o_custkey")}),
+b AS ({_order_documents_sql(" + CASE WHEN l_partkey % 31 = 0 THEN 1 ELSE 0 END", " WHERE l_orderkey % 7 <> 0 OR l_linenumber < 3", "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END", "CASE WHEN o_orderkey % 11 = 0 THEN o_custkey + 1 ELSE o_custkey END")}),
+x AS ({_LEAVES.format("a")}), y AS ({_LEAVES.format("b")})
+SELECT name::VARCHAR AS name, path, CASE WHEN x.type IS NULL THEN 'added' WHEN y.type IS NULL THEN 'removed' ELSE 'changed' END AS change, x.value::VARCHAR AS before, y.value::VARCHAR AS after
+FROM x FULL JOIN y USING (name, path) WHERE x.value::VARCHAR IS DISTINCT FROM y.value::VARCHAR""",
+)
+def json_changes(spark, d):
+    key, part = F.col("o_orderkey"), F.col("l_partkey")
+    left = order_documents(spark, d, part, "true", F.col("o_orderpriority"), F.col("o_custkey"))
+    note = F.col("o_custkey") + (key % 11 == 0).cast("int")
+    right = order_documents(spark, d, part + (part % 31 == 0).cast("int"), "l_orderkey % 7 <> 0 OR l_linenumber < 3", F.when(key % 5 != 0, F.col("o_orderpriority")), note)
+    return K.json_changes(left, right)
+
+
 @query(
     "json_diff",
     """SELECT 'f' || s_suppkey AS name, '--- ' || chr(10) || '+++ ' || chr(10) || '@@ -1,4 +1,4 @@' || chr(10) || ' {' || chr(10) || '   "a": 1,' || chr(10)

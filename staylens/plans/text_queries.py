@@ -11,9 +11,13 @@ from staylens.functions import language as L
 from staylens.functions import lexicons
 from staylens.functions import money as M
 from staylens.functions import text as T
+from staylens.operators import profiles as P
+from staylens.operators import quantiles as Q
 from staylens.operators import reviews as R
-from staylens.plans.adapter import on_reviews, reviews, table
+from staylens.operators import segmentation as G
+from staylens.plans.adapter import comments, comments_sql, on_reviews, reviews, table
 from staylens.sources.spread import spread
+from staylens.storage import written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -250,8 +254,10 @@ def foreign_indicator(spark, d):
 
 
 _FEW = "vi < 4 AND ex <= 2"
-CASCADE = f"""WITH b AS (SELECT doc_id, {STRIPPED.format("coalesce(text, 'None')")} AS s FROM documents), l AS (SELECT doc_id, s, lower(s) AS l FROM b),
-c AS (SELECT doc_id, length(s) AS chars, length({STRIPPED.format(rf"regexp_replace(regexp_replace(s, '{EMOJI}', '', 'g'), '[^\p{{L}}\p{{N}}_\s]', '', 'g')")}) AS core,
+def cascade(source: str = "documents", local: str = "false") -> str:
+    """SQL of (doc_id, rule) of a table (doc_id, text); local says of a row of c whether its guest is of the country."""
+    return f"""WITH b AS (SELECT *, {STRIPPED.format("coalesce(text, 'None')")} AS s FROM {source}), l AS (SELECT *, lower(s) AS l FROM b),
+c AS (SELECT *, length(s) AS chars, length({STRIPPED.format(rf"regexp_replace(regexp_replace(s, '{EMOJI}', '', 'g'), '[^\p{{L}}\p{{N}}_\s]', '', 'g')")}) AS core,
 {_letters(lexicons.GERMAN_LETTERS)} AS ge, {_letters(lexicons.SLAVIC_LETTERS)} AS sl, {_letters(lexicons.ROMANIAN_LETTERS)} AS ro, {_hits(lexicons.FRENCH)} AS fr,
 {", ".join(f"{_hits(words)} AS {name}" for name, words, _ in L.ENOUGH)},
 {_hits(lexicons.VIETNAMESE)} AS vi, {_letters(lexicons.EXCLUSIVE_LETTERS)} AS ex, {_letters(lexicons.TONE_LETTERS)} AS tone, {_letters(lexicons.VIETNAMESE_LETTERS)} AS letters,
@@ -259,7 +265,10 @@ length(replace(replace(s, ' ', ''), '-', '')) AS dense, {_hits(lexicons.FOREIGN_
 SELECT doc_id, CASE WHEN chars < 15 THEN 1 WHEN core < 15 THEN 2 WHEN ge >= 2 AND {_FEW} THEN 3 WHEN sl >= 3 AND {_FEW} THEN 4 WHEN ro >= 2 AND {_FEW} THEN 5 WHEN fr >= 5 AND {_FEW} THEN 6
 {" ".join(f"WHEN {name} >= {n} THEN {7 + i}" for i, (name, _, n) in enumerate(L.ENOUGH))}
 WHEN ind AND ex <= 1 AND vi < 3 THEN 16 WHEN ex >= 2 THEN 17 WHEN ex >= 1 AND (vi >= 2 OR tone >= 1) THEN 18 WHEN tone >= 3 THEN 19 WHEN vi >= 15 THEN 20
-WHEN letters >= 12 OR (dense > 0 AND letters > dense * 0.35) THEN 21 ELSE 24 END AS rule FROM c"""
+WHEN letters >= 12 OR (dense > 0 AND letters > dense * 0.35) THEN 21 WHEN ({local}) AND (ex >= 1 OR letters >= 8 OR vi >= 3) THEN 22 ELSE 24 END AS rule FROM c"""
+
+
+CASCADE = cascade()
 
 
 @query("vietnamese_rule", CASCADE)
@@ -272,6 +281,11 @@ def vietnamese_flag(spark, d):
     return docs(spark, d).select("doc_id", L.is_vietnamese(F.col("text")).alias("is_vietnamese"))
 
 
+@query("comment_language_rule", cascade(f"({comments_sql()})", "contains(lower(country), 'vietnam')"))
+def comment_language_rule(spark, d):
+    return comments(spark, d).select("doc_id", L.language_rule(F.col("text"), F.col("country")).alias("rule"))
+
+
 @query(
     "combined_text",
     on_reviews("SELECT review_id, concat_ws(' ', nullif(trim(room_type), ''), nullif(trim(positive_comment), ''), nullif(trim(negative_comment), '')) AS combined, len(string_split(concat_ws(' ', nullif(trim(room_type), ''), nullif(trim(positive_comment), ''), nullif(trim(negative_comment), '')), ' '))::BIGINT AS words FROM reviews WHERE coalesce(room_type, positive_comment, negative_comment) IS NOT NULL"),
@@ -355,3 +369,91 @@ def vietnamese_simple(spark, d):
 def repeat_changes(spark, d):
     found = R.changed_rows(docs(spark, d).select(words_only(F.col("text")).alias("text")), "text", T.collapse_words)
     return found.agg(F.count_if("changed").alias("changed"), F.count(F.lit(1)).alias("total"))
+
+
+def all_texts(spark, d):
+    """(doc_id, text) of documents and of comments."""
+    return docs(spark, d).unionByName(spread(comments(spark, d).select("doc_id", "text")))
+
+
+ALL_TEXTS = f"all_texts AS (SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, text FROM ({comments_sql()}))"
+#: The lattice's paths as states of the last three places of every run of words: cost, text and joined pieces up to each.
+LATTICE = f"""WITH RECURSIVE {ALL_TEXTS},
+tok AS (SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) AS i FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{G.TOKEN}') AS t FROM all_texts)),
+kinds AS (SELECT *, regexp_matches(tok, '^[\\p{{L}}\\p{{N}}_]') AS is_word FROM tok),
+runs AS (SELECT *, sum((NOT is_word)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM kinds),
+placed AS (SELECT doc_id, run, i, tok, lower(tok) AS w, row_number() OVER r AS j, lag(tok) OVER r AS tok2, lag(tok, 2) OVER r AS tok3 FROM runs WHERE is_word WINDOW r AS (PARTITION BY doc_id, run ORDER BY i)),
+grams AS (SELECT *, lower(tok2) || ' ' || w AS w2, lower(tok3) || ' ' || lower(tok2) || ' ' || w AS w3 FROM placed),
+counted AS (SELECT term, words, count(*) AS n FROM (SELECT w AS term, 1 AS words FROM grams UNION ALL SELECT w2, 2 FROM grams WHERE w2 IS NOT NULL UNION ALL SELECT w3, 3 FROM grams WHERE w3 IS NOT NULL) GROUP BY ALL),
+terms AS (SELECT term, round((ln((SELECT sum(n) FROM counted WHERE words = 1)) - ln(n)) * 1000000)::BIGINT + {G.PENALTY} * (words - 1) AS cost FROM counted WHERE words = 1 OR n >= {G.LEAST}
+  QUALIFY row_number() OVER (PARTITION BY words ORDER BY n DESC, term) <= CASE WHEN words = 1 THEN {G.MAX_WORDS} ELSE {G.MAX_TERMS} END),
+edges AS (SELECT g.doc_id, run, j, i, tok, tok2 || '_' || tok AS t2, tok3 || '_' || tok2 || '_' || tok AS t3, coalesce(a.cost, (SELECT max(cost) FROM terms WHERE NOT contains(term, ' '))) AS k1, b.cost AS k2, c.cost AS k3
+  FROM grams g LEFT JOIN terms a ON a.term = w LEFT JOIN terms b ON b.term = w2 LEFT JOIN terms c ON c.term = w3),
+path AS (SELECT DISTINCT doc_id, run, 0 AS j, 0::BIGINT AS c0, NULL::BIGINT AS c1, NULL::BIGINT AS c2, '' AS s0, '' AS s1, '' AS s2 FROM edges
+  UNION ALL SELECT doc_id, run, j, least(x1, x2, x3), c0, c1, CASE WHEN x1 <= least(x2, x3) THEN s0 || ' ' || tok WHEN x2 <= x3 THEN s1 || ' ' || t2 ELSE s2 || ' ' || t3 END, s0, s1
+  FROM (SELECT p.*, e.j AS nj, tok, t2, t3, c0 + k1 AS x1, coalesce(c1 + k2, 1e18::BIGINT) AS x2, coalesce(c2 + k3, 1e18::BIGINT) AS x3 FROM path p JOIN edges e ON e.doc_id = p.doc_id AND e.run = p.run AND e.j = p.j + 1) AS n(doc_id, run, oj, c0, c1, c2, s0, s1, s2, j, tok, t2, t3, x1, x2, x3)),
+whole AS (SELECT doc_id, run, arg_max(s0, j)[2:] AS s FROM path GROUP BY doc_id, run),
+pieces AS (SELECT doc_id, run, 1 AS place, s FROM whole UNION ALL SELECT doc_id, run, 0, tok FROM runs WHERE NOT is_word)
+SELECT doc_id, md5(coalesce(string_agg(s, ' ' ORDER BY run, place), '')) AS digest, coalesce(sum(len(string_split(s, ' '))), 0)::BIGINT AS pieces FROM all_texts LEFT JOIN pieces USING (doc_id) GROUP BY doc_id"""
+
+
+@query("segment_lattice", LATTICE)
+def segment_lattice(spark, d):
+    texts = all_texts(spark, d)
+    found = G.segment_lattice(texts, "text", G.learn_terms(texts, "text"))
+    pieces = F.when(F.col("word_segmented") == "", 0).otherwise(F.size(F.split("word_segmented", " ")))
+    return found.select("doc_id", F.md5("word_segmented").alias("digest"), pieces.cast("long").alias("pieces"))
+
+
+#: Documents that a profile is fitted on; the others are held out.
+FITTED = "doc_id % 5 <> 0"
+_GRAMS = "list_transform(range(1, len(x) - 1), lambda i: x[i] || x[i + 1] || x[i + 2])"
+_LETTERS = r"""string_split(' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}]+', ' ', 'g')) || ' ', '')"""
+DETECTED = rf"""WITH {ALL_TEXTS}, rules AS ({cascade(f"({comments_sql()})", "contains(lower(country), 'vietnam')")}),
+labelled AS (SELECT text, lang FROM documents WHERE {FITTED} AND lang IS NOT NULL UNION ALL
+  SELECT text, 'vi' FROM ({comments_sql()}) JOIN rules USING (doc_id) WHERE {FITTED} AND rule BETWEEN 17 AND 22),
+g AS (SELECT lang, unnest({_GRAMS}) AS gram FROM (SELECT lang, {_LETTERS} AS x FROM labelled)), c AS (SELECT lang, gram, count(*) AS n FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(n) AS total, round((ln(0.5) - ln(sum(n))) * 1000000)::BIGINT AS base FROM c GROUP BY lang),
+p AS (SELECT lang, gram, round((ln(n + 0.5) - ln(0.5)) * 1000000)::BIGINT AS weight FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= {P.GRAMS}),
+e AS (SELECT doc_id, {_GRAMS} AS gs FROM (SELECT doc_id, {_LETTERS} AS x FROM all_texts)), u AS (SELECT doc_id, gram, count(*) AS n FROM (SELECT doc_id, unnest(gs) AS gram FROM e) GROUP BY ALL),
+w AS (SELECT doc_id, lang, sum(u.n * weight) AS w FROM u JOIN p USING (gram) GROUP BY ALL),
+s AS (SELECT doc_id, lang, coalesce(w, 0) + len(gs) * base AS score FROM e CROSS JOIN t LEFT JOIN w USING (doc_id, lang) WHERE len(gs) > 0),
+detected AS (SELECT doc_id, lang AS detected FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1)"""
+
+
+def detected_languages(spark, d):
+    """(doc_id, detected) of all texts by profiles of documents and of comments that the rules take as Vietnamese."""
+    said = spread(comments(spark, d)).filter(FITTED)
+    own = said.filter(L.is_vietnamese(F.col("text"), F.col("country"))).select("text", F.lit("vi").alias("lang"))
+    profile = P.fit(docs(spark, d, "lang").filter(FITTED).select("text", "lang").unionByName(own), "text", "lang")
+    return P.detect(all_texts(spark, d), "doc_id", "text", profile)
+
+
+@query("detected_language", f"{DETECTED} SELECT doc_id, detected FROM detected")
+def detected_language(spark, d):
+    return detected_languages(spark, d)
+
+
+@query(
+    "vietnamese_outside",
+    rf"""{DETECTED}, b AS (SELECT doc_id, {STRIPPED.format("coalesce(text, '')")} AS s FROM all_texts), l AS (SELECT doc_id, s, lower(s) AS l FROM b),
+k AS (SELECT doc_id, length(s) AS chars, length({STRIPPED.format(rf"regexp_replace(regexp_replace(s, '{EMOJI}', '', 'g'), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')")}) AS core, {_hits(lexicons.VIETNAMESE)} AS vi,
+{_letters(lexicons.VIETNAMESE_LETTERS)} AS letters, length(replace(s, ' ', '')) AS dense, regexp_extract_all(l, '[\p{{L}}\p{{N}}_]+') AS t FROM l),
+f AS (SELECT *, len(list_filter(t, lambda w: list_contains({sql_list(dict.fromkeys(lexicons.FOREIGN_TOKENS))}, w))) AS h FROM k LEFT JOIN detected USING (doc_id))
+SELECT doc_id, chars >= 15 AND NOT (h > 0 AND h > len(t) * 0.2) AND core >= 15 AND (vi >= 2 OR letters >= 6 OR (dense > 0 AND letters > dense * 0.15)
+  OR (coalesce(detected = 'vi', false) AND letters > 0)) AS is_vietnamese FROM f""",
+)
+def vietnamese_outside(spark, d):
+    found = all_texts(spark, d).join(detected_languages(spark, d), "doc_id", "left")
+    return found.select("doc_id", L.is_vietnamese_simple(F.col("text"), None, F.col("detected")).alias("is_vietnamese"))
+
+
+@query("rating_boxes", on_reviews("SELECT province, count(score) AS n, min(score) AS low, quantile_cont(score, 0.25) AS q1, median(score) AS median, quantile_cont(score, 0.75) AS q3, max(score) AS high FROM reviews WHERE score IS NOT NULL AND province IS NOT NULL GROUP BY 1"))
+def rating_boxes(spark, d):
+    return Q.boxes(written(reviews(spark, d).select("province", "score"), "scores"), "province", "score")
+
+
+@query("price_quantiles", "SELECT l_returnflag, count(*) AS n, min(l_extendedprice) AS low, max(l_extendedprice) AS high, quantile_cont(l_extendedprice, 0.01) AS p1, quantile_cont(l_extendedprice, 0.5) AS p50, quantile_cont(l_extendedprice, 0.999) AS p999 FROM lineitem GROUP BY 1")
+def price_quantiles(spark, d):
+    found = Q.quantiles(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", (0.01, 0.5, 0.999))
+    return found.select("l_returnflag", "n", "low", "high", *[F.col("q")[i].alias(p) for i, p in enumerate(("p1", "p50", "p999"))])
