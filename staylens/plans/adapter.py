@@ -127,7 +127,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         (k + 1_000_000_000).alias("doc_id"),
         text.alias("text"),
-        F.concat(F.lit("guest "), F.col("o_custkey") % 500).alias("guest"),
+        F.concat(F.lit("reader "), F.col("o_custkey") % 500).alias("guest"),
         F.date_format("o_orderdate", "yyyy-MM").alias("month"),
         F.when(k % 3 == 0, "Vietnam").when(k % 3 == 1, "Germany").alias("country"),
     )
@@ -139,5 +139,5 @@ def comments_sql() -> str:
     text = f"{listed(SAID)}[((o_orderkey * 7 + o_orderkey // 32) % {len(SAID)} + 1)::INT]"
     for i in range(4):
         text = f"replace({text}, '{{{i}}}', {listed(VIETNAMESE)}[((o_orderkey * {3 + 2 * i} + {i}) % {len(VIETNAMESE)} + 1)::INT])"
-    return f"""SELECT o_orderkey + 1000000000 AS doc_id, {text} AS text, 'guest ' || o_custkey % 500 AS guest, strftime(o_orderdate, '%Y-%m') AS month,
+    return f"""SELECT o_orderkey + 1000000000 AS doc_id, {text} AS text, 'reader ' || o_custkey % 500 AS guest, strftime(o_orderdate, '%Y-%m') AS month,
 CASE o_orderkey % 3 WHEN 0 THEN 'Vietnam' WHEN 1 THEN 'Germany' END AS country FROM orders"""

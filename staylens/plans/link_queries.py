@@ -211,7 +211,7 @@ def _on(source: str, query: str) -> str:
 
 LEXICON = {w: w.replace(" ", "_") for w in cleaning.LEXICON}
 _GAP = "abs(strptime(month || '-01', '%Y-%m-%d')::DATE - strptime(m || '-01', '%Y-%m-%d')::DATE) <= 30"
-STEPS_SQL = rf"""WITH said AS (SELECT *, doc_id % 29 / 2.0 + 3 AS score FROM (
+STEPS_SQL = rf"""WITH said AS (SELECT *, CASE WHEN starts_with(guest, 'guest') THEN 10 ELSE doc_id % 29 / 2.0 + 3 END AS score FROM (
   SELECT doc_id, text, 'guest ' || doc_id % 1000 AS guest, '2024-01' AS month, NULL::VARCHAR AS country FROM documents UNION ALL ({comments_sql()}))),
 scored AS (SELECT * FROM said WHERE score >= 5), one AS (SELECT doc_id, {TQ.NO_EMOJI} AS t FROM scored), two AS (SELECT * FROM {_collapsed("one")}),
 three AS (SELECT doc_id, {TQ.STRIPPED.format("array_to_string(list_filter(c, lambda x, i: i = 1 OR x <> c[i - 1] OR x = chr(10)), '')")} AS t FROM (SELECT doc_id, string_split(t, '') AS c FROM two)),

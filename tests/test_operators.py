@@ -101,6 +101,7 @@ def test_cleaning_keeps_vietnamese(spark):
 
 def documents_at(path, spark, texts):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{path}/orders.parquet")
     return str(path)
 
 
