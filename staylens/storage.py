@@ -23,10 +23,11 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage ends there and lost executors do not matter."""
+def written(df: DataFrame, what: str, compression: str | None = None) -> DataFrame:
+    """df as a table in the shared folder: its lineage ends there and lost executors do not matter. The codec is the session's,
+    if none is given."""
     path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.written_path = path
     return table
