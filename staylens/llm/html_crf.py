@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.labelled_pages import labelled_page
+from staylens.llm.labelled_pages import labelled_page, plain_page
 from staylens.llm.leaf_blocks import Block, blocks
 from staylens.llm.storage import table
 from staylens.llm.workers import map_batches
 
-TRAIN_PAGES, SEED = 500, 1000
+TRAIN_PAGES, PLAIN_PAGES, SEED = 500, 200, 1000
 #: A feature has to occur in so many labelled blocks.
 LEAST_COUNT = 5
 STEPS, RATE, L2 = 400, 0.1, 0.005
@@ -45,9 +45,9 @@ def features(b: Block, before: Block | None, after: Block | None) -> list[str]:
     linked = b.link_chars / n
     size = "0" if n < 20 else "1" if n < 60 else "2" if n < 150 else "3" if n < 400 else "4"
     link = "0" if linked == 0 else "1" if linked < 0.34 else "2" if linked < 0.8 else "3"
-    out = [*b.names, f"tag:{b.tag}", f"size:{size}", f"link:{link}", f"size,link:{size}{link}", "bias"]
+    out = [*(x for x in b.names if x != "m:"), f"tag:{b.tag}", f"size:{size}", f"link:{link}", f"size,link:{size}{link}", "bias"]
     tags = ",".join(sorted(x[2:] for x in b.names if x.startswith("t:") and x not in ("t:html", "t:body")))
-    marked = any(x.startswith("m:") for x in b.names)
+    marked = "m:" in b.names
     out.append(f"path:{tags},{marked}")
     if b.text[-1] in ".?!…\"”":
         out.append("ends:sentence")
@@ -147,7 +147,7 @@ def viterbi(model: Model, names: list[list[str]]) -> list[int]:
 
 
 def main_text(model: Model, page: str) -> str:
-    found = blocks(page)
+    found = blocks(page, model.index)
     if not found:
         return ""
     marks = viterbi(model, page_features(found))
@@ -156,7 +156,7 @@ def main_text(model: Model, page: str) -> str:
 
 @lru_cache(maxsize=1)
 def default_model() -> Model:
-    return train([labelled_page(SEED + i) for i in range(TRAIN_PAGES)])
+    return train([labelled_page(SEED + i) for i in range(TRAIN_PAGES)] + [plain_page(SEED + i) for i in range(PLAIN_PAGES)])
 
 
 def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:

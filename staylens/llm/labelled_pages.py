@@ -140,3 +140,41 @@ def labelled_page(seed: int) -> tuple[str, set[str]]:
     if r.random() < 0.1:
         page = page[: int(len(page) * r.uniform(0.6, 0.98))]
     return page, set(texts)
+
+
+def plain_page(seed: int) -> tuple[str, set[str]]:
+    """(html, texts of the main blocks) of a page with little markup and few or no marks: paragraphs, bare text, lists of terms."""
+    w = Writer(seed)
+    r = w.r
+    texts: list[str] = []
+
+    def text(*choices: str) -> str:
+        texts.append(r.choice(choices))
+        return texts[-1]
+
+    def paragraph() -> str:
+        return f"<p>{text(w.sentence(), w.paragraph(), w.words(1, 6).capitalize() + '.')}</p>"
+
+    def terms() -> str:
+        pairs = (f"<dt>{text(w.words(1, 4), w.words(1, 4).capitalize())}</dt><dd>{text(w.sentence(), w.words(2, 9))}</dd>" for _ in range(r.randint(2, 5)))
+        return f"<dl>{''.join(pairs)}</dl>"
+
+    kind = r.random()
+    if kind < 0.45:
+        body = "".join(paragraph() for _ in range(r.choice((1, 1, 1, 2, 4))))
+    elif kind < 0.7:
+        body = text(w.sentence(), w.paragraph())
+    else:
+        body = (f"<h1>{text(w.words(1, 6).capitalize())}</h1>" if r.random() < 0.6 else "") + (paragraph() if r.random() < 0.7 else "") + terms() + (paragraph() if r.random() < 0.5 else "")
+    for _ in range(r.choice((0, 0, 1, 1, 2))):
+        mark = f' class="{r.choice(_CONTENT)}"' if kind >= 0.7 and r.random() < 0.4 else ""
+        tag = r.choice(("article", "main")) if kind >= 0.7 and not mark and r.random() < 0.4 else "div"
+        body = f"<{tag}{mark}>{body}</{tag}>"
+    if r.random() < 0.4:
+        body = _noise(w, r.choice(("menu", "header", "notice"))) + body
+    if r.random() < 0.4:
+        body += _noise(w, r.choice(("footer", "aside", "share", "advert")))
+    if r.random() < 0.7:
+        title = f"<title>{w.words(1, 5)}</title>" if r.random() < 0.5 else ""
+        body = f"<html><head>{title}</head><body>{body}</body></html>"
+    return body, set(texts)
