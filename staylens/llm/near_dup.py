@@ -180,7 +180,7 @@ def across(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Those (a, b) of pairs whose texts (node, text) reach the threshold, with their similarity."""
+    """Those (a, b) of pairs, a table, whose texts (node, text) reach the threshold, with their similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -201,7 +201,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
                 )
 
     named = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    return pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "text_a", "text_b").transform(map_batches, run, "a binary, b binary, similarity double")
+    many = lambda c: pairs.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+    # A text may be in any share of the pairs.
+    both = spread_join(spread_join(pairs, named("a"), "a", "b", counted=many("a")), named("b"), "b", "a", counted=many("b"))
+    return both.select("a", "b", "text_a", "text_b").transform(map_batches, run, "a binary, b binary, similarity double")
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -221,30 +224,34 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     crowd = written(entries.join(crowded, "bucket"), "crowd")
     own = written(signs.join(crowd.select("node").distinct(), "node").select("node", "n", "sketch"), "crowd-signatures")
     discard(signs)
+    sizes = crowd.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     full = crowd.join(own, "node")
     leader = lambda seed: F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("rank"), "node", "n", "sketch"))
     names = [f"leader_{i}" for i in range(LEADERS)]
     heads = full.groupBy("bucket").agg(*[leader(i).alias(name) for i, name in enumerate(names)])
     likely = lambda x: (x["node"] != F.col("node")) & may_link(threshold, registers, (F.col("n"), F.col("sketch")), (x["n"], x["sketch"]))
     star = written(
-        full.join(heads, "bucket")
+        spread_join(full, heads, "bucket", "node", counted=sizes)
         .select("node", F.explode(F.array_distinct(F.transform(F.filter(F.array(*names), likely), lambda x: x["node"]))).alias("b"))
         .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
         .distinct(),
         "star",
     )
     texts = written(node_texts(docs, own.select("node")), "texts")
+    if texts.count() > own.count():  # repeated rows of a least doc_id: one of each text is enough
+        texts, every = written(texts.dropDuplicates(["node"]), "texts"), texts
+        discard(every)
     first = written(verified(star, texts, threshold).select("a", "b"), "links")
     joined = components(first)
     # What is left: nodes of a bucket in different components. Pairs compared above are known not to be links.
     labelled = crowd.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     spread = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-    rest = written(labelled.join(spread.filter("low <> high").select("bucket", "size"), "bucket"), "open")
-    counts = shingle_cells(texts.dropDuplicates(["node"]).join(rest.select("node").distinct(), "node"))
+    rest = written(spread_join(labelled, spread.filter("low <> high").select("bucket", "size"), "bucket", "node", counted=sizes), "open")
+    counts = shingle_cells(texts.join(rest.select("node").distinct(), "node"))
     rest = rest.join(own.join(counts, "node"), "node")
-    more = across(rest, threshold).join(star, ["a", "b"], "left_anti")
+    more = written(across(rest, threshold).join(star, ["a", "b"], "left_anti"), "pairs")
     second = written(verified(more, texts, threshold).select("a", "b"), "links")
-    discard(crowd, own, texts, star)
+    discard(crowd, own, texts, star, more)
     # Links found across components join these, so only they are left to connect.
     top = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
     bridges = second.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("a_top", "a").alias("a"), F.coalesce("b_top", "b").alias("b"))
