@@ -151,12 +151,16 @@ def _spans_array(rows: list[list[tuple[int, int]]]) -> pa.Array:
 
 
 def _batches(benchmark: DataFrame, most: int) -> Iterator[tuple[bool, list[tuple[object, str | None]]]]:
-    """Whether it is the last, and its items, of each of the batches of about most bytes of text; collected one at a time."""
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    """Whether it is the last, and its items, of each of the batches of about most bytes of text; collected one at a time.
+
+    A repeated item is one and an item without a text none. Items of one text are of any number, so batches are cut by both.
+    """
+    items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     n = int(size // most) + 1
-    part = F.pmod(F.xxhash64("text"), F.lit(n))
+    part = F.pmod(F.xxhash64("text", "item_id"), F.lit(n))
     for k in range(n):
-        yield k == n - 1, [(r[0], r[1]) for r in benchmark.select("item_id", "text").filter(part == k).collect()]
+        yield k == n - 1, [(r[0], r[1]) for r in items.filter(part == k).collect()]
 
 
 def _free_name(name: str, taken: list[str]) -> str:
