@@ -1,9 +1,11 @@
 """The training-data operators against brute force, round trips and held-out labels, and their edge cases."""
 
 import collections
+import functools
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -15,7 +17,7 @@ from staylens.llm import bpe, chaining, decontaminate, html_crf, line_quality, n
 from staylens.llm.bagminhash import signatures, similarity, weigh
 from staylens.llm.fm_index import FMIndex
 from staylens.llm.graph import components
-from staylens.llm.labelled_pages import labelled_page
+from staylens.llm.labelled_pages import labelled_page, plain_page
 from staylens.llm.leaf_blocks import blocks
 from staylens.llm.storage import new_path
 from staylens.llm.words import ALNUM_SPLIT, LOWER, slices, split_words
@@ -98,6 +100,20 @@ def test_decontamination_in_batches_and_cut(spark):
     assert not decontaminate.scan(decontaminate.cut(docs, bench), bench).filter("contaminated").count()
 
 
+def test_many_items_of_one_text(spark):
+    """Items of equal texts, null ones and repeated rows are cut into bounded batches."""
+    long = " ".join(WORDS[:40])
+    rows = [(f"i{i}", long) for i in range(20_000)] + [(f"n{i}", None) for i in range(20_000)] + [("i1", long)] * 5_000 + [(None, long), ("s", "w1 w2")]
+    bench = spark.createDataFrame(rows, "item_id string, text string")
+    sizes = [sum(len(t) + 64 for _, t in items) for _, items in decontaminate._batches(bench, 500_000)]
+    assert len(sizes) > 7 and max(sizes) < 1_000_000
+    few = spark.createDataFrame([(f"i{i}", long) for i in range(300)] + [("n", None), ("s", "w1 w2")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"a {long} b"), (2, "w0 w1 w2"), (3, None)], "doc_id long, text string")
+    once, often = decontaminate.scan(docs, few).collect(), decontaminate.scan(docs, few, 8_000).collect()
+    assert sorted(map(str, once)) == sorted(map(str, often))
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in often} == {1: (40, 301), 2: (2, 1), 3: (0, 0)}
+
+
 def test_bagminhash_is_unbiased():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 1 << 63, 100).astype(np.uint64)
@@ -141,6 +157,27 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.doc_id for r in near_dup.keep_one(docs).collect()} == {find(i) for i in range(len(texts))}
 
 
+def test_many_repeated_rows_are_one_text(spark):
+    r = random.Random(12)
+    base = r.choices(WORDS, k=200)
+    near = " ".join([*base[:100], "other", *base[101:]])
+    rows = [(1, " ".join(base), "a.b")] * 10_000 + [(2, near, "c")] * 10_000 + [(3, near, "d"), (None, "alone", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(4)
+    begun = time.time()
+    found = collections.Counter((r.doc_id, r.class_id) for r in near_dup.classes(docs).collect())
+    assert found == {(1, 1): 10_000, (2, 1): 10_000, (3, 1): 1, (None, None): 1} and time.time() - begun < 90
+    assert sorted(map(str, near_dup.keep_one(docs).select("doc_id").collect())) == ["Row(doc_id=1)", "Row(doc_id=None)"]
+
+
+def test_hot_buckets_are_dealt(spark, monkeypatch):
+    """Every join of a bucket or a text with many partners goes through the salted one, with equal results."""
+    monkeypatch.setattr(near_dup, "spread_join", functools.partial(near_dup.spread_join, least=2))
+    r = random.Random(13)
+    base = [r.choices(WORDS, k=80) for _ in range(3)]
+    docs = spark.createDataFrame([(i, " ".join([*base[i % 3], r.choice(WORDS)])) for i in range(150)], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dup.classes(docs).collect()} == {i: i % 3 for i in range(150)}
+
+
 def test_cells_lose_no_link():
     r = np.random.default_rng(4)
     for n in (3, 60, 900):
@@ -351,6 +388,56 @@ def test_handmade_pages():
     assert right / marked > 0.85 and right / main > 0.85
 
 
+def test_malformed_pages_lose_no_text():
+    texts = lambda page: [b.text for b in blocks(page)]
+    cases = {
+        "<p title=don't>one</p><p>two</p><p>it's</p>": ["one", "two", "it's"],
+        "a<svg/>b<p>c<svg><path/></svg>d": ["ab", "cd"],
+        "<!-->x<p>y": ["x", "y"], "<!--->x": ["x"], "<!-- a --!>x": ["x"], "<!-- a -- > b -->x": ["x"], "x<!-- a": ["x"],
+        '<p a="x>y>z"q>t': ["t"], '<p a="x>y': ["y"], '<a href=x"y>z</a>': ["z"], "<p a = 'b>c' d>e": ["e"], '<p b=1 " c>x</p>': ["x"], "<p a=>x": ["x"],
+        "<svg>x<p>y": ["x", "y"], "<select>x": ["x"], "<script>x": [], "a<style>b</style >c": ["ac"], "a<textarea/>b</textarea>c": ["ac"],
+        "<p>a<table><tr><td><div>b</div>c</td></tr></table>d": ["a", "b", "c", "d"],
+        "<p class=q>" + "<span>" * 12 + "a<div>b": ["a", "b"],
+        "<dl><dt>a<dd>b<dt>c<dd>d</dl>e": ["a", "b", "c", "d", "e"],
+        "1 < 2 <3 &lt;p&gt; </x> </p>y": ["1 < 2 <3 <p>", "y"],
+    }
+    assert {page: texts(page) for page in cases} == cases
+    assert "m:q" not in blocks("<p class=q>" + "<span>" * 12 + "a<div>b")[1].names
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["".join(f'<div class="c{i}">' for i in range(60_000)), "".join(f"<div id=c{i}><p>x" for i in range(30_000)), '<p a="' * 40_000, "<p a=" * 40_000 + '"x' * 40_000, "<svg>" * 40_000, "<p " + "= " * 80_000, "<p><object>" + "<div>" * 60_000],
+)
+def test_pages_are_read_in_linear_time(page):
+    begun = time.time()
+    blocks(page, {})
+    assert time.time() - begun < 10
+
+
+def test_plain_pages_have_their_text():
+    main = lambda page: html_crf.main_text(html_crf.default_model(), page)
+    assert main("<div><p>Short.</p></div>") == "Short."
+    assert main("<p>One unmarked paragraph of a page, and nothing else at all.</p>").startswith("One unmarked")
+    assert main("<body>Bare text here.<br>More of it.</body>") == "Bare text here. More of it."
+    assert main("<article><h1>Terms</h1><dl><dt>Word</dt><dd>What it means.</dd><dt>Other</dt><dd>another one</dd></dl></article>") == "Terms\nWord\nWhat it means.\nOther\nanother one"
+    wrong = n = 0
+    for seed in range(9000, 9100):
+        page, own = plain_page(seed)
+        found = blocks(page)
+        for b, keep in zip(found, html_crf.viterbi(html_crf.default_model(), html_crf.page_features(found)), strict=True):
+            n, wrong = n + 1, wrong + ((b.text in own and b.tag != "title") != bool(keep))
+    assert wrong / n < 0.01
+
+
+def test_known_marks_give_equal_labels():
+    model = html_crf.default_model()
+    for seed in range(9100, 9140):
+        page, _ = labelled_page(seed)
+        whole = html_crf.viterbi(model, html_crf.page_features(blocks(page)))
+        assert html_crf.viterbi(model, html_crf.page_features(blocks(page, model.index))) == whole
+
+
 def test_deep_pages():
     page = "<div class=content>" * 50_000 + "<p>One sentence here, deep down.</p>" + "</b></div>" * 50_000 + "<article><p>" + "<em>" * 50_000 + "Two." + "</i></em>" * 20_000
     found = blocks(page)
