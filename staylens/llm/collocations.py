@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from staylens.llm.coded_words import coded_words
 from staylens.llm.skew import spread_join
-from staylens.llm.storage import discard, table, written
+from staylens.llm.storage import discard, release, table, written
 from staylens.llm.words import LOWER, slices
 from staylens.llm.workers import map_batches
 
@@ -37,6 +37,8 @@ LEAST, LONGEST, INSIDE_PERCENT, FIRST = 30, 4, 80, 2000
 BLOCK_BYTES = 16_000_000
 #: Bits of a phrase's number within its block, and of a block's number within its task.
 NUMBER_BITS, BLOCK_BITS = 28, 15
+#: Lists and their rows are the bulk of what is written.
+LIST_CODEC = "zstd"
 #: Tasks that rank a language's phrases before the last one.
 RANK_TASKS = 64
 
@@ -45,7 +47,34 @@ IS_END = np.isin(np.arange(256), _ENDS)
 IS_WORD = ~np.isin(np.arange(256), [*_ENDS, 32, 9])
 
 WORD_LISTS = "block long, lang string, words array<string>, lengths array<int>, positions binary"
-PHRASE_LISTS = "block long, lang string, lefts array<long>, rights array<long>, lengths array<int>, positions binary"
+PHRASE_LISTS = "block long, lefts array<long>, rights array<long>, lengths array<int>, positions binary"
+
+
+def pack(positions: np.ndarray, lengths: np.ndarray) -> bytes:
+    """Position lists as differences in seven bits a byte, as inverted indexes keep them; a list starts with its first position."""
+    gaps = np.diff(positions, prepend=0)
+    starts = (np.cumsum(lengths) - lengths)[lengths > 0]
+    gaps[starts] = positions[starts]
+    size = 1 + sum((gaps >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
+    first = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(5):
+        some = size > k
+        out[first[some] + k] = ((gaps[some] >> 7 * k) & 127) | np.where(size[some] > k + 1, 128, 0)
+    return out.tobytes()
+
+
+def unpack(packed: bytes, lengths: np.ndarray) -> np.ndarray:
+    """The position lists that pack() has packed."""
+    data = np.frombuffer(packed, np.uint8)
+    if not len(data):
+        return np.zeros(0, np.int64)
+    first = np.concatenate([[0], np.flatnonzero(data < 128)[:-1] + 1])
+    place = np.arange(len(data)) - np.repeat(first, np.diff(np.append(first, len(data))))
+    total = np.cumsum(np.add.reduceat((data & 127).astype(np.int64) << 7 * place, first))
+    many = lengths[lengths > 0].astype(np.int64)
+    starts = np.cumsum(many) - many
+    return total - np.repeat(np.concatenate([[0], total[starts[1:] - 1]]), many)
 
 
 def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -65,12 +94,12 @@ def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         positions.append(place)
         shift += len(words.names)
     if not names:
-        return pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        return pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int64)
     merged = pa.concat_arrays(names).dictionary_encode()
     codes = merged.indices.to_numpy()[np.concatenate(codes)]
     used, number = np.unique(codes, return_inverse=True)
     order = np.argsort(number, kind="stable")
-    return merged.dictionary.take(pa.array(used)).cast(pa.string()), np.bincount(number).astype(np.int32), np.concatenate(positions)[order].astype(np.int32)
+    return merged.dictionary.take(pa.array(used)).cast(pa.string()), np.bincount(number).astype(np.int32), np.concatenate(positions)[order]
 
 
 def _number(task: int, k: int) -> int:
@@ -92,7 +121,7 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 if len(names):
                     lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (names, pa.array(lengths))]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([_number(task, k)]), pa.array([lang]), *lists, pa.array([positions.tobytes()], pa.binary())],
+                        [pa.array([_number(task, k)]), pa.array([lang]), *lists, pa.array([pack(positions, lengths)], pa.binary())],
                         names=["block", "lang", "words", "lengths", "positions"],
                     )
                     k += 1
@@ -139,12 +168,12 @@ def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     return rows.withColumn("f", F.sum("n").over(own)).filter(F.col("f") >= least).withColumn("id", F.min("place").over(own)).drop("n")
 
 
-def _numbered(lists: DataFrame, *columns: str) -> DataFrame:
-    """A row of each list of each block: its columns, lang, place and length n."""
+def _numbered(lists: DataFrame, *columns: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """A row of each list of each block: its columns, others of the block, place and length n."""
     place = (F.shiftleft(F.col("block"), NUMBER_BITS) + F.col("pos")).alias("place")
     zipped = F.posexplode(F.arrays_zip(*columns, "lengths"))
     names = [F.col(f"col.{c}").alias(c) for c in columns]
-    return lists.select("block", "lang", zipped).select("lang", *names, place, F.col("col.lengths").cast("long").alias("n"))
+    return lists.select("block", *also, zipped).select(*also, *names, place, F.col("col.lengths").cast("long").alias("n"))
 
 
 def _level(lists: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -158,23 +187,25 @@ def _level(lists: DataFrame, frequent: DataFrame) -> DataFrame:
                 column = lambda name: batch.column(name).slice(i, 1)  # noqa: B023, E731
                 known = column("known").flatten().flatten()
                 numbers = lambda x: x.to_numpy(zero_copy_only=False)
-                positions = np.frombuffer(column("positions")[0].as_buffer(), np.int32)
-                lefts, rights, lengths, place = extended(numbers(column("lengths").flatten()), positions, numbers(known[0]), numbers(known[1]))
+                lengths = numbers(column("lengths").flatten())
+                positions = unpack(column("positions")[0].as_py(), lengths)
+                lefts, rights, many, place = extended(lengths, positions, numbers(known[0]), numbers(known[1]))
                 if len(lefts):
-                    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (lefts, rights, lengths)]
+                    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (lefts, rights, many)]
                     yield pa.RecordBatch.from_arrays(
-                        [column("block"), column("lang"), *lists, pa.array([place.astype(np.int32).tobytes()], pa.binary())],
-                        names=["block", "lang", "lefts", "rights", "lengths", "positions"],
+                        [column("block"), *lists, pa.array([pack(place, many)], pa.binary())],
+                        names=["block", "lefts", "rights", "lengths", "positions"],
                     )
 
-    return lists.select("block", "lang", "lengths", "positions").join(back, "block").transform(map_batches, run, PHRASE_LISTS)
+    return lists.select("block", "lengths", "positions").join(back, "block").transform(map_batches, run, PHRASE_LISTS)
 
 
 def _spelled(phrases: DataFrame, shorter: DataFrame) -> DataFrame:
-    """Frequent (lang, left, right, id, f) with their text and the frequencies of all their beginnings and ends, by length."""
+    """Frequent (left, right, id, f) with their text and the frequencies of all their beginnings and ends, by length."""
+    phrases = phrases.select("id", "left", "right", "f")
     ends = lambda side, *columns: shorter.select(F.col("id").alias(side), *columns)
     own = F.array("f")
-    left = spread_join(phrases, ends("left", F.col("phrase").alias("start"), "begins"), "left", "id")
+    left = spread_join(phrases, ends("left", "lang", F.col("phrase").alias("start"), "begins"), "left", "id")
     both = spread_join(left, ends("right", F.col("word").alias("next"), F.col("ends").alias("tails")), "right", "id")
     return both.select(
         "lang", "id", "left", "right", "f", F.concat_ws(" ", "start", "next").alias("phrase"), F.col("next").alias("word"),
@@ -192,20 +223,21 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
 
 def _mined(docs: DataFrame, least: int, longest: int, block_bytes: int) -> tuple[list[DataFrame], DataFrame]:
-    lists = written(blocks(docs, block_bytes), "word-lists")
-    words = _numbered(lists, "words").withColumnRenamed("words", "word")
+    lists = written(blocks(docs, block_bytes), "word-lists", LIST_CODEC)
+    words = _numbered(lists, "words", also=("lang",)).withColumnRenamed("words", "word")
     totals = written(words.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-    rows = written(_frequent(words, ["lang", "word"], least), "words")
+    rows = written(_frequent(words, ["lang", "word"], least), "words", LIST_CODEC)
     none = F.lit(None).cast("long")
     one = rows.filter(F.col("id") == F.col("place")).select(
         "lang", "id", none.alias("left"), none.alias("right"), "f", F.col("word").alias("phrase"), "word", F.array("f").alias("begins"), F.array("f").alias("ends")
     )
     found = [written(one, "phrases-1")]
     for k in range(2, longest + 1):
-        longer = written(_level(lists, rows), "phrase-lists")
+        release(docs.sparkSession)
+        longer = written(_level(lists, rows), "phrase-lists", LIST_CODEC)
         discard(lists, rows)
         lists = longer
-        rows = written(_frequent(_numbered(lists, "lefts", "rights").withColumnsRenamed({"lefts": "left", "rights": "right"}), ["left", "right"], least), "phrases")
+        rows = written(_frequent(_numbered(lists, "lefts", "rights").withColumnsRenamed({"lefts": "left", "rights": "right"}), ["left", "right"], least), "phrases", LIST_CODEC)
         found.append(written(_spelled(rows.filter(F.col("id") == F.col("place")).drop("place"), found[-1]), f"phrases-{k}"))
     discard(lists, rows)
     return found, totals

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from staylens.sources.spread import spread
 from staylens.storage import new_path, written
 
-__all__ = ["discard", "new_path", "table", "written"]
+__all__ = ["discard", "new_path", "release", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,5 +23,10 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.written_path)
         path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-    for table in tables[:1]:
-        table.sparkSession._jvm.System.gc()
+    if tables:
+        release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Collects the driver's garbage: Spark removes the shuffle files of steps that nothing refers to any more."""
+    spark._jvm.System.gc()

@@ -72,6 +72,15 @@ def test_scores_beyond_64_bits(spark):
     assert df.select(collocations.score(df.a, df.b, df.e, 2).alias("s")).select("s.score", "s.l").first() == (1_000_000, huge)
 
 
+def test_packed_lists_are_read_back():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5, 3000):
+        lengths = rng.integers(1, 40, n).astype(np.int32)
+        lists = [np.sort(rng.choice(rng.choice([50, 20_000, 1_000_000]), k, replace=False) * rng.choice([1, 2000])) for k in lengths]
+        positions = np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64)
+        assert np.array_equal(collocations.unpack(collocations.pack(positions, lengths), lengths), positions)
+
+
 def test_lists_are_vertical_and_whole():
     words, lengths, positions = collocations.word_lists(pa.array(["b a b. a", "a b"]))
     lists = dict(zip(words.to_pylist(), np.split(positions, np.cumsum(lengths)[:-1]), strict=True))
