@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from staylens.functions.binding import let
 from staylens.functions.dates import first_of_month
 from staylens.functions.text import word_tokens
+from staylens.storage import written
 
 
 def one_row(df: DataFrame, **aggregates: Column) -> DataFrame:
@@ -142,11 +143,17 @@ def word_frequency(df: DataFrame, text: str, k: int, by: str | None = None, stop
     return _top_terms(df, F.explode(F.filter(word_tokens(F.col(text)), lambda t: ~t.isin(*stop) if stop else F.lit(True))), k, by)
 
 
-def bigram_frequency(df: DataFrame, text: str, k: int, by: str | None = None) -> DataFrame:
+def bigrams(text: Column) -> Column:
+    """Pairs of neighbouring words, the words bound once."""
+
     def pairs(tokens: Column) -> Column:
         return F.transform(F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))), lambda t, i: F.concat_ws(" ", t, F.get(tokens, i + 1)))
 
-    return _top_terms(df, F.explode(let(word_tokens(F.col(text)), pairs)), k, by)
+    return let(word_tokens(text), pairs)
+
+
+def bigram_frequency(df: DataFrame, text: str, k: int, by: str | None = None) -> DataFrame:
+    return _top_terms(df, F.explode(bigrams(F.col(text))), k, by)
 
 
 def _top_terms(df: DataFrame, exploded: Column, k: int, by: str | None) -> DataFrame:
@@ -158,6 +165,29 @@ def _top_terms(df: DataFrame, exploded: Column, k: int, by: str | None) -> DataF
     return counted.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("rank")
 
 
+def frequent_terms(df: DataFrame, terms: Column, k: int, tracked: int = 65_536, sketches: int = 64) -> DataFrame:
+    """(term, n): the k most frequent values of an array column, ties by term, as _top_terms() gives them for terms of any number.
+
+    A sketch of ``tracked`` counters a task tells candidates, a bounded number, which alone are counted in a second pass and shuffled.
+    The sketch underestimates by at most 3.5 / tracked of all occurrences and lists what is surely above that, so a term that it
+    does not list occurs in less than 7 / tracked of them. If the k-th candidate occurs more often the result is proven; else all
+    terms are counted. Sketches are merged in ``sketches`` tasks before the last one.
+    """
+    each = df.select(F.explode(terms).alias("term"))
+    part = F.pmod(F.spark_partition_id(), F.lit(sketches)).alias("part")
+    parts = each.groupBy(part).agg(F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+    merged = parts.groupBy(F.lit("all").alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n"))
+    listed = written(merged.filter("n > 0").select("n", F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("found")), "candidates")
+    total = (listed.select("n").first() or [0])[0]
+    likely = listed.select(F.explode("found.item").alias("term"))  # at most tracked rows
+    top = each.join(F.broadcast(likely), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "term").limit(k)
+    top = written(top, "top-terms")
+    size, least = top.agg(F.count(F.lit(1)), F.min("n")).first()
+    if total and (size < k or least * tracked <= 7 * total):
+        return _top_terms(df, F.explode(terms), k, None)
+    return top
+
+
 def quantile_bins(df: DataFrame, value: str, bins: int) -> DataFrame:
     """df with ``bin``: right-closed quantile bins from 0; equal edges fall together, the least value is in the first."""
     share = F.array(*[F.lit(i / bins) for i in range(bins + 1)])

@@ -150,6 +150,17 @@ def word_freq_top300(spark, d):
     return S.word_frequency(spread(table(spark, d, "documents").select("text")), "text", 300)
 
 
+@query("frequent_words", f"SELECT term, count(*) AS n FROM (SELECT unnest({TOKENS}) AS term FROM documents) GROUP BY 1 ORDER BY n DESC, term LIMIT 300")
+def frequent_words(spark, d):
+    """word_freq_top300 by a sketch of candidates and their exact counts."""
+    return S.frequent_terms(spread(table(spark, d, "documents").select("text")), T.word_tokens(F.col("text")), 300)
+
+
+@query("frequent_bigrams", f"SELECT term, count(*) AS n FROM (SELECT t[i] || ' ' || t[i + 1] AS term FROM (SELECT t, unnest(range(1, len(t))) AS i FROM (SELECT {TOKENS} AS t FROM documents))) GROUP BY 1 ORDER BY n DESC, term LIMIT 20")
+def frequent_bigrams(spark, d):
+    return S.frequent_terms(spread(table(spark, d, "documents").select("text")), S.bigrams(F.col("text")), 20)
+
+
 SCORED = "CASE WHEN n_chars % 10 + 1 >= 9 THEN 'high' WHEN n_chars % 10 + 1 <= 7 THEN 'low' END"
 
 

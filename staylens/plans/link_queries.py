@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import urls as U
@@ -11,6 +14,8 @@ from staylens.plans import cleaning
 from staylens.plans import text_queries as TQ
 from staylens.plans.adapter import comments_sql, on_reviews, reviews, table
 from staylens.sources import html as H
+from staylens.storage import new_path
+from staylens.streaming import reconciliation as SR
 from staylens.streaming import windows as SW
 
 QUERIES: dict = {}
@@ -60,6 +65,7 @@ PARTS = {"links": "page_id % 5 <> 0", "success": "page_id % 3 = 0", "errors": "p
 STATE = f"""WITH {LINKS}, s AS (SELECT province, url, bool_or(page_id % 5 <> 0) AS listed, bool_or(page_id % 3 = 0) AS ok, bool_or(page_id % 4 = 1) AS error, bool_or(page_id % 7 = 2) AS late FROM links GROUP BY 1, 2)
 SELECT province, url, type, list_position({{0}}, type) - 1 AS rank FROM (SELECT province, url, {{1}} AS type FROM s) WHERE type IS NOT NULL"""
 CURRENT = "CASE WHEN error THEN 'Error' WHEN listed AND NOT ok AND NOT late THEN 'Missing' END"
+SQL_NO_ORDER = "['Error']"
 EARLIER = "CASE WHEN late AND (error OR (listed AND NOT ok)) THEN 'Timeout' WHEN error THEN 'Error' WHEN listed AND NOT ok THEN 'Missing' END"
 
 
@@ -76,6 +82,27 @@ _reconcile("reconcile_older", "older", "['Timeout', 'Error', 'Missing']", EARLIE
 _reconcile("reconcile_middle", "middle", "['Error', 'Missing', 'Timeout']", EARLIER)
 
 
+KINDS = dict(zip(PARTS, SR.KINDS, strict=True))
+
+
+@query("reconcile_stream", f"SELECT province, url, type FROM ({STATE.format(SQL_NO_ORDER, CURRENT)})")
+def reconcile_stream(spark, d):
+    """What happened to the urls as a stream of files, two a batch; the changes that it emits lead to the state of all events."""
+    path, out, store = new_path(spark, "events"), new_path(spark, "changes"), SR.STATE_STORE
+    all_links = links(spark, d)
+    seen = [all_links.filter(condition).select("province", "url", F.lit(KINDS[part]).alias("kind")) for part, condition in PARTS.items()]
+    reduce(DataFrame.unionByName, seen).repartition(6).write.parquet(path)
+    before = spark.conf.get(store[0], None)
+    spark.conf.set(*store)
+    try:
+        events = spark.readStream.schema("province string, url string, kind string").option("maxFilesPerTrigger", 2).parquet(path)
+        changes = SR.changes(events).writeStream.option("checkpointLocation", f"{out}-state").trigger(availableNow=True).format("parquet").start(out)
+        changes.awaitTermination()
+    finally:
+        spark.conf.set(store[0], before) if before else spark.conf.unset(store[0])
+    return SR.standing(spark.read.schema(SR.CHANGES).parquet(out))
+
+
 def _names(spark, d):
     c = table(spark, d, "customer")
     name = F.when(F.col("c_custkey") % 9 == 0, F.upper("c_name")).otherwise(F.col("c_name"))

@@ -11,7 +11,7 @@ from staylens.operators import audit as A
 from staylens.operators import reviews as R
 from staylens.plans.adapter import on_reviews, reviews, table
 from staylens.plans.link_queries import LINKS, hotel_documents, links
-from staylens.sources import files
+from staylens.sources import files, run_log, workbooks
 from staylens.sources import html as H
 from staylens.storage import new_path
 
@@ -157,6 +157,46 @@ def failed_log(spark, d):
     return spark.read.text(path).groupBy(F.col("value").alias("url")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "failed_log_runs",
+    "SELECT run, url FROM (SELECT DISTINCT url, unnest(['first', 'second']) AS run, page_id FROM pages WHERE page_id % 9 = 0) WHERE run = 'first' OR page_id % 2 = 0 GROUP BY ALL",
+)
+def failed_log_runs(spark, d):
+    """Urls that failed in two runs, of which the second one is done again after it has written other urls."""
+    path = new_path(spark, "failed-runs")
+    urls = table(spark, d, "pages").filter("page_id % 9 = 0").select("page_id", "url")
+    run_log.append_run(urls.select("url").distinct(), path, "first")
+    run_log.append_run(urls.filter("page_id % 2 = 1").select("url").distinct(), path, "second")
+    run_log.append_run(urls.filter("page_id % 2 = 0").select("url").distinct(), path, "second")
+    return run_log.read_log(spark, path)
+
+
+_CELLS = {
+    "Data": ("score, room_type, review_id", "review_id, score NULLS FIRST, room_type NULLS FIRST", ""),
+    "Rooms": ("room_type, n", "n DESC, room_type", "(SELECT province, room_type, count(*) AS n FROM reviews WHERE room_type IS NOT NULL GROUP BY ALL)"),
+    "Summary": ("reviews, vietnamese", "reviews", "(SELECT province, count(*) AS reviews, count(*) FILTER (is_vietnamese) AS vietnamese FROM reviews GROUP BY ALL)"),
+}
+
+
+def _sheet_sql(sheet: str, columns: str, order: str, source: str) -> str:
+    cells = lambda of: "array_to_string([" + ", ".join(of(c.strip()) for c in columns.split(",")) + "], '|')"
+    source = source or "reviews"
+    return f"""SELECT province AS file, '{sheet}' AS sheet, 0 AS row, {cells(lambda c: f"'{c}'")} AS cells FROM (SELECT DISTINCT province FROM {source})
+UNION ALL SELECT province, '{sheet}', row_number() OVER (PARTITION BY province ORDER BY {order}), {cells(lambda c: f"coalesce({c}::VARCHAR, '-')")} FROM {source}"""
+
+
+@query("province_workbooks", on_reviews(" UNION ALL ".join(f"({_sheet_sql(k, *v)})" for k, v in _CELLS.items())))
+def province_workbooks(spark, d):
+    """A workbook for each province, all its sheets written and read back."""
+    df, path = reviews(spark, d), new_path(spark, "workbooks")
+    rooms = df.filter("room_type IS NOT NULL").groupBy("province", "room_type").agg(F.count(F.lit(1)).alias("n"))
+    summary = df.groupBy("province").agg(F.count(F.lit(1)).alias("reviews"), F.count_if("is_vietnamese").alias("vietnamese"))
+    sheets = {"Data": df.select("province", "score", "room_type", "review_id"), "Rooms": rooms.withColumn("least", -F.col("n")), "Summary": summary}
+    workbooks.write_workbooks(sheets, path, {"Data": ("review_id", "score", "room_type"), "Rooms": ("least", "room_type"), "Summary": ("reviews",)}, by="province")
+    cells = F.when((F.col("sheet") == "Rooms"), F.slice("cells", 1, 2)).otherwise(F.col("cells"))
+    return workbooks.read_workbooks(spark, path).select("file", "sheet", "row", F.array_join(cells, "|", "-").alias("cells"))
+
+
 def hotel_pages(spark, d):
     """A landed hotel page for each supplier, with sub-scores and two review cards, of which some lack their stay."""
     k = F.col("s_suppkey")

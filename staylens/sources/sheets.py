@@ -6,6 +6,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -29,11 +30,20 @@ def _column(reference: str) -> int:
     return n - 1
 
 
-def sheet_rows(content: bytes, sheet: str | int = 0) -> Iterator[list[str | None]]:
-    """Cells of each row of a sheet, by its name or place, as text."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        sheets = ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")
-        found = [(s.get("name"), s.get(_LINK)) for s in sheets]
+def _listed(book: zipfile.ZipFile) -> list[tuple[str, str]]:
+    """Names and links of a workbook's sheets."""
+    return [(s.get("name"), s.get(_LINK)) for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")]
+
+
+def sheet_names(stream: BinaryIO) -> list[str]:
+    with zipfile.ZipFile(stream) as book:
+        return [name for name, _ in _listed(book)]
+
+
+def sheet_rows(content: bytes | BinaryIO, sheet: str | int = 0) -> Iterator[list[str | None]]:
+    """Cells of each row of a sheet, by its name or place, as text; the content as bytes or as a stream that can be sought in."""
+    with zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content) as book:
+        found = _listed(book)
         link = found[sheet][1] if isinstance(sheet, int) else dict(found)[sheet]
         links = {x.get("Id"): x.get("Target") for x in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         target = links[link]

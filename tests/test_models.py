@@ -219,3 +219,18 @@ def test_digest_of_lattice_query_on_handmade_texts(spark, tmp_path):
     spark.read.parquet(f"{DATA}/orders.parquet").limit(0).write.parquet(f"{tmp_path}/orders.parquet")
     rows = {r.doc_id: r for r in text_queries.QUERIES["segment_lattice"](spark, str(tmp_path)).collect()}
     assert rows[2].pieces == 0 and rows[2].digest == hashlib.md5(b"").hexdigest() and rows[1].pieces == 80  # two words of half the text each are no term
+
+
+@pytest.mark.parametrize("tracked", [64, 4096])
+def test_frequent_terms_are_proven_or_counted(spark, tracked):
+    import collections
+
+    from staylens.operators import stats
+
+    random.seed(2)
+    words = [f"t{int(random.paretovariate(0.7)) % 5000}" for _ in range(20_000)] + ["even", "odd"] * 900
+    df = spark.createDataFrame([(words[i : i + 50],) for i in range(0, len(words), 50)] + [(None,), ([],)], "w array<string>").repartition(5)
+    want = sorted(collections.Counter(words).items(), key=lambda x: (-x[1], x[0]))
+    for k in (1, 5, 40, 9000):
+        assert sorted(map(tuple, stats.frequent_terms(df, F.col("w"), k, tracked).collect()), key=lambda x: (-x[1], x[0])) == want[:k]
+    assert stats.frequent_terms(df.limit(0), F.col("w"), 3, tracked).count() == 0
