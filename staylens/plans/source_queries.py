@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens import sinks
@@ -11,6 +14,7 @@ from staylens.operators import audit as A
 from staylens.operators import reviews as R
 from staylens.plans.adapter import on_reviews, reviews, table
 from staylens.plans.link_queries import LINKS, hotel_documents, links
+from staylens.plans.link_queries import ORACLES as ORACLES_OF_LINKS
 from staylens.sources import files, run_log, workbooks
 from staylens.sources import html as H
 from staylens.storage import new_path
@@ -197,6 +201,99 @@ def province_workbooks(spark, d):
     return workbooks.read_workbooks(spark, path).select("file", "sheet", "row", F.array_join(cells, "|", "-").alias("cells"))
 
 
+def _sheets(spark, path, *names: str):
+    """(sheet, place, cell) of all cells of the sheets of a report, read back as text; cells in the order of their columns."""
+    parts = []
+    for name in names:
+        df = spark.read.option("header", True).csv(f"{path}/{name}")
+        parts.append(df.select(F.lit(name).alias("sheet"), F.array_join(F.array(*[F.col(c) for c in df.columns]), "|", "-").alias("cells"), F.lit("|".join(df.columns)).alias("head")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cells_sql(sheet: str, columns: dict[str, str], source: str) -> str:
+    """SQL of the rows that _sheets() gives of a sheet."""
+    cells = ", ".join(f"coalesce(({c})::VARCHAR, '-')" for c in columns.values())
+    return f"SELECT '{sheet}' AS sheet, array_to_string([{cells}], '|') AS cells, '{'|'.join(columns)}' AS head FROM {source}"
+
+
+def _sheets_sql(*sheets: str, extra: str = "") -> str:
+    return on_reviews(extra + " UNION ALL ".join(f"({s})" for s in sheets))
+
+
+_SHARES = "(SELECT {0}, n, n * 100 / (SELECT count(*) FROM reviews) AS percent FROM (SELECT {0}, count(*) AS n FROM reviews WHERE {0} IS NOT NULL GROUP BY 1))"
+_LABELS = "(SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS id FROM (SELECT DISTINCT coalesce({0}, 'Unknown') AS label FROM reviews))"
+
+
+@query(
+    "report_sheets",
+    _sheets_sql(
+        _cells_sql("Data", {"review_id": "review_id", "province": "province", "is_vietnamese": "is_vietnamese"}, "reviews"),
+        _cells_sql("Top_Provinces", {"province": "province", "n": "n"}, "(SELECT province, count(*) AS n FROM reviews GROUP BY 1 ORDER BY n DESC, province LIMIT 5)"),
+        _cells_sql("All_Provinces", {"province": "province", "n": "n"}, "(SELECT province, count(*) AS n FROM reviews GROUP BY 1)"),
+        _cells_sql("Summary", {"reviews": "count(*)", "provinces": "count(DISTINCT province)", "vietnamese_share": "round(avg(is_vietnamese::INT), 6)"}, "reviews"),
+    ),
+)
+def report_sheets(spark, d):
+    """All sheets of the province report."""
+    path = new_path(spark, "report")
+    report = sinks.province_report(reviews(spark, d).select("review_id", "province", "is_vietnamese"), 5)
+    report["Summary"] = report["Summary"].withColumn("vietnamese_share", F.round("vietnamese_share", 6))
+    sinks.write_sheets(report, path)
+    return _sheets(spark, path, *report)
+
+
+@query(
+    "encoding_sheets",
+    _sheets_sql(
+        _cells_sql("room_type", {"label": "label", "id": "id"}, _LABELS.format("room_type")),
+        _cells_sql("group_type", {"label": "label", "id": "id"}, _LABELS.format("group_type")),
+        _cells_sql("stay_duration", {"label": "label", "id": "regexp_extract(label, '(\\d+)', 1)"}, "(SELECT DISTINCT stay_duration AS label FROM reviews)"),
+    ),
+)
+def encoding_sheets(spark, d):
+    """All maps of labels to numbers."""
+    path, maps = new_path(spark, "encodings"), sinks.encodings(reviews(spark, d))
+    sinks.write_sheets(maps, path)
+    return _sheets(spark, path, *maps)
+
+
+@query(
+    "description_sheets",
+    _sheets_sql(
+        _cells_sql("nulls", {"score": "count(*) FILTER (score IS NULL)", "room_type": "count(*) FILTER (room_type IS NULL)"}, "reviews"),
+        _cells_sql(
+            "numbers",
+            {"column": "'score'", "n": "count(score)", "mean": "round(avg(score), 6)", "std": "round(stddev_samp(score), 6)", "low": "min(score)", "q1": "quantile_cont(score, 0.25)", "q2": "median(score)", "q3": "quantile_cont(score, 0.75)", "high": "max(score)"},
+            "reviews",
+        ),
+        *[_cells_sql(f"by_{k}", {k: k, "n": "n", "percent": "round(percent, 6)"}, _SHARES.format(k)) for k in ("group_type", "room_type", "stay_duration")],
+    ),
+)
+def description_sheets(spark, d):
+    """All sheets that describe the dataset."""
+    path = new_path(spark, "description")
+    sheets = sinks.dataset_description(reviews(spark, d), ("score", "room_type"), ("score",), ("group_type", "room_type", "stay_duration"))
+    rounded = {k: df.withColumns({c: F.round(c, 6) for c in ("mean", "std", "percent") if c in df.columns}) for k, df in sheets.items()}
+    sinks.write_sheets(rounded, path)
+    return _sheets(spark, path, *rounded)
+
+
+@query("hotel_export_json", "SELECT 'p' || page_id % 7 AS province, json_object('url', url, 'key', replace(split_part(split_part(regexp_replace(url, '[?#].*$', ''), '/', -1), '.', 1), '-', '_') || '.json')::VARCHAR AS body FROM pages")
+def hotel_export_json(spark, d):
+    """The exported documents themselves."""
+    path = new_path(spark, "export")
+    sinks.write_hotels(table(spark, d, "pages").select("url", F.concat(F.lit("p"), F.col("page_id") % 7).alias("province")), path)
+    return spark.read.schema("value string, province string").text(path).select("province", F.col("value").alias("body"))
+
+
+@query("unit_logs_whole", ORACLES_OF_LINKS["audit_totals"])
+def unit_logs_whole(spark, d):
+    """Every figure of the units' logs."""
+    path = new_path(spark, "logs")
+    sinks.write_json(A.unit_totals(A.audited(A.parsed(hotel_documents(spark, d))), "unit"), path)
+    return spark.read.schema("unit long, documents long, errors long, reviews long, vn_positive long").json(path)
+
+
 def hotel_pages(spark, d):
     """A landed hotel page for each supplier, with sub-scores and two review cards, of which some lack their stay."""
     k = F.col("s_suppkey")
