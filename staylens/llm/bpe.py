@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylens.llm.names import any_names
 from staylens.llm.storage import table
 from staylens.llm.words import BLANK_SPLIT, slices, text_buffers
 from staylens.llm.workers import map_batches
@@ -260,6 +261,7 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+@any_names
 def encode(docs: DataFrame, path: str | None = None, column: str = "text") -> DataFrame:
     """docs with token_ids array<int> in place of the text column."""
     path = path or default_path()
@@ -277,6 +279,7 @@ def encode(docs: DataFrame, path: str | None = None, column: str = "text") -> Da
     return docs.transform(map_batches, run, schema)
 
 
+@any_names
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """encode()'s result with decoded string in place of token_ids."""
     path = path or default_path()

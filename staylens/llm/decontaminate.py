@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.llm.fm_index import FMIndex
+from staylens.llm.names import any_names
 from staylens.llm.storage import table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, Words, slices, split_words
 from staylens.llm.workers import map_batches
@@ -242,6 +243,7 @@ def _cut(batch: pa.RecordBatch, n_words: list, spans: list, items: list) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(texts, column.type) if n == "text" else c for n, c in zip(names, batch.columns, strict=True)], names=names)
 
 
+@any_names
 def cut(docs: DataFrame, benchmark: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """docs with the merged spans taken out of the texts; same columns and rows."""
     return _pass(docs, benchmark, _cut, docs.schema, batch_bytes)

@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.names import any_names
 from staylens.llm.storage import table, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -172,6 +173,7 @@ def judge(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = HOST_SHARE
     return _verdicts(docs, min_texts, share).drop("row_key", "removed_lines")
 
 
+@any_names
 def filter_documents(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = HOST_SHARE) -> DataFrame:
     """docs without the rejected rows, and without the lines above the limit in the kept ones; same columns."""
     kept = _verdicts(docs, min_texts, share).filter("kept").groupBy("doc_id", "row_key").agg(F.first("removed_lines").alias("removed_lines")).alias("k")

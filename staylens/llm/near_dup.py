@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm.bagminhash import band_keys, signatures, similarity, sketches, weigh
 from staylens.llm.graph import components
+from staylens.llm.names import any_names
 from staylens.llm.skew import spread_join
 from staylens.llm.storage import discard, table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, shingles, slices, split_words
@@ -275,6 +276,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return spread_join(rows, by_node, "node", "doc_id").select("doc_id", "class_id", "component", "node", "least")
 
 
+@any_names
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one row for each class: that of the least doc_id."""
     found = classes(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.llm.chaining import ANCHOR_SCORE, GAP_COST, align, chains
+from staylens.llm.names import any_names
 from staylens.llm.skew import HEAVY_ROWS, spread_join
 from staylens.llm.storage import discard, table, written
 from staylens.llm.words import ALNUM_SPLIT, LOWER, mix, slices, split_words
@@ -396,6 +397,7 @@ def passages(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEA
     return found.unionByName(more).distinct()
 
 
+@any_names
 def cut(docs: DataFrame, **settings) -> DataFrame:
     """docs with the repeated passages taken out of the later documents' texts; same columns and rows."""
     found = passages(docs, **settings).groupBy("doc_id", "row_key").agg(

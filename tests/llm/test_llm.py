@@ -100,6 +100,18 @@ def test_decontamination_in_batches_and_cut(spark):
     assert not decontaminate.scan(decontaminate.cut(docs, bench), bench).filter("contaminated").count()
 
 
+@pytest.mark.parametrize("op", ["filter", "keep", "passages", "bench", "encode", "decode"])
+def test_dotted_and_odd_column_names(spark, op):
+    rows = [(i, f"w{i} " + "some words of a text that is long enough " * 3, 1, "x", "y") for i in range(4)] + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, `c d``e` string, other_column_0 string").withColumn("source", F.lit("s"))
+    bench = spark.createDataFrame([("b", "w1 some words of a text that is long")], "item_id string, text string")
+    run = {"filter": line_quality.filter_documents, "keep": near_dup.keep_one, "passages": substring_dedup.cut, "bench": lambda d: decontaminate.cut(d, bench), "encode": bpe.encode, "decode": lambda d: bpe.decode(bpe.encode(d))}[op]
+    out = run(docs)
+    want = {"encode": "token_ids", "decode": "decoded"}
+    assert [c for c in out.columns if c != want.get(op)] == [c for c in docs.columns if op not in want or c != "text"]
+    assert all(r["a.b"] == 1 and r["c d`e"] == "x" and r["other_column_0"] == "y" for r in out.collect() if r["doc_id"] is not None)
+
+
 def test_many_items_of_one_text(spark):
     """Items of equal texts, null ones and repeated rows are cut into bounded batches."""
     long = " ".join(WORDS[:40])
