@@ -198,7 +198,7 @@ def province_workbooks(spark, d):
     sheets = {"Data": df.select("province", "score", "room_type", "review_id"), "Rooms": rooms.withColumn("least", -F.col("n")), "Summary": summary}
     workbooks.write_workbooks(sheets, path, {"Data": ("review_id", "score", "room_type"), "Rooms": ("least", "room_type"), "Summary": ("reviews",)}, by="province")
     cells = F.when((F.col("sheet") == "Rooms"), F.slice("cells", 1, 2)).otherwise(F.col("cells"))
-    return workbooks.read_workbooks(spark, path).select("file", "sheet", "row", F.array_join(cells, "|", "-").alias("cells"))
+    return workbooks.read_workbooks(spark, path, joined=True).select("file", "sheet", "row", F.array_join(cells, "|", "-").alias("cells"))
 
 
 def _sheets(spark, path, *names: str):

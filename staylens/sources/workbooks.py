@@ -22,10 +22,10 @@ from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from staylens.sources.sheets import sheet_names, sheet_rows
+from staylens.sources.sheets import CONTINUED, ROWS_BEFORE, sheet_parts, sheet_rows
 
 WORKBOOK = "file string, sheet string, place int, row long, cells array<string>"
-#: Rows of a sheet at most, by the format. A longer table goes on in sheets of the same head.
+#: Rows of a sheet at most, by the format. A longer table goes on in sheets of the same head, whose hidden names say what they continue.
 SHEET_ROWS = 1_048_576
 _TYPES = "http://schemas.openxmlformats.org/package/2006/content-types"
 _LINKS = "http://schemas.openxmlformats.org/package/2006/relationships"
@@ -55,6 +55,7 @@ class Workbook:
 
     def __init__(self, stream, most: int = SHEET_ROWS):
         self.book, self.most, self.names = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED), most, []
+        self.continued: dict[int, tuple[str, int]] = {}
         self.sheet, self.part, self.rows, self.head = None, None, 0, None
 
     def _begin(self, name: str) -> None:
@@ -85,6 +86,7 @@ class Workbook:
         elif self.rows >= self.most:
             self.parts += 1
             self._begin(f"{sheet} ({self.parts})")
+            self.continued[len(self.names) - 1] = (sheet, (self.parts - 1) * (self.most - 1))
             self._put(self.head)
         self._put(cells)
 
@@ -93,12 +95,18 @@ class Workbook:
         numbered = list(enumerate(self.names, 1))
         parts = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{_KIND}.worksheet+xml"/>' for i, _ in numbered)
         sheets = "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="rId{i}"/>' for i, n in numbered)
+        doubled = lambda name: escape(name.replace('"', '""'))
+        hidden = "".join(
+            f'<definedName name="{CONTINUED}" localSheetId="{i}" hidden="1">"{doubled(name)}"</definedName><definedName name="{ROWS_BEFORE}" localSheetId="{i}" hidden="1">{n}</definedName>'
+            for i, (name, n) in self.continued.items()
+        )
+        sheets = f"<sheets>{sheets}</sheets>" + (f"<definedNames>{hidden}</definedNames>" if hidden else "")
         links = "".join(f'<Relationship Id="rId{i}" Type="{_OFFICE}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i, _ in numbered)
         files = {
             "[Content_Types].xml": f'<Types xmlns="{_TYPES}"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
             f'<Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{_KIND}.sheet.main+xml"/>{parts}</Types>',
             "_rels/.rels": f'<Relationships xmlns="{_LINKS}"><Relationship Id="rId1" Type="{_OFFICE}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-            "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_OFFICE}"><sheets>{sheets}</sheets></workbook>',
+            "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_OFFICE}">{sheets}</workbook>',
             "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{_LINKS}">{links}</Relationships>',
         }
         for name, text in files.items():
@@ -116,11 +124,13 @@ class SheetPartition(InputPartition):
     path: str
     place: int
     sheet: str
+    joined: int
+    before: int
 
 
 class WorkbookReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.folder = options["path"]
+        self.folder, self.joined = options["path"], options.get("joined", "false").lower() == "true"
 
     def partitions(self) -> list[SheetPartition]:
         """A partition for each sheet; the driver reads the names of the sheets alone."""
@@ -129,7 +139,10 @@ class WorkbookReader(DataSourceReader):
         found = []
         for name in sorted(x for x in listed if x.lower().endswith(".xlsx")):
             with store.open_input_file(name) as stream:
-                found += [SheetPartition(name, i, sheet) for i, sheet in enumerate(sheet_names(stream))]
+                first: dict[str, int] = {}
+                for i, (sheet, of, before) in enumerate(sheet_parts(stream)):
+                    first.setdefault(sheet, i)
+                    found.append(SheetPartition(name, i, of, first[of], before) if self.joined else SheetPartition(name, i, sheet, i, 0))
         return found
 
     def read(self, partition: SheetPartition | None) -> Iterator[tuple]:
@@ -139,7 +152,8 @@ class WorkbookReader(DataSourceReader):
         file = posixpath.basename(partition.path).removesuffix(".xlsx")
         with store.open_input_file(partition.path) as stream:
             for row, cells in enumerate(sheet_rows(stream, partition.place)):
-                yield file, partition.sheet, partition.place, row, cells
+                if row or not partition.before:  # the head stands once
+                    yield file, partition.sheet, partition.joined, partition.before + row, cells
 
 
 @dataclass
@@ -202,10 +216,11 @@ class WorkbookSource(DataSource):
         return WorkbookWriter(self.options)
 
 
-def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """All sheets of a workbook or of those of a folder, see WORKBOOK."""
+def read_workbooks(spark: SparkSession, path: str, joined: bool = False) -> DataFrame:
+    """All sheets of a workbook or of those of a folder, see WORKBOOK. ``joined`` gives the rows of a table that goes on in further
+    sheets as those of its first one, numbered through and with one head; each sheet is still the work of its own task."""
     spark.dataSource.register(WorkbookSource)
-    return spark.read.format("workbook").load(path)
+    return spark.read.format("workbook").option("joined", joined).load(path)
 
 
 def write_workbooks(sheets: dict[str, DataFrame], path: str, order: dict[str, tuple[str, ...]], by: str | None = None, name: str = "report", sheet_rows: int = SHEET_ROWS) -> None:

@@ -68,3 +68,22 @@ def test_words_are_looked_for_once_a_text(spark):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = df.select(L.word_hits(F.col("x"), words).alias("a"), L.listed_hits(F.col("x"), L.vocabulary(F.col("x")), words).alias("b"), F.length(L.vocabulary(F.col("x"))).alias("n"))
     assert all(r.a == r.b for r in got.collect()) and got.first().n == 2
+
+
+def test_tables_of_several_sheets_are_whole(spark, tmp_path, monkeypatch):
+    import functools
+
+    import duckdb
+
+    from staylens.plans import source_queries
+    from staylens.sources import workbooks
+
+    data, con = "/root/testdata/sf0.001", duckdb.connect()
+    for name in "region nation customer supplier part orders lineitem".split():
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{data}/{name}.parquet')")
+    monkeypatch.setattr(workbooks, "write_workbooks", functools.partial(workbooks.write_workbooks, sheet_rows=50))
+    got = source_queries.province_workbooks(spark, data).collect()
+    assert sorted(map(tuple, got)) == sorted(con.sql(source_queries.ORACLES["province_workbooks"]).fetchall())
+    df = spark.createDataFrame([(i,) for i in range(9)], "i int")
+    workbooks.write_workbooks({"a \"&' b": df, "z (2)": df}, str(tmp_path / "w"), {"a \"&' b": ("i",), "z (2)": ("i",)}, sheet_rows=4)
+    assert {(r.sheet, r.place) for r in workbooks.read_workbooks(spark, str(tmp_path / "w"), joined=True).collect()} == {("a \"&' b", 0), ("z (2)", 3)}
