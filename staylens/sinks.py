@@ -11,8 +11,13 @@ from staylens.operators import reviews as R
 from staylens.operators import stats as S
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+#: Rows of a file of CSV. Values may hold line breaks, so a file is read whole by one task.
+CSV_ROWS = 500_000
+
+
+def write_csv(df: DataFrame, path: str, most: int = CSV_ROWS) -> None:
+    """CSV with a head, ``most`` rows a file."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", most).csv(path)
 
 
 def write_sheets(sheets: dict[str, DataFrame], path: str) -> None:

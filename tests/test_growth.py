@@ -87,3 +87,29 @@ def test_tables_of_several_sheets_are_whole(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([(i,) for i in range(9)], "i int")
     workbooks.write_workbooks({"a \"&' b": df, "z (2)": df}, str(tmp_path / "w"), {"a \"&' b": ("i",), "z (2)": ("i",)}, sheet_rows=4)
     assert {(r.sheet, r.place) for r in workbooks.read_workbooks(spark, str(tmp_path / "w"), joined=True).collect()} == {("a \"&' b", 0), ("z (2)", 3)}
+
+
+def test_files_and_pages_are_the_work_of_many_tasks(spark):
+    from staylens.plans import source_queries as S
+
+    assert S.hotel_pages(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
+    S.unreadable_files(spark, "/root/testdata/sf0.001")
+    base = max((p for p in spark_folder(spark).glob("documents-*")), key=lambda p: p.stat().st_mtime)
+    seen = {p.name[:10] for p in base.glob("part-*")}
+    assert len(seen) >= 4  # part-00000, part-00001, ...
+
+
+def spark_folder(spark):
+    from pathlib import Path
+
+    return Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+
+
+def test_csv_is_cut_into_files(spark, tmp_path):
+    from staylens import sinks
+    from staylens.sources import files
+
+    df = spark.range(10, numPartitions=1).selectExpr("'a\nb \"' || id AS hotel_name", "cast(id AS double) AS score")
+    sinks.write_csv(df, str(tmp_path / "c"), most=3)
+    assert len(list((tmp_path / "c").glob("part-*"))) == 4 and sinks.CSV_ROWS <= 1_000_000
+    assert sorted(r.hotel_name for r in files.read_reviews_csv(spark, str(tmp_path / "c")).collect()) == sorted(f'a\nb "{i}' for i in range(10))
