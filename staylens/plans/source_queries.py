@@ -17,6 +17,7 @@ from staylens.plans.link_queries import LINKS, hotel_documents, links
 from staylens.plans.link_queries import ORACLES as ORACLES_OF_LINKS
 from staylens.sources import files, run_log, workbooks
 from staylens.sources import html as H
+from staylens.sources.spread import spread
 from staylens.storage import new_path
 
 QUERIES: dict = {}
@@ -57,7 +58,7 @@ def hotel_files(spark, d):
     rating = F.when(k % 5 == 0, quoted(F.lit("Not found"))).otherwise(quoted(F.concat(k % 10, F.lit(",5"))))
     name = F.when(k % 7 == 0, F.lit("null")).otherwise(quoted(F.col("s_name")))
     text = F.concat(F.lit('{"name":'), name, F.lit(',"rating":'), rating, F.lit(',"reviews":['), first, F.lit(","), second, F.lit("]}"))
-    rows = table(spark, d, "supplier").select(k, F.when(k % 11 == 0, F.lit("{oops")).otherwise(text).alias("value"))
+    rows = spread(table(spark, d, "supplier")).select(k, F.when(k % 11 == 0, F.lit("{oops")).otherwise(text).alias("value"))
     base = new_path(spark, "hotels")
     for i, folder in enumerate(FOLDERS):
         rows.filter(k % 3 == i).select("value").write.option("maxRecordsPerFile", 1).text(f"{base}/{folder}")
@@ -70,7 +71,7 @@ def hotel_files(spark, d):
 def unreadable_files(spark, d):
     """Unreadable documents, kept by the sink for them."""
     base, kept = new_path(spark, "documents"), new_path(spark, "bad")
-    hotel_documents(spark, d).select("content").write.option("maxRecordsPerFile", 1).text(base)
+    spread(hotel_documents(spark, d).select("content")).write.option("maxRecordsPerFile", 1).text(base)
     _, bad = files.read_hotels(spark, base, "*.txt")
     sinks.write_bad_files(bad, kept)
     return spark.read.parquet(kept).select(F.trim("content").alias("content")).groupBy("content").agg(F.count(F.lit(1)).alias("n"))
@@ -315,7 +316,7 @@ def hotel_pages(spark, d):
         mark("property-name", "s_name", "h2"), mark("address", F.concat(F.lit("Phố  "), k)), score("Sạch sẽ", F.concat(k % 10, F.lit(",5"))), score("Wifi miễn phí", F.lit("8.0")),
         score("Sạch sẽ", F.lit("1,0")), mark("review-score-value", F.concat(k % 10, F.lit(",7"))), card(1), card(2),
     )
-    return table(spark, d, "supplier").select(k, F.concat(F.lit("<html><body>"), body, F.lit("<script>var x = '<p>';</script></body>")).alias("html"))
+    return spread(table(spark, d, "supplier").select("s_suppkey", "s_name")).select(k, F.concat(F.lit("<html><body>"), body, F.lit("<script>var x = '<p>';</script></body>")).alias("html"))
 
 
 @query(
