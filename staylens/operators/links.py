@@ -147,7 +147,8 @@ def json_changes(left: DataFrame, right: DataFrame) -> DataFrame:
     and the order of keys and the white space do not matter. Names that one side lacks, or has malformed, are left out
     (compare_folders tells those); a name has to be unique on each side.
     """
-    shared = left.filter(F.try_parse_json("content").isNotNull()).select("name").join(right.filter(F.try_parse_json("content").isNotNull()).select("name"), "name", "left_semi").distinct()
+    canon = lambda df, name: df.select("name", F.to_json(F.try_parse_json("content")).alias(name)).filter(F.col(name).isNotNull())
+    shared = written(canon(left, "a").join(canon(right, "b"), "name").filter("a <> b").select("name").distinct(), "differing")  # equal ones have no changes
     leaf = lambda df, text, number: json_leaves(df.join(shared, "name", "left_semi")).select(
         "name", "path", F.to_json("value").alias(text), F.when(F.schema_of_variant("value").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get("value", "$", "double")).alias(number)
     )

@@ -123,3 +123,17 @@ def test_grams_are_counted_by_batch(spark):
     batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", "a"]), pa.array([" xyxyxyx ", "  ", " xy𝒳 "])], names=["lang", "letters"])
     got = {(r["lang"], r["gram"]): r["n"] for b in P._counted([batch]) for r in b.to_pylist()}
     assert got == {("a", " xy"): 2, ("a", "xyx"): 3, ("a", "yxy"): 2, ("a", "yx "): 1, ("a", "xy𝒳"): 1, ("a", "y𝒳 "): 1}
+
+
+def test_equal_documents_are_not_taken_apart(spark, monkeypatch):
+    from staylens.operators import links
+
+    frame = lambda n: spark.createDataFrame([(f"d{i}", f'{{"b": {i}, "a": [1, {n if i == 7 else 0}]}}') for i in range(50)], "name string, content string")
+    leaves, seen = links.json_leaves, []
+
+    def taken(documents):
+        seen.append(documents.count())
+        return leaves(documents)
+
+    monkeypatch.setattr(links, "json_leaves", taken)
+    assert [(r.name, r.path, r.before, r.after) for r in links.json_changes(frame(3), frame(4)).collect()] == [("d7", "$.a[1]", "3", "4")] and seen == [1, 1]
