@@ -9,35 +9,93 @@ underscores. So words are joined that occur together much more often than their
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
+from staylens.storage import written
+
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 LONGEST, LEAST, MAX_WORDS, MAX_TERMS, PENALTY = 3, 20, 100_000, 50_000, 3_000_000
+#: Tokens that are counted together before they are shuffled.
+CHUNK = 2_000_000
+#: Runs of more words take their path one by one, the others side by side.
+LONG_RUN = 1_000
+#: Above the cost of any path.
+_NONE = 1 << 60
 
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
+class Tokens(NamedTuple):
+    """Tokens of rows one after the other as codes, their names by code, the rows' bounds, and the run of words each is in (else -1)."""
+
+    codes: np.ndarray
+    names: pa.Array
+    bounds: np.ndarray
+    runs: np.ndarray
+
+
+def coded(rows: pa.ListArray) -> Tokens:
+    found = rows.flatten().dictionary_encode()
+    codes = found.indices.to_numpy().astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(rows).to_numpy())])
+    kinds = np.array([t[0] == "_" or t[0].isalnum() for t in found.dictionary.to_pylist()], bool)
+    is_word = kinds[codes] if len(codes) else np.zeros(0, bool)
+    begins = is_word.copy()
+    begins[1:] &= ~is_word[:-1]
+    firsts = bounds[:-1][bounds[:-1] < len(codes)]
+    begins[firsts] = is_word[firsts]
+    return Tokens(codes, found.dictionary, bounds, np.where(is_word, np.cumsum(begins) - 1, -1))
+
+
+def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+    """(term, words, n) of the terms of a few batches at a time, each once."""
+
+    def counts(waiting: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        found = coded(pa.concat_arrays(waiting))
+        ids, names = found.codes, []  # of the terms that begin at a token, and the words of each
+        at = np.flatnonzero(found.runs >= 0)
+        for k in range(1, longest + 1):
+            if k > 1:
+                at = at[at + k - 1 < len(found.codes)]
+                at = at[found.runs[at + k - 1] == found.runs[at]]
+            if not len(at):
+                return
+            keys, first, number, n = np.unique(ids[at] * len(found.names) + found.codes[at + k - 1] if k > 1 else ids[at], return_index=True, return_inverse=True, return_counts=True)
+            ids = np.full(len(found.codes), -1)
+            ids[at] = number
+            names = [found.names.take(pa.array(found.codes[at[first] + j])) for j in range(k)]
+            term = pc.binary_join_element_wise(*names, " ") if k > 1 else names[0]
+            yield pa.RecordBatch.from_arrays([term, pa.array(np.full(len(keys), k, np.int32)), pa.array(n.astype(np.int64))], names=["term", "words", "n"])
+
+    waiting, held = [], 0
+    for batch in batches:
+        waiting.append(batch.column("tokens"))
+        held += len(waiting[-1].flatten())
+        if held >= CHUNK:
+            yield from counts(waiting)
+            waiting, held = [], 0
+    if held:
+        yield from counts(waiting)
+
+
 def learn_terms(df: DataFrame, text: str, longest: int = LONGEST, least: int = LEAST, max_words: int = MAX_WORDS, max_terms: int = MAX_TERMS, penalty: int = PENALTY) -> DataFrame:
     """(term, words, cost) of the lattice: the ``max_words`` most frequent words, and of each length from 2 words to ``longest``
     the ``max_terms`` most frequent terms that occur ``least`` times (parameters that bound the model, ties by term).
 
     Costs are whole numbers, so paths compare exactly. Terms are in lower case and never span a sign.
     """
-    runs = F.filter(F.split(F.array_join(F.transform(tokens(F.lower(text)), lambda t: F.when(t.rlike(r"^[\p{L}\p{N}_]"), t).otherwise("\n")), " "), "\n"), lambda r: F.trim(r) != "")
-    words = df.select(F.explode(runs).alias("run")).select(F.split(F.trim("run"), " ").alias("w"))
-
-    def terms(k: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: i <= F.size("w") - (k - 1))
-        return F.transform(starts, lambda i: F.struct(F.array_join(F.slice("w", i, k), " ").alias("term"), F.lit(k).alias("words")))
-
-    parts = [terms(k) for k in range(1, longest + 1)]
-    counted = words.select(F.explode(F.concat(*parts)).alias("t")).groupBy("t.term", "t.words").agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(tokens(F.lower(text)).alias("tokens")).mapInArrow(lambda batches: _counted(batches, longest), "term string, words int, n long")
+    summed = counts.groupBy("term", "words").agg(F.sum("n").alias("n")).filter((F.col("words") == 1) | (F.col("n") >= least))
+    counted = written(summed, "terms")  # read for the total and for the ranks
     total = counted.filter("words = 1").agg(F.sum("n").alias("total"))
     ranked = counted.filter((F.col("words") == 1) | (F.col("n") >= least))
     most = F.when(F.col("words") == 1, max_words).otherwise(max_terms)
@@ -66,22 +124,99 @@ def best_path(words: list[str], costs: dict[str, int], longest: int, unknown: in
     return pieces[::-1]
 
 
-def segmented(found: list[str], costs: dict[str, int], longest: int, unknown: int) -> str:
-    """Tokens with a space between pieces and underscores within them."""
-    out, at = [], 0
-    is_word = [t[0] == "_" or t[0].isalnum() for t in found]
-    while at < len(found):
-        end = at + 1
-        if is_word[at]:
-            while end < len(found) and is_word[end]:
-                end += 1
-            for size in best_path([t.lower() for t in found[at:end]], costs, longest, unknown):
-                out.append("_".join(found[at : at + size]))
-                at += size
-        else:
-            out.append(found[at])
-            at = end
-    return " ".join(out)
+class Model(NamedTuple):
+    """Costs of terms, by term and as a trie: a term is found from the one without its last word, in ``keys`` of its length (number
+    of the shorter one times the number of words, and the last word), and has the cost at its place there."""
+
+    costs: dict[str, int]
+    unknown: int
+    words: dict[str, int]
+    single: np.ndarray
+    keys: list[np.ndarray]
+    more: list[np.ndarray]
+
+
+def model(costs: dict[str, int]) -> Model:
+    unknown = max((c for k, c in costs.items() if " " not in k), default=0)
+    split = [(tuple(k.split(" ")), c) for k, c in costs.items()]
+    words = {w: i for i, w in enumerate(sorted({w for k, _ in split for w in k}))}
+    single = np.full(len(words) + 1, unknown, np.int64)  # the last stands for all other words
+    for k, c in split:
+        if len(k) == 1:
+            single[words[k[0]]] = c
+    number, keys, more = {(w,): i for w, i in words.items()}, [], []
+    for size in range(2, max((len(k) for k, _ in split), default=1) + 1):
+        own = dict.fromkeys((k[:size] for k, _ in split if len(k) > size), _NONE) | {k: c for k, c in split if len(k) == size}
+        placed = sorted((number[k[:-1]] * len(single) + words[k[-1]], k, c) for k, c in own.items())
+        number = {k: i for i, (_, k, _) in enumerate(placed)}
+        keys.append(np.array([x[0] for x in placed], np.int64))
+        more.append(np.array([x[2] for x in placed], np.int64))
+    return Model(costs, unknown, words, single, keys, more)
+
+
+def _costs(found: Tokens, lower: list[str], m: Model) -> list[np.ndarray]:
+    """Of each token and length, the cost of the term of so many words that ends with it."""
+    word = np.array([m.words.get(w, len(m.single) - 1) for w in lower], np.int64)[found.codes]
+    out, at, number = [m.single[word]], np.arange(len(word)), word
+    for k, (keys, costs) in enumerate(zip(m.keys, m.more, strict=True), 2):
+        inside = at + k - 1 < len(word)
+        at, number = at[inside], number[inside]
+        same = (found.runs[at] >= 0) & (found.runs[at + k - 1] == found.runs[at])
+        at, number = at[same], number[same]
+        wanted = number * len(m.single) + word[at + k - 1]
+        place = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+        hit = keys[place] == wanted if len(keys) else np.zeros(len(at), bool)
+        at, number = at[hit], place[hit]
+        cost = np.full(len(word), _NONE)
+        cost[at + k - 1] = costs[number]
+        out.append(cost)
+    return out
+
+
+def joined(found: Tokens, m: Model) -> np.ndarray:
+    """Which tokens are joined with the one before: best_path() of all runs side by side."""
+    lower = [t.lower() for t in found.names.to_pylist()]
+    out = np.zeros(len(found.codes), bool)
+    at = np.flatnonzero(found.runs >= 0)
+    if not len(at):
+        return out
+    start, size = at[np.flatnonzero(np.diff(found.runs[at], prepend=-1))], np.bincount(found.runs[at])
+    for a, n in zip(start[size > LONG_RUN].tolist(), size[size > LONG_RUN].tolist(), strict=True):
+        for pieces in best_path([lower[c] for c in found.codes[a : a + n].tolist()], m.costs, len(m.keys) + 1, m.unknown):
+            out[a + 1 : a + pieces] = True
+            a += pieces
+    order = np.argsort(-size, kind="stable")
+    order = order[size[order] <= LONG_RUN]
+    start, size = start[order], size[order]
+    costs, back = _costs(found, lower, m), np.ones(len(found.codes), np.int64)
+    best = [np.zeros(len(start), np.int64)]
+    for j in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -j, "left"))  # runs of more than j words
+        here = start[:n] + j
+        least = best[-1][:n] + costs[0][here]
+        for k in range(2, min(len(costs), j + 1) + 1):
+            cost = best[-k][:n] + costs[k - 1][here]
+            back[here[cost < least]] = k
+            least = np.minimum(least, cost)
+        best = [*best[-len(costs) :], least]
+    left = size.copy()
+    while len(left):
+        end = start + left - 1
+        pieces = back[end]
+        for k in range(1, len(costs)):
+            out[end[pieces > k] - (k - 1)] = True
+        left = left - pieces
+        start, left = start[left > 0], left[left > 0]
+    return out
+
+
+def segmented(rows: pa.ListArray, m: Model) -> pa.Array:
+    """Tokens of each row with a space between pieces and underscores within them."""
+    found = coded(rows)
+    between = np.where(joined(found, m), 2, 1)
+    between[found.bounds[:-1][found.bounds[:-1] < len(between)]] = 0
+    parts = pc.binary_join_element_wise(pa.array(["", " ", "_"]).take(pa.array(between)), found.names.take(pa.array(found.codes)), "")
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(found.bounds.astype(np.int32)), parts), "")
 
 
 def segment_lattice(df: DataFrame, text: str, terms: DataFrame, name: str = "word_segmented") -> DataFrame:
@@ -89,16 +224,12 @@ def segment_lattice(df: DataFrame, text: str, terms: DataFrame, name: str = "wor
 
     The terms are sent to every executor: learn_terms() bounds their number. A word without a cost costs as one that occurs once.
     """
-    costs = {r["term"]: r["cost"] for r in terms.select("term", "cost").toLocalIterator()}
-    longest = max((k.count(" ") + 1 for k in costs), default=1)
-    unknown = max((c for k, c in costs.items() if " " not in k), default=0)
-    sent = df.sparkSession.sparkContext.broadcast((costs, longest, unknown))
+    sent = df.sparkSession.sparkContext.broadcast(model({r["term"]: r["cost"] for r in terms.select("term", "cost").toLocalIterator()}))
     schema = df.withColumn(name, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([segmented(t, *sent.value) for t in batch.column("__tokens").to_pylist()], pa.string())
             rest = {n: batch.column(n) for n in batch.schema.names if n != "__tokens"}
-            yield pa.RecordBatch.from_pydict(rest | {name: found})
+            yield pa.RecordBatch.from_pydict(rest | {name: segmented(batch.column("__tokens"), sent.value)})
 
     return df.withColumn("__tokens", tokens(F.col(text))).mapInArrow(run, schema)

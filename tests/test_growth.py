@@ -137,3 +137,34 @@ def test_equal_documents_are_not_taken_apart(spark, monkeypatch):
 
     monkeypatch.setattr(links, "json_leaves", taken)
     assert [(r.name, r.path, r.before, r.after) for r in links.json_changes(frame(3), frame(4)).collect()] == [("d7", "$.a[1]", "3", "4")] and seen == [1, 1]
+
+
+def test_runs_side_by_side_take_the_cheapest_path(spark, monkeypatch):
+    import pyarrow as pa
+
+    from staylens.operators import segmentation as G
+
+    def plain(found, m):
+        out, at = [], 0
+        is_word = [t[0] == "_" or t[0].isalnum() for t in found]
+        while at < len(found):
+            end = at + 1
+            while is_word[at] and end < len(found) and is_word[end]:
+                end += 1
+            for size in G.best_path([t.lower() for t in found[at:end]], m.costs, 4, m.unknown) if is_word[at] else [1]:
+                out.append("_".join(found[at : at + size]))
+                at += size
+        return " ".join(out)
+
+    r = random.Random(3)
+    words = ["a", "B", "c", "đ", "_", "9"]
+    m = G.model({w: r.randrange(9) for w in "abcđ"} | {" ".join(r.choices("abcđ", k=k)): r.randrange(14) for k in (2, 3, 4) for _ in range(12)})
+    rows = [[r.choice(words + [".", "😀"] * (i % 2)) for _ in range(r.randrange(40))] for i in range(300)] + [[], ["."], ["a"] * 50]
+    for longest in (1_000, 10):  # above it, one run after the other
+        monkeypatch.setattr(G, "LONG_RUN", longest)
+        for part in (rows, rows[:1], [[]]):
+            assert G.segmented(pa.array(part, pa.list_(pa.string())), m).to_pylist() == [plain(t, m) for t in part]
+    # Terms are counted by chunk: a row for each term of a chunk, not for each occurrence.
+    batch = pa.RecordBatch.from_arrays([pa.array([["a", "b", ".", "a", "b", "a"], [], ["b", "a", "b"]])], names=["tokens"])
+    got = sorted((x["term"], x["words"], x["n"]) for b in G._counted([batch, batch], 3) for x in b.to_pylist())
+    assert got == [("a", 1, 8), ("a b", 2, 6), ("a b a", 3, 2), ("b", 1, 8), ("b a", 2, 4), ("b a b", 3, 2)]
