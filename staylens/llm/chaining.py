@@ -12,6 +12,8 @@ GAP_COST = 0.15
 #: Skips (words of a, words of b) that an extension tries at a mismatch, and the words that have to agree after one.
 SKIPS = ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (3, 3))
 AGREE = 4
+#: Words up to which an extension is tried on lists.
+SHORT = 256
 
 
 class Passage(NamedTuple):
@@ -96,13 +98,22 @@ def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
 
 def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     """From the starts of a and b: words of a, of b and matches of an extension over few differences."""
+    short = len(b) <= SHORT  # plain lists are quicker then; a skip of a needs AGREE words of b, so no more of a can be reached
+    if short:
+        a, b = a[: 2 * len(b) + 8].tolist(), b.tolist()
     i = j = matched = 0
     while True:
-        n = _agreeing(a[i:], b[j:])
+        if short:
+            n, most = 0, min(len(a) - i, len(b) - j)
+            while n < most and a[i + n] == b[j + n]:
+                n += 1
+        else:
+            n = _agreeing(a[i:], b[j:])
         i, j, matched = i + n, j + n, matched + n
         for x, y in SKIPS:
             rest = min(len(a) - i - x, len(b) - j - y)
-            if rest >= AGREE and _agreeing(a[i + x : i + x + AGREE], b[j + y : j + y + AGREE]) == AGREE:
+            p, q = a[i + x : i + x + AGREE], b[j + y : j + y + AGREE]
+            if rest >= AGREE and (p == q if short else _agreeing(p, q) == AGREE):
                 i, j = i + x, j + y
                 break
         else:
@@ -125,6 +136,10 @@ def align(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]], k: int, id
     Between anchors the words are aligned by a longest common subsequence, beyond its ends the chain is extended. A chain that
     as a whole falls short is cut at its worst gap and both parts are tried.
     """
+    (x, y), (x_last, y_last) = chain[0], chain[-1]
+    n = x_last + k - x
+    if n == y_last + k - y and all(q - p == y - x for p, q in chain) and (a[x : x + n] == b[y : y + n]).all():
+        return _parts(a, b, [Passage(x, x + n, y, y + n, n)], identity, least)  # as all of its pieces would be, none with a loss
     pieces: list[Passage] = []
     for x, y in chain:
         n = k

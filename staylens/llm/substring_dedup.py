@@ -260,6 +260,24 @@ def _may_chain(x: np.ndarray, y: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~two | rising)
 
 
+def _sorted_anchors(x: np.ndarray, y: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each group's anchors in order, once each."""
+    order = np.lexsort((y, x, group))
+    x, y, group = x[order], y[order], group[order]
+    once = np.ones(len(x), bool)
+    once[1:] = (np.diff(x) != 0) | (np.diff(y) != 0) | (np.diff(group) != 0)
+    return x[once], y[once], group[once]
+
+
+def _single_chains(x: np.ndarray, y: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """Groups of sorted anchors on one diagonal that are less than an anchor's score apart: each anchor's best predecessor is the one
+    before and scores rise, so all of them are one chain."""
+    same = np.diff(group) == 0
+    dx, dy = np.diff(x), np.diff(y)
+    apart = same & ((dx != dy) | (dx + 1 > ANCHOR_SCORE / GAP_COST / 2))
+    return np.bincount(group[1:][apart], minlength=groups) == 0
+
+
 def chained(pairs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST_WORDS) -> DataFrame:
     """Chains of each document and source that can be part of a passage of ``least`` words."""
     short = least - 2 * (window - 1) - 2 * AROUND
@@ -272,26 +290,41 @@ def chained(pairs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, out = [], []
             anchors = batch.column("anchors")
             ends = anchors.offsets.to_numpy()
-            x, y = (anchors.values.field(f).to_numpy() for f in ("x", "y"))
-            for i in _may_chain(x, y, ends).tolist():
+            values = anchors.flatten()
+            ends = ends - ends[0]
+            x, y = (values.field(f).to_numpy() for f in ("x", "y"))
+            tried = _may_chain(x, y, ends)
+            group = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            inside = np.isin(np.arange(len(ends) - 1), tried)[group]
+            x, y, group = _sorted_anchors(x[inside], y[inside], group[inside])
+            ends = np.searchsorted(group, np.arange(len(ends)))
+            single = _single_chains(x, y, group, len(ends) - 1)
+            rows, xs, ys = [], [], []
+            for i in tried.tolist():
                 a, b = ends[i], ends[i + 1]
-                for chain in chains(list(zip(x[a:b].tolist(), y[a:b].tolist(), strict=True))):
-                    if chain[-1][0] - chain[0][0] + k >= short:
+                if single[i]:
+                    found = [(x[a:b], y[a:b])]
+                else:
+                    several = chains(list(zip(x[a:b].tolist(), y[a:b].tolist(), strict=True)))
+                    found = [tuple(np.array(c, np.int32).T) for c in several if c[-1][0] - c[0][0] + k >= short]
+                for u, v in found:
+                    if u[-1] - u[0] + k >= short:
                         rows.append(i)
-                        out.append(chain)
+                        xs.append(u)
+                        ys.append(v)
             take = pa.array(rows, pa.int64())
-            low = [max(0, c[0][1] - MARGIN) // GRID * GRID for c in out]
-            high = [-(-(c[-1][1] + k + MARGIN) // GRID) * GRID for c in out]
-            kind = pa.list_(pa.struct([("x", pa.int32()), ("y", pa.int32())]))
+            low = [max(0, int(v[0]) - MARGIN) // GRID * GRID for v in ys]
+            high = [-(-(int(v[-1]) + k + MARGIN) // GRID) * GRID for v in ys]
+            flat = [pa.array(np.concatenate(v) if v else np.zeros(0), pa.int32()) for v in (xs, ys)]
+            bounds = np.concatenate([[0], np.cumsum([len(u) for u in xs])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(n).take(take) for n in ("doc_id", "row_key", "source_id", "source_key")),
                     pa.array(low, pa.int32()),
                     pa.array(high, pa.int32()),
-                    pa.array([[{"x": x, "y": y} for x, y in c] for c in out], kind),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(flat, ["x", "y"])),
                 ],
                 names=["doc_id", "row_key", "source_id", "source_key", "low", "high", "chain"],
             )
@@ -335,6 +368,12 @@ def segments(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Bounds of the rows' items, and all items."""
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.flatten()
+
+
 def aligned(wanted: DataFrame, parts: DataFrame, texts: DataFrame, k: int, identity: float, least: int) -> DataFrame:
     """Passages (see PASSAGE) of the chains."""
     full = wanted.join(parts, ["source_id", "source_key", "low", "high"])
@@ -344,21 +383,28 @@ def aligned(wanted: DataFrame, parts: DataFrame, texts: DataFrame, k: int, ident
         names = [x.split()[0] for x in PASSAGE.split(", ")]
         for batch in batches:
             rows: list[tuple] = []
+            doc_ids, row_keys = (batch.column(n).to_pylist() for n in ("doc_id", "row_key"))
+            of_row, found = _lists(batch.column("found"))
+            sources, lows = found.field("source_id").to_pylist(), found.field("low").to_numpy()
+            of_chain, anchors = _lists(found.field("chain"))
+            xs, ys = (anchors.field(n).to_numpy() for n in ("x", "y"))
+            of_words, others = _lists(found.field("words"))
+            others = others.to_numpy()
             for part in slices(batch.column("text")):
                 words = split_words(part, ALNUM_SPLIT, LOWER)
                 letters = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])
                 for i in range(len(part.offsets) - 1):
                     at = words.bounds[i]
                     own = words.hashes[at : words.bounds[i + 1]].view(np.int64)
-                    key = (batch.column("doc_id")[part.first + i].as_py(), batch.column("row_key")[part.first + i].as_py())
+                    key = (doc_ids[part.first + i], row_keys[part.first + i])
                     base = letters[part.offsets[i]]
-                    for f in batch.column("found")[part.first + i]:
-                        low = f["low"].as_py()
-                        other = f["words"].values.to_numpy(zero_copy_only=False)
-                        chain = [(p["x"], p["y"] - low) for p in f["chain"].as_py()]
-                        for p in align(own, other, chain, k, identity, least):
+                    for f in range(of_row[part.first + i], of_row[part.first + i + 1]):
+                        low = int(lows[f])
+                        a, b = of_chain[f : f + 2]
+                        chain = list(zip(xs[a:b].tolist(), (ys[a:b] - low).tolist(), strict=True))
+                        for p in align(own, others[of_words[f] : of_words[f + 1]], chain, k, identity, least):
                             rows.append(
-                                (*key, f["source_id"].as_py(), p.start, p.stop, p.other_start + low, p.other_stop + low, p.matched,
+                                (*key, sources[f], p.start, p.stop, p.other_start + low, p.other_stop + low, p.matched,
                                  int(letters[words.starts[at + p.start]] - base), int(letters[words.ends[at + p.stop - 1]] - base))
                             )
             columns = list(zip(*rows, strict=True)) or [()] * len(names)

@@ -168,3 +168,41 @@ def test_runs_side_by_side_take_the_cheapest_path(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([["a", "b", ".", "a", "b", "a"], [], ["b", "a", "b"]])], names=["tokens"])
     got = sorted((x["term"], x["words"], x["n"]) for b in G._counted([batch, batch], 3) for x in b.to_pylist())
     assert got == [("a", 1, 8), ("a b", 2, 6), ("a b a", 3, 2), ("b", 1, 8), ("b a", 2, 4), ("b a b", 3, 2)]
+
+
+def test_chains_on_one_diagonal_are_told_without_a_search():
+    import numpy as np
+
+    from staylens.llm import chaining as C
+    from staylens.llm import substring_dedup as S
+
+    r = random.Random(11)
+    seen = 0
+    for _ in range(400):
+        at, points = r.randrange(50), []
+        for _ in range(r.randrange(1, 12)):
+            at += r.choice([1, 6, 20, 39, 40, 41] if r.random() < 0.3 else [1, 6, 12])
+            points.append((at, at + 7 + (r.random() < 0.03)))
+        points += points[:2]
+        r.shuffle(points)
+        x, y, group = S._sorted_anchors(*(np.array(v, np.int32) for v in zip(*points, strict=True)), np.zeros(len(points), np.int64))
+        if S._single_chains(x, y, group, 1)[0]:
+            seen += 1
+            assert C.chains(points) == [list(zip(x.tolist(), y.tolist(), strict=True))]
+    assert 100 < seen < 400
+
+
+def test_short_extensions_equal_long_ones(monkeypatch):
+    import numpy as np
+
+    from staylens.llm import chaining as C
+
+    r = random.Random(12)
+    for _ in range(300):
+        a = [r.randrange(3) for _ in range(r.randrange(90))]
+        b = [v for v in a if r.random() < 0.95] if r.random() < 0.8 else [r.randrange(3) for _ in range(30)]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        monkeypatch.setattr(C, "SHORT", 256)
+        got = C._extend(a, b), C._extend(b, a)
+        monkeypatch.setattr(C, "SHORT", -1)
+        assert got == (C._extend(a, b), C._extend(b, a))
