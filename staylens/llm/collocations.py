@@ -5,7 +5,9 @@ positions at which it occurs (positions are word numbers of the block with a gap
 the list of a frequent phrase, moved on by one word, is merge-joined by position with the lists of the frequent phrases that begin
 there and share its other words, so a phrase (w1 .. wk) meets (w2 .. wk+1) exactly where its list meets the postings of the adjacent word wk+1. The
 length of a phrase's list is its exact frequency in the block. Frequencies of all blocks are added in a shuffle by phrase, which has
-a row per block and phrase, and phrases that remain frequent are sent back to their blocks. Phrases are named by 64-bit numbers
+a row per block and phrase, and phrases that remain frequent are sent back to their blocks. Only these get lists that are written: most
+phrases are rare, so a block's phrases are found once to be counted, without positions and a share of them at a time, and once more for
+the lists of the frequent ones. Phrases are named by 64-bit numbers
 (the least place, block and number, of a row of theirs), so nothing rests on hashes, and no vocabulary is broadcast.
 
 What a block holds is bounded by ``block_bytes`` (a longer text is a block of its own). A phrase's rows in a shuffle are at most
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +44,17 @@ NUMBER_BITS, BLOCK_BITS = 28, 15
 LIST_CODEC = "zstd"
 #: Tasks that rank a language's phrases before the last one.
 RANK_TASKS = 64
+#: Shares of a level's phrases that are counted one after the other: the shuffle of a share is gone before that of the next.
+ROUNDS = 2
 
 _ENDS = [ord(c) for c in ".,;:!?\n\v\f\r"]
 IS_END = np.isin(np.arange(256), _ENDS)
 IS_WORD = ~np.isin(np.arange(256), [*_ENDS, 32, 9])
 
 WORD_LISTS = "block long, lang string, words array<string>, lengths array<int>, positions binary"
-PHRASE_LISTS = "block long, lefts array<long>, rights array<long>, lengths array<int>, positions binary"
+#: Of the frequent phrases of a block alone.
+LISTS = "block long, ids array<long>, lengths array<int>, positions binary"
+PHRASES = "block long, lefts array<long>, rights array<long>, places array<long>, lengths array<int>"
 
 
 def pack(positions: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -168,36 +175,78 @@ def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     return rows.withColumn("f", F.sum("n").over(own)).filter(F.col("f") >= least).withColumn("id", F.min("place").over(own)).drop("n")
 
 
-def _numbered(lists: DataFrame, *columns: str, also: tuple[str, ...] = ()) -> DataFrame:
-    """A row of each list of each block: its columns, others of the block, place and length n."""
+def _words(lists: DataFrame) -> DataFrame:
+    """A row (lang, word, place, n) of each list of each block of WORD_LISTS."""
     place = (F.shiftleft(F.col("block"), NUMBER_BITS) + F.col("pos")).alias("place")
-    zipped = F.posexplode(F.arrays_zip(*columns, "lengths"))
-    names = [F.col(f"col.{c}").alias(c) for c in columns]
-    return lists.select("block", *also, zipped).select(*also, *names, place, F.col("col.lengths").cast("long").alias("n"))
+    zipped = lists.select("block", "lang", F.posexplode(F.arrays_zip("words", "lengths")))
+    return zipped.select("lang", F.col("col.words").alias("word"), place, F.col("col.lengths").cast("long").alias("n"))
 
 
-def _level(lists: DataFrame, frequent: DataFrame) -> DataFrame:
-    """PHRASE_LISTS of one word more, from a level's lists and its frequent rows (place, id)."""
+def _by_block(lists: DataFrame, frequent: DataFrame) -> DataFrame:
+    """A level's lists with ``known``, the numbers and ids of the frequent rows (place, id) of their block."""
     block, number = F.shiftright("place", NUMBER_BITS).alias("block"), F.col("place").bitwiseAND((1 << NUMBER_BITS) - 1).alias("number")
     back = frequent.select(block, F.struct(number, "id").alias("own")).groupBy("block").agg(F.sort_array(F.collect_list("own")).alias("known"))
+    return lists.join(back, "block")
+
+
+def _numbers(batch: pa.RecordBatch, i: int, name: str) -> np.ndarray:
+    return batch.column(name).slice(i, 1).flatten().to_numpy(zero_copy_only=False)
+
+
+def _record(block: pa.Array, lists: dict[str, np.ndarray], **more: pa.Array) -> pa.RecordBatch:
+    """One row of a block, its lists and further columns."""
+    lists = {name: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for name, x in lists.items()}
+    return pa.RecordBatch.from_pydict({"block": block} | lists | more)
+
+
+def _grown(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """extended() of the i-th block of LISTS."""
+    ids, lengths = _numbers(batch, i, "ids"), _numbers(batch, i, "lengths")
+    return extended(lengths, unpack(batch.column("positions")[i].as_py(), lengths), np.arange(len(ids)), ids)
+
+
+def _kept(lists: DataFrame, frequent: DataFrame, grow: bool) -> DataFrame:
+    """LISTS of the frequent rows (place, id): of these lists, or of what grows from them by a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                column = lambda name: batch.column(name).slice(i, 1)  # noqa: B023, E731
-                known = column("known").flatten().flatten()
-                numbers = lambda x: x.to_numpy(zero_copy_only=False)
-                lengths = numbers(column("lengths").flatten())
-                positions = unpack(column("positions")[0].as_py(), lengths)
-                lefts, rights, many, place = extended(lengths, positions, numbers(known[0]), numbers(known[1]))
-                if len(lefts):
-                    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (lefts, rights, many)]
-                    yield pa.RecordBatch.from_arrays(
-                        [column("block"), *lists, pa.array([pack(place, many)], pa.binary())],
-                        names=["block", "lefts", "rights", "lengths", "positions"],
-                    )
+                known = batch.column("known").slice(i, 1).flatten().flatten()
+                number, ids = (x.to_numpy(zero_copy_only=False) for x in known)
+                if grow:
+                    _, _, lengths, positions = _grown(batch, i)
+                else:
+                    lengths = _numbers(batch, i, "lengths")
+                    positions = unpack(batch.column("positions")[i].as_py(), lengths)
+                own = np.zeros(len(lengths), bool)
+                own[number] = True
+                positions = positions[np.repeat(own, lengths)]
+                yield _record(batch.column("block").slice(i, 1), {"ids": ids, "lengths": lengths[number]}, positions=pa.array([pack(positions, lengths[number])], pa.binary()))
+
+    columns = ["block", "lengths", "positions", *(["ids"] if grow else [])]
+    return _by_block(lists.select(*columns), frequent).transform(map_batches, run, LISTS)
+
+
+def _round(lefts: np.ndarray, rights: np.ndarray, rounds: int) -> np.ndarray:
+    """In which round a phrase is counted, the same in all blocks."""
+    mixed = (lefts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rights.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed >> np.uint64(40)).astype(np.int64) % rounds
+
+
+def _phrases(lists: DataFrame, rounds: int, turn: int) -> DataFrame:
+    """A row (left, right, place, n) of each phrase of each block of one word more than those of LISTS, of one of the rounds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lefts, rights, many, _ = _grown(batch, i)
+                own = np.flatnonzero(_round(lefts, rights, rounds) == turn)
+                if len(own):
+                    places = (batch.column("block")[i].as_py() << NUMBER_BITS) + own
+                    yield _record(batch.column("block").slice(i, 1), {"lefts": lefts[own], "rights": rights[own], "places": places, "lengths": many[own]})
 
-    return lists.select("block", "lengths", "positions").join(back, "block").transform(map_batches, run, PHRASE_LISTS)
+    zipped = lists.transform(map_batches, run, PHRASES).select(F.explode(F.arrays_zip("lefts", "rights", "places", "lengths")).alias("x"))
+    return zipped.select(F.col("x.lefts").alias("left"), F.col("x.rights").alias("right"), F.col("x.places").alias("place"), F.col("x.lengths").cast("long").alias("n"))
 
 
 def _spelled(phrases: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -222,11 +271,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     return _mined(docs, least, longest, block_bytes)[0]
 
 
-def _mined(docs: DataFrame, least: int, longest: int, block_bytes: int) -> tuple[list[DataFrame], DataFrame]:
+def _mined(docs: DataFrame, least: int, longest: int, block_bytes: int, rounds: int = ROUNDS) -> tuple[list[DataFrame], DataFrame]:
     lists = written(blocks(docs, block_bytes), "word-lists", LIST_CODEC)
-    words = _numbered(lists, "words", also=("lang",)).withColumnRenamed("words", "word")
+    words = _words(lists)
     totals = written(words.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     rows = written(_frequent(words, ["lang", "word"], least), "words", LIST_CODEC)
+    parts = [rows]
     none = F.lit(None).cast("long")
     one = rows.filter(F.col("id") == F.col("place")).select(
         "lang", "id", none.alias("left"), none.alias("right"), "f", F.col("word").alias("phrase"), "word", F.array("f").alias("begins"), F.array("f").alias("ends")
@@ -234,12 +284,15 @@ def _mined(docs: DataFrame, least: int, longest: int, block_bytes: int) -> tuple
     found = [written(one, "phrases-1")]
     for k in range(2, longest + 1):
         release(docs.sparkSession)
-        longer = written(_level(lists, rows), "phrase-lists", LIST_CODEC)
-        discard(lists, rows)
-        lists = longer
-        rows = written(_frequent(_numbered(lists, "lefts", "rights").withColumnsRenamed({"lefts": "left", "rights": "right"}), ["left", "right"], least), "phrases", LIST_CODEC)
+        kept = written(_kept(lists, rows, k > 2), "lists", LIST_CODEC)
+        discard(lists, *parts)
+        lists, parts = kept, []
+        for turn in range(rounds):
+            parts.append(written(_frequent(_phrases(lists, rounds, turn), ["left", "right"], least), "phrases", LIST_CODEC))
+            release(docs.sparkSession)
+        rows = reduce(DataFrame.unionByName, parts)
         found.append(written(_spelled(rows.filter(F.col("id") == F.col("place")).drop("place"), found[-1]), f"phrases-{k}"))
-    discard(lists, rows)
+    discard(lists, *parts)
     return found, totals
 
 

@@ -88,3 +88,26 @@ def test_lists_are_vertical_and_whole():
     assert sorted(words.to_pylist()) == ["a", "b"] and [np.diff(x).min() > 0 for x in lists.values()] == [True, True]
     lefts, rights, many, place = collocations.extended(lengths, positions, np.array([0, 1]), ids)  # both are frequent
     assert {(x, y): n for x, y, n in zip(lefts.tolist(), rights.tolist(), many.tolist(), strict=True)} == {(10, 20): 2, (20, 10): 1} and many.sum() == len(place)
+
+
+def test_lists_are_written_of_frequent_phrases_alone(spark, monkeypatch):
+    """Rare phrases are counted and leave no list, and each round counts its own share of the phrases."""
+    seen = {}
+    keep = collocations.written
+
+    def noted(df, what, *codec):
+        table = keep(df, what, *codec)
+        if what in ("lists", "phrases"):
+            seen.setdefault(what, []).append([r.asDict() for r in table.collect()])
+        return table
+
+    monkeypatch.setattr(collocations, "written", noted)
+    rare = " ".join(f"{a} {b}" for a in "cdefgh" for b in "cdefgh")
+    rows = [("en", "a b a b. " * 5 + rare + ".")] * 3 + [("fr", "a b. " * 20)]
+    found = collocations.frequent_phrases(frame(spark, rows), least=25, longest=3)
+    assert {(r.phrase, r.f) for r in found[1].collect()} == {("a b", 30)} and found[2].count() == 0
+    words, pairs = seen["lists"]
+    assert {len(r["ids"]) for r in words} == {8} and {len(r["ids"]) for r in pairs} == {1}  # of 38 pairs that stand in the block
+    assert [len(r["ids"]) for r in pairs] == [len(r["lengths"]) for r in pairs] and len(seen["phrases"]) == 2 * collocations.ROUNDS
+    ids = np.arange(4000)
+    assert 1800 < (collocations._round(ids << 43, ids[::-1] << 28, 2) == 1).sum() < 2200
