@@ -206,3 +206,29 @@ def test_short_extensions_equal_long_ones(monkeypatch):
         got = C._extend(a, b), C._extend(b, a)
         monkeypatch.setattr(C, "SHORT", -1)
         assert got == (C._extend(a, b), C._extend(b, a))
+
+
+def test_hits_and_their_number_come_from_one_search(spark):
+    texts = ["ks ko tốt", "KS \x01 ko\x01 Ks", "", None, "xks ks_ ks5 5*x 5* 5*", "nhân viên Nhân Viên, of the"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    both = df.select("x", T.replaced(F.col("x")).alias("r"), T.apply_mapping(F.col("x")).alias("y"), T.count_replacements(F.col("x")).alias("n")).collect()
+    assert [(r.r.text, r.r.n) for r in both] == [(r.y, r.n) for r in both] == [plain_mapping(r.x) if r.x is not None else (None, 0) for r in both]
+    told = df.select(T.segmented(F.col("x"), ("nhân viên", "of the")).alias("r")).collect()
+    assert (told[5].r.text, told[5].r.n) == ("nhân_viên Nhân_viên, of_the", 3) and (told[3].r.text, told[3].r.n) == (None, 0)
+    pattern = T.mapping_pattern({"ks": "", "of the": ""})
+    assert T.BOUNDARY not in pattern and T.mapping_pattern({"5*": "", "ks": ""}).endswith(T.BOUNDARY)
+    plan = df.select(T.replaced(F.col("x")).alias("r"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+
+
+def test_marked_words_are_looked_for_among_the_marks_first(spark):
+    r = random.Random(8)
+    words = ("phòng", "đẹp", "é à", "éx à", "ok", "a b", "été", "😀")
+    texts = ["".join(r.choice(["ph", "òng", "đ", "ẹ", "p", "é", " ", "à", "x", "ok", "a b", "t", "phòng", "😀"]) for _ in range(r.randrange(25))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    x = F.col("x")
+    got = df.select(L.word_hits(x, words).alias("a"), L.listed_hits(x, L.vocabulary(x), words, L.beyond_ascii(x)).alias("b")).collect()
+    assert all(g.a == g.b for g in got) and sum(g.a for g in got) > 400
+    for most in (1, 2, 4):  # enough hits end the search
+        got = df.select(L.word_hits(x, words).alias("a"), L.listed_hits(x, L.vocabulary(x), words, L.beyond_ascii(x), most).alias("b"), L.word_hits(x, words, most).alias("c")).collect()
+        assert all(min(g.a, most) == min(g.b, most) == g.c for g in got)
