@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
@@ -23,15 +23,24 @@ from staylens.storage import written
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 LONGEST, LEAST, MAX_WORDS, MAX_TERMS, PENALTY = 3, 20, 100_000, 50_000, 3_000_000
 #: Tokens that are counted together before they are shuffled.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
+#: Bytes of text that are taken at once; a longer text is taken alone.
+PIECE = 1_000_000
 #: Runs of more words take their path one by one, the others side by side.
 LONG_RUN = 1_000
 #: Above the cost of any path.
 _NONE = 1 << 60
 
 
-def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+def kinds(spark: SparkSession) -> np.ndarray:
+    """Of each code point 2 if it is one of a word's, 1 if another sign, 0 if white space, as Spark's expressions take it."""
+    points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    df = spark.createDataFrame([(points[i : i + 4096],) for i in range(0, len(points), 4096)], "x string")
+    out = np.zeros(0x110000, np.uint8)
+    for row in df.select(F.regexp_replace("x", r"[\p{L}\p{N}_\s]+", ""), F.regexp_replace("x", r"[^\p{L}\p{N}_]+", "")).collect():
+        for kind, found in enumerate(row, 1):
+            out[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = kind
+    return out
 
 
 class Tokens(NamedTuple):
@@ -43,6 +52,26 @@ class Tokens(NamedTuple):
     runs: np.ndarray
 
 
+def token_lists(texts: pa.Array, kind_of: np.ndarray) -> pa.ListArray:
+    """Tokens of each text, whose code points are looked up in kinds(): an expression of Spark's makes an object of each token."""
+    rows = [x.decode("utf-8", "replace") if x else "" for x in texts.cast(pa.binary()).to_pylist()]
+    text = "\n".join([*rows, ""])
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kind = kind_of[points]
+    word, sign, kept = kind == 2, kind == 1, kind > 0
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    starts, ends = np.flatnonzero(first | sign), np.flatnonzero(last | sign) + 1
+    size = 1 + (points >= 0x80).astype(np.uint8) + (points >= 0x800) + (points >= 0x10000)
+    before = np.concatenate([[0], np.cumsum(np.where(kept, size, 0), dtype=np.int64)])
+    data = np.frombuffer(text.encode(), np.uint8)[np.repeat(kept, size)]
+    offsets = np.concatenate([[0], before[ends]]).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
+    bounds = np.concatenate([[0], np.searchsorted(starts, np.cumsum([len(x) + 1 for x in rows]))])
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), found)
+
+
 def coded(rows: pa.ListArray) -> Tokens:
     found = rows.flatten().dictionary_encode()
     codes = found.indices.to_numpy().astype(np.int64)
@@ -56,6 +85,18 @@ def coded(rows: pa.ListArray) -> Tokens:
     return Tokens(codes, found.dictionary, bounds, np.where(is_word, np.cumsum(begins) - 1, -1))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], text: str, kind_of: np.ndarray) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+    """The batches' rows, with their tokens, in batches of at most PIECE bytes of text or of one row: a batch of Spark's may hold
+    millions of tokens, and a worker's arrays hold a few hundred bytes for each."""
+    for batch in batches:
+        ends, at, done = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(), dtype=np.int64), 0, 0
+        while at < len(ends):
+            stop = max(at + 1, int(np.searchsorted(ends, done + PIECE, "right")))
+            piece = batch.slice(at, stop - at)
+            yield piece, token_lists(piece.column(text), kind_of)
+            at, done = stop, ends[stop - 1]
+
+
 def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
     """(term, words, n) of the terms of a few batches at a time, each once."""
 
@@ -87,14 +128,21 @@ def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.Rec
         yield from counts(waiting)
 
 
+def _counted_texts(batches: Iterator[pa.RecordBatch], longest: int, kind_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+    lists = (pa.RecordBatch.from_arrays([found], names=["tokens"]) for _, found in pieces(batches, "text", kind_of))
+    yield from _counted(lists, longest)
+
+
 def learn_terms(df: DataFrame, text: str, longest: int = LONGEST, least: int = LEAST, max_words: int = MAX_WORDS, max_terms: int = MAX_TERMS, penalty: int = PENALTY) -> DataFrame:
     """(term, words, cost) of the lattice: the ``max_words`` most frequent words, and of each length from 2 words to ``longest``
     the ``max_terms`` most frequent terms that occur ``least`` times (parameters that bound the model, ties by term).
 
     Costs are whole numbers, so paths compare exactly. Terms are in lower case and never span a sign.
     """
-    counts = df.select(tokens(F.lower(text)).alias("tokens")).mapInArrow(lambda batches: _counted(batches, longest), "term string, words int, n long")
-    summed = counts.groupBy("term", "words").agg(F.sum("n").alias("n")).filter((F.col("words") == 1) | (F.col("n") >= least))
+    kind_of = df.sparkSession.sparkContext.broadcast(kinds(df.sparkSession))
+    counts = df.select(F.lower(text).alias("text")).mapInArrow(lambda batches: _counted_texts(batches, longest, kind_of.value), "term string, words int, n long")
+    # Dealt first: a chunk has each term once, so a sum before the shuffle would hold all and save few.
+    summed = counts.repartition("term").groupBy("term", "words").agg(F.sum("n").alias("n")).filter((F.col("words") == 1) | (F.col("n") >= least))
     counted = written(summed, "terms")  # read for the total and for the ranks
     total = counted.filter("words = 1").agg(F.sum("n").alias("total"))
     ranked = counted.filter((F.col("words") == 1) | (F.col("n") >= least))
@@ -219,17 +267,18 @@ def segmented(rows: pa.ListArray, m: Model) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(found.bounds.astype(np.int32)), parts), "")
 
 
+def _segmented_batches(batches: Iterator[pa.RecordBatch], text: str, name: str, m: Model, kind_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch, found in pieces(batches, text, kind_of):
+        yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in batch.schema.names} | {name: segmented(found, m)})
+
+
 def segment_lattice(df: DataFrame, text: str, terms: DataFrame, name: str = "word_segmented") -> DataFrame:
     """df with the segmentation of a text column by learn_terms(); null and blank texts give an empty one.
 
     The terms are sent to every executor: learn_terms() bounds their number. A word without a cost costs as one that occurs once.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model({r["term"]: r["cost"] for r in terms.select("term", "cost").toLocalIterator()}))
+    costs = {r["term"]: r["cost"] for r in terms.select("term", "cost").toLocalIterator()}
+    sent = df.sparkSession.sparkContext.broadcast((model(costs), kinds(df.sparkSession)))
     schema = df.withColumn(name, F.lit("")).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rest = {n: batch.column(n) for n in batch.schema.names if n != "__tokens"}
-            yield pa.RecordBatch.from_pydict(rest | {name: segmented(batch.column("__tokens"), sent.value)})
-
-    return df.withColumn("__tokens", tokens(F.col(text))).mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: _segmented_batches(batches, text, name, *sent.value), schema)

@@ -234,3 +234,31 @@ def test_frequent_terms_are_proven_or_counted(spark, tracked):
     for k in (1, 5, 40, 9000):
         assert sorted(map(tuple, stats.frequent_terms(df, F.col("w"), k, tracked).collect()), key=lambda x: (-x[1], x[0])) == want[:k]
     assert stats.frequent_terms(df.limit(0), F.col("w"), 3, tracked).count() == 0
+
+
+def test_lattice_takes_bounded_pieces_of_a_batch(spark, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    texts = ["khách sạn, rất_đẹp! 9٣ 😀x e\u0301 ऀक\u00a0Ⅷ a\x1cb\tc", "", None, "một " * 60, "\u200b\ud7ff\ue000\U0010ffff x²½_"] + [f"nhà {i} ở, gần biển" for i in range(40)]
+    kind_of = segmentation.kinds(spark)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, text string")
+    found = df.select("i", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(segmentation.TOKEN), F.lit(0)).alias("t")).collect()
+    want = [r.t for r in sorted(found)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    assert segmentation.token_lists(batch.column("text"), kind_of).to_pylist() == want
+    sizes, coded = [], segmentation.coded
+    monkeypatch.setattr(segmentation, "coded", lambda rows: sizes.append(len(rows.flatten())) or coded(rows))
+    m = segmentation.model({"nhà": 1, "gần biển": 1})
+    whole = [b.column("out").to_pylist() for b in segmentation._segmented_batches([batch], "text", "out", m, kind_of)]
+    counts = [x for b in segmentation._counted_texts([batch], 3, kind_of) for x in b.to_pylist()]
+    sizes.clear()
+    monkeypatch.setattr(segmentation, "PIECE", 100)
+    monkeypatch.setattr(segmentation, "CHUNK", 100)
+    pieces = [b.column("out").to_pylist() for b in segmentation._segmented_batches([batch], "text", "out", m, kind_of)]
+    assert sum(pieces, []) == whole[0] and len(pieces) > 10 and max(sizes) == 60  # the longest text, alone
+    sizes.clear()
+    totals = {}
+    for x in (x for b in segmentation._counted_texts([batch], 3, kind_of) for x in b.to_pylist()):
+        totals[x["term"]] = totals.get(x["term"], 0) + x["n"]
+    assert totals == {x["term"]: x["n"] for x in counts} and len(sizes) > 2 and max(sizes) < 200
