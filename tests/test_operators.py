@@ -205,3 +205,20 @@ def test_sheets_are_read_without_other_libraries(spark, tmp_path):
     df = sheets.read_sheet(spark, str(tmp_path / "a.xlsx"))
     assert df.columns == ["tên", "n", "ok"] and [tuple(r) for r in df.collect()] == [("Huế", None, "True"), (None, "4.5", None)]
     assert sheets.read_sheet(spark, str(tmp_path / "a.xlsx"), "Hai").columns == []
+
+
+def test_cleaning_carries_no_texts_up_to_the_language_filter(spark, monkeypatch):
+    from staylens.plans import cleaning
+
+    seen, found = [], cleaning.R.near_duplicates
+    monkeypatch.setattr(cleaning.R, "near_duplicates", lambda df, *rest: seen.append(df.columns) or found(df, *rest))
+    good = "Phòng rất sạch đẹp, được ở gần bãi biển và nhân viên thân thiện"
+    rows = [(1, "a", "2024-01", good), (2, "a", "2024-01", f" {good.upper()} "), (3, "b", "2024-01", good), (4, "b", "2024-03", good), (5, "b", "2024-03", "the room was very good and clean, near the beach"), (6, "c", "2024-01", None), (7, None, "2024-01", good), (8, None, "2024-01", good)]
+    df = spark.createDataFrame([(i, u, m, 9.0, "Vietnam", t) for i, u, m, t in rows], "review_id long, review_name string, month_year string, score double, country string, positive_comment string")
+    funnel = cleaning.Funnel()
+    out = cleaning.clean(df, ("review_id",), funnel=funnel)
+    assert sorted((r.review_id, r.stt) for r in out.collect()) == [(1, 3), (3, 4), (4, 5), (7, 1), (8, 2)]
+    assert {r.positive_comment for r in out.collect()} == {good.replace(",", "")} and {r.country for r in out.collect()} == {"Vietnam"}
+    assert out.columns == [*df.columns, "normalized_text", "is_vietnamese_raw", "is_vietnamese", "money_text", "word_segmented", "stt"]
+    assert [n for _, n in funnel.rows()] == [8, 8, 7, 7, 6, 5]
+    assert seen and not {"positive_comment", "normalized_text", "money_text", "word_segmented"} & set(seen[0])
